@@ -42,7 +42,8 @@ def lower_ascii(text: str) -> str:
 
 def normalised(text: str | None) -> str:
     """Words with a space before, between and after; a single space without words."""
-    return f" {NOT_WORD.sub(' ', lower_ascii(text)).strip(' ')} " if text else " "
+    words = NOT_WORD.sub(" ", lower_ascii(text)).strip(" ") if text else ""
+    return f" {words} " if words else " "
 
 
 def windows(text: str | None, size: int) -> list[str]:

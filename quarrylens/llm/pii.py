@@ -32,7 +32,7 @@ GIVEN = {
     ("cyrillic", "female"): "Анна Ольга Мария Елена Наталья Татьяна Ирина Светлана Екатерина Людмила".split(),
 }
 
-TYPES = ("email", "iban", "ip", "ssn", "phone", "number", "name")
+TYPES = ("email", "iban", "ip", "ssn", "number", "phone", "name")
 _ALL_GIVEN = sorted((n for names in GIVEN.values() for n in names), key=len, reverse=True)
 _SURNAME = r"[A-ZÀ-ÖØ-ÞА-Я][a-zß-öø-ÿа-яё]+(?:-[A-ZÀ-ÖØ-ÞА-Я][a-zß-öø-ÿа-яё]+)?"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -41,8 +41,8 @@ _WITH_DIGITS = (
     r"|(?<![A-Za-z0-9])(?P<iban>[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?))(?![A-Za-z0-9])"
     rf"|(?<![\d.])(?P<ip>{_OCTET}(?:\.{_OCTET}){{3}})(?![\d]|\.\d)"
     r"|(?<![\w-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
+    r"|(?<![A-Za-z0-9])(?P<number>\d{13,19}|\d{4}(?:[ \-]\d{4}){2,3}(?:[ \-]\d{1,4})?|\d{4}[ \-]\d{6}[ \-]\d{5})(?![A-Za-z0-9])"
     r"|(?<![\w+])(?P<phone>(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{2,4}[ .\-])\d{3,4}[ .\-]\d{3,4}|\+\d{8,15})(?![\w-])"
-    r"|(?<![A-Za-z0-9])(?P<number>\d(?:[ \-]?\d){12,18})(?![A-Za-z0-9])"
 )
 _FIND = re.compile(_WITH_DIGITS)
 _NAME = re.compile(rf"(?<!\w)(?P<given>{'|'.join(map(re.escape, _ALL_GIVEN))}) (?P<initial>[A-Z]\. )?(?P<surname>{_SURNAME})(?!\w)")
