@@ -147,7 +147,7 @@ def account_statement(spark, sf_dir):
 
 @_query("""WITH n AS (SELECT generate_series AS i FROM generate_series(1, 240)), l AS (SELECT r_regionkey AS loan, 100000.0 * (r_regionkey + 1) AS p, (6.0 + r_regionkey) / 1200 AS r, 12 * (r_regionkey + 1) AS m FROM region),
 e AS (SELECT loan, p, r, m, p * r * pow(1 + r, m) / (pow(1 + r, m) - 1) AS emi FROM l)
-SELECT loan, CAST(i AS INT) AS installment_no, CAST(round(CAST(p * pow(1 + r, i - 1) - emi * (pow(1 + r, i - 1) - 1) / r AS DECIMAL(28,8)), 0) AS DECIMAL(18,0)) AS opening_balance FROM e JOIN n ON i <= m""")
+SELECT loan, CAST(i AS INT) AS installment_no, CAST(round(round(CAST(p * pow(1 + r, i - 1) - emi * (pow(1 + r, i - 1) - 1) / r AS DECIMAL(28,8)), 2), 0) AS DECIMAL(18,0)) AS opening_balance FROM e JOIN n ON i <= m""")
 def amortization_schedule(spark, sf_dir):
     loans = _read(spark, sf_dir, "region").select(F.col("r_regionkey").alias("loan"), (F.lit(100000.0) * (F.col("r_regionkey") + 1)).alias("p"), (F.lit(6.0) + F.col("r_regionkey")).alias("rate"), (12 * (F.col("r_regionkey") + 1)).alias("m"))
     return b.amortization(loans, "loan", "p", "rate", "m").select("loan", "installment_no", F.round("opening_balance", 0).cast("decimal(18,0)").alias("opening_balance"))

@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ("operators.banking_queries", "plans.surface")
+MODULES: tuple[str, ...] = ("operators.banking_queries", "plans.surface", "sources.inventory_queries")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
