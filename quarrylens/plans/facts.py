@@ -1,0 +1,47 @@
+"""Analyses of code facts as relations: enforcement, metrics, slices, control flow, rules and graph, one query each.
+
+Small fact tables are inline values; larger shapes run over the driver's tables, which stand for nodes and edges.
+"""
+
+from __future__ import annotations
+
+from .sql import over_tables
+
+_STATEMENTS = "(VALUES (1, NULL, 'IF', 1), (2, 1, 'UPDATE', 0), (3, 1, 'ELSIF', 1), (4, 1, 'ELSE', 0), (5, NULL, 'LOOP', 0), (6, 5, 'IF', 2), (7, 6, 'COMMIT', 0), (8, NULL, 'EXCEPTION_HANDLER', 0), (9, 8, 'RAISE', 0)) s(id, parent, kind, operators)"
+_ENFORCED = "(VALUES ('ENABLED', 'VALIDATED'), ('ENABLED', 'NOT_VALIDATED'), ('DISABLED', 'VALIDATED'), ('DISABLED', 'NOT_VALIDATED')) c(status, validated)"
+
+QUERIES: dict[str, tuple[str, str | None]] = {
+    "enforcement_matrix": (
+        f"SELECT status, validated, status = 'ENABLED' AS is_enforced, CASE WHEN status = 'DISABLED' THEN 'not_enforced' WHEN validated = 'VALIDATED' THEN 'enforced' ELSE 'enforced_new_data_only' END AS confidence, CASE WHEN status = 'DISABLED' THEN 2 WHEN validated = 'VALIDATED' THEN 5 ELSE 4 END AS signal, NOT (status = 'ENABLED' AND validated = 'VALIDATED') AS needs_review FROM {_ENFORCED}",
+        None,
+    ),
+    "cyclomatic": (f"SELECT CAST(1 + sum(CASE WHEN kind IN ('IF', 'ELSIF', 'LOOP', 'CASE_WHEN', 'EXCEPTION_HANDLER') THEN 1 ELSE 0 END + greatest(operators - 1, 0)) AS BIGINT) AS complexity FROM {_STATEMENTS}", None),
+    "nesting_depth": (f"WITH RECURSIVE t(id, depth) AS (SELECT id, 0 FROM {_STATEMENTS} WHERE parent IS NULL UNION ALL SELECT s.id, t.depth + 1 FROM {_STATEMENTS} JOIN t ON s.parent = t.id) SELECT id, depth FROM t", None),
+    "backward_slice": ("WITH RECURSIVE e(a, b) AS (SELECT * FROM (VALUES ('x', 'y'), ('y', 'z'), ('y', 'w'), ('w', 'v'), ('q', 'x')) d(a, b)), t(v, depth) AS (SELECT 'x', 0 UNION ALL SELECT e.b, t.depth + 1 FROM t JOIN e ON e.a = t.v) SELECT v, min(depth) AS depth FROM t GROUP BY v", None),
+    "inferred_fk": ("SELECT c.t, c.c, p.t AS target FROM (VALUES ('orders', 'custkey', 'n', FALSE), ('loan', 'account', 's', FALSE), ('account', 'account', 's', TRUE), ('customer', 'custkey', 'n', TRUE), ('score', 'txn', 'n', TRUE), ('ledger', 'txn', 'n', TRUE)) c(t, c, ty, pk) JOIN (VALUES ('account', 'account', 's'), ('customer', 'custkey', 'n'), ('ledger', 'txn', 'n')) p(t, c, ty) ON c.c = p.c AND c.ty = p.ty AND c.t <> p.t WHERE NOT c.pk", None),
+    "crud_matrix": ("SELECT o, t, concat(CASE WHEN max(CASE WHEN k = 'C' THEN 1 ELSE 0 END) = 1 THEN 'C' ELSE '' END, CASE WHEN max(CASE WHEN k = 'R' THEN 1 ELSE 0 END) = 1 THEN 'R' ELSE '' END, CASE WHEN max(CASE WHEN k = 'U' THEN 1 ELSE 0 END) = 1 THEN 'U' ELSE '' END, CASE WHEN max(CASE WHEN k = 'D' THEN 1 ELSE 0 END) = 1 THEN 'D' ELSE '' END) AS crud FROM (VALUES ('p1', 'accounts', 'U'), ('p1', 'accounts', 'R'), ('p1', 'ledger', 'C'), ('p2', 'accounts', 'R')) x(o, t, k) GROUP BY o, t", None),
+    "modality_verification": ("SELECT kind, enforced, CASE WHEN kind LIKE 'ddl%' AND coalesce(enforced, TRUE) THEN 'alethic' ELSE 'deontic' END AS modality, CASE WHEN enforced = FALSE THEN 'Inspection - DISABLED' WHEN kind LIKE 'ddl%' THEN 'Inspection' ELSE 'Test' END AS verification FROM (VALUES ('ddl_check_constraint', TRUE), ('ddl_check_constraint', FALSE), ('ddl_virtual_column', NULL), ('conditional_branch', NULL)) r(kind, enforced)", None),
+    "clause_scoring": ("SELECT rule, clause FROM (SELECT rule, clause, row_number() OVER (PARTITION BY rule ORDER BY 2 * literal + known DESC, clause) AS r FROM (VALUES (1, 'status = ''A''', 1, 1), (1, 'x > y', 0, 0), (2, 'bal < 5', 0, 1), (2, 'a = b', 0, 0)) c(rule, clause, literal, known)) q WHERE r = 1", None),
+    "cfg_sequence": ("SELECT conv_id, turn AS a, next AS b FROM (SELECT conv_id, turn, lead(turn) OVER (PARTITION BY conv_id ORDER BY turn) AS next FROM conversations) q WHERE next IS NOT NULL", None),
+    "islands_collapse": ("SELECT conv_id, island, min(turn) AS first_turn, CAST(count(*) AS BIGINT) AS n FROM (SELECT conv_id, turn, CAST(sum(brk) OVER (PARTITION BY conv_id ORDER BY turn) AS BIGINT) AS island FROM (SELECT conv_id, turn, CASE WHEN role = lag(role) OVER (PARTITION BY conv_id ORDER BY turn) THEN 0 ELSE 1 END AS brk FROM conversations) a) b GROUP BY conv_id, island", None),
+    "txn_segments": ("SELECT event_id, CAST(sum(c) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS BIGINT) AS segment FROM (SELECT event_id, user_id, ts, CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END AS c FROM events) q", None),
+    "rule_dedup": ("SELECT lang, source, doc_id FROM (SELECT lang, source, doc_id, row_number() OVER (PARTITION BY lang, source ORDER BY n_chars DESC, doc_id) AS r FROM documents) q WHERE r = 1", None),
+    "rule_numbering": ("SELECT doc_id, concat('BR-', lpad(CAST(row_number() OVER (ORDER BY n_chars DESC, doc_id) AS STRING), 6, '0')) AS rule_id FROM documents", "SELECT doc_id, concat('BR-', lpad(CAST(row_number() OVER (ORDER BY n_chars DESC, doc_id) AS VARCHAR), 6, '0')) AS rule_id FROM documents"),
+    "span_join": ("SELECT a.conv_id, a.turn, CAST(count(b.turn) AS BIGINT) AS inside FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND b.turn BETWEEN a.turn AND a.turn + 2 GROUP BY a.conv_id, a.turn", None),
+    "quality_ratios": ("SELECT CAST(avg(CAST(quality AS DECIMAL(10,0))) AS DECIMAL(10,4)) > 0.5 AS mostly_good, CAST(sum(toxic) AS BIGINT) AS toxic FROM labels", None),
+    "traceability": ("SELECT lang, CAST(count(*) AS BIGINT) AS n, CAST(count(l.doc_id) AS BIGINT) AS traced FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id GROUP BY lang", None),
+    "endpoint_guard": ("SELECT CAST(count(*) AS BIGINT) AS edges, CAST(sum(CASE WHEN c_custkey IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS dropped FROM orders LEFT JOIN (SELECT c_custkey FROM customer WHERE c_nationkey < 13) c ON o_custkey = c_custkey", None),
+    "graph_dedupe": ("SELECT DISTINCT 'PLACED_BY' AS type, o_custkey AS src, o_orderstatus AS dst FROM orders", None),
+    "graph_degree": ("SELECT n_nationkey, CAST(count(*) AS BIGINT) AS dependents FROM nation JOIN customer ON c_nationkey = n_nationkey GROUP BY n_nationkey HAVING count(*) > 2", None),
+    "impact_two_hop": ("SELECT DISTINCT r_name, c_mktsegment FROM region JOIN nation ON n_regionkey = r_regionkey JOIN customer ON c_nationkey = n_nationkey", None),
+    "orphans": ("SELECT p_partkey FROM part LEFT ANTI JOIN lineitem ON l_partkey = p_partkey", "SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)"),
+    "top_complex": ("SELECT l_suppkey, CAST(count(*) AS BIGINT) AS n FROM lineitem GROUP BY l_suppkey ORDER BY n DESC, l_suppkey LIMIT 5", None),
+}
+
+
+def queries():
+    return {name: over_tables(spark) for name, (spark, _) in QUERIES.items()}
+
+
+def oracle_sql():
+    return {name: other or spark for name, (spark, other) in QUERIES.items()}
