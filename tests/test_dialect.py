@@ -31,7 +31,7 @@ def test_types():
 
 
 def test_routines_on_known_values(spark):
-    interest, error = b.simple_interest(F.lit(100000), F.lit("7.5"), F.lit(180), F.lit("365"))
+    interest, error = b.simple_interest(F.lit(100000), F.lit("7.5").cast("decimal(8,4)"), F.lit(180), F.lit("365"))
     assert one(spark, interest) == Decimal("3698.63") and one(spark, error) is None
     _, penalty, outcome = b.minimum_balance_check(F.lit("3200").cast("decimal(18,2)"), F.lit("CURRENT_REGULAR"))
     assert (one(spark, penalty), one(spark, outcome)) == (Decimal("90.00"), "BELOW_MINIMUM_BALANCE")
