@@ -5,6 +5,8 @@ Everything is a DataFrame expression over (file, text); no text leaves the engin
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Default exclusions, and the content signals that the documents name with the pattern each stands for.
@@ -38,10 +40,10 @@ def _glob(pattern: str) -> str:
 def discover(spark: SparkSession, root: str, exclude: tuple[str, ...] = EXCLUDED) -> DataFrame:
     """(file, text, sha256, size_bytes) of every .sql file below root; undecodable bytes fall back to Latin-1."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.sql").load(root)
-    base = root.rstrip("/").removeprefix("file:") + "/"
-    file = F.element_at(F.split("path", base, 2), 2)
+    base = re.sub(r"^\w+:/*", "/", root).rstrip("/") + "/"
+    file = F.col("path").substr(F.locate(base, F.col("path")) + len(base), F.length("path"))
     utf8 = F.expr("try_validate_utf8(CAST(content AS STRING))")
-    rows = files.select(file.alias("file"), F.coalesce(utf8, F.decode("content", F.lit("ISO-8859-1"))).alias("text"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size_bytes"))
+    rows = files.select(file.alias("file"), F.coalesce(utf8, F.decode("content", "ISO-8859-1")).alias("text"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size_bytes"))
     return rows.filter(~excluded(F.col("file"), exclude))
 
 

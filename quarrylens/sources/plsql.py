@@ -46,7 +46,7 @@ def tables_in(run: list[Token], skip_into: bool = False) -> list[str]:
     """Tables named after FROM, JOIN, USING, UPDATE or INTO, and after a comma of a FROM list; lower case, without owner or link."""
     out = []
     for k, t in enumerate(run):
-        if t.kind != "word" or t.text not in _TABLE_WORDS or (t.text == "INTO" and skip_into) or (t.text == "UPDATE" and k and run[k - 1].text == "FOR"):
+        if t.kind != "word" or t.text not in _TABLE_WORDS or (t.text == "INTO" and skip_into) or (t.text == "USING" and run[0].text != "MERGE") or (t.text == "UPDATE" and k and run[k - 1].text == "FOR"):
             continue
         if t.text == "FROM" and k > 1 and run[k - 2].text == "(" and run[k - 1].text in ("YEAR", "MONTH", "DAY", "HOUR", "MINUTE", "SECOND"):
             continue
