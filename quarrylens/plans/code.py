@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..sources import inventory
 from ..sources.plsql import read_facts
+from .cut import settled
 
 #: Procedures that are no outside call, limits of the two complexities, the kinds that raise nesting.
 BUILTINS = ("RAISE_APPLICATION_ERROR",)
@@ -24,20 +25,21 @@ class Code:
 
     def __init__(self, files: DataFrame):
         self.files = files.select("file", "text")
-        self.facts = read_facts(self.files).withColumn("file_id", inventory.file_id(F.col("file"))).persist()
+        self.facts = read_facts(self.files).withColumn("file_id", inventory.file_id(F.col("file")))
+        self.facts, self._rows = settled(self.facts), {}
 
     @classmethod
     def of(cls, spark: SparkSession, root: str, exclude: tuple[str, ...] = inventory.EXCLUDED) -> Code:
         return cls(inventory.discover(spark, root, exclude))
 
-    def close(self) -> None:
-        self.facts.unpersist()
-
     def rows(self, name: str) -> DataFrame:
         """One kind of fact: objects, parameters, variables, cursors, statements, arms, issues, tables, columns, constraints, indexes, sequences, views, synonyms, comments."""
+        if name in self._rows:
+            return self._rows[name]
         out = self.facts.select("file", "file_id", F.explode(name).alias("r")).select("file", "file_id", "r.*")
         if name == "statements":
             out = out.withColumn("statement_id", statement_id(F.col("seq"))).withColumn("scope", F.coalesce(F.try_element_at("scope_path", F.lit(-1)), F.lit("")))
+        self._rows[name] = out
         return out
 
 
@@ -57,7 +59,7 @@ def calls(code: Code) -> DataFrame:
     qualified = (F.col("qualifier") == F.col("t_name")) & F.col("t_member").isNotNull()
     alone = F.col("t_member").isNull() & (F.col("qualifier").isNull() | (F.col("qualifier") == F.col("t_owner")))
     rank = F.when(same_package, 1).when((qualified | alone) & (F.col("t_owner") == F.col("owner")), 2).when(qualified | alone, 3)
-    found = made.join(callee, "last", "left").withColumn("rank", rank)
+    found = made.join(callee, "last", "left").withColumn("rank", F.when(F.col("target_id").isNotNull(), rank))
     best = found.groupBy("statement_id", "file_id", "object_id", "line", "call_target").agg(F.min(F.when(F.col("rank").isNotNull(), F.struct("rank", "target_id"))).alias("best"))
     status = F.when(F.col("best").isNotNull(), "resolved").when(F.col("call_target").isin(*BUILTINS), "builtin").otherwise("unresolved_reference")
     return best.select("statement_id", "file_id", "object_id", "line", "call_target", F.col("best.target_id").alias("call_target_object_id"), status.alias("status"))

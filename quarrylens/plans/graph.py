@@ -7,12 +7,13 @@ question is a join over them, found by the words of its text. What cannot be mat
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import code as c, rules as ru, schema as sc
 from .code import Code
+from .cut import settled
 
 # The graph's names of control-flow edges, and what no reading of source text can show.
 FLOW = {"SEQUENCE": "FOLLOWS", "BRANCH_ENTRY": "BRANCHES_TO", "EXCEPTION_EDGE": "ON_ERROR_REACHES", "LOOP_BACK_EDGE": "LOOPS_BACK_TO"}
@@ -47,7 +48,7 @@ def gaps(code: Code, rules_: DataFrame) -> DataFrame:
         rows(s.filter("requires_manual_review"), "dynamic_statement", "high", F.col("statement_id"), F.col("line"), "the statement is put together at run time"),
         rows(sc.type_references(code).filter("NOT resolved"), "type_not_resolved", "medium", F.concat_ws(":", "object_id", "reference"), None, "the referenced column is not in the data model"),
         rows(sc.unknown_tables(code), "table_not_known", "medium", F.concat_ws(":", "statement_id", "table_name"), F.col("line"), "the table is not in the data model"),
-        rows(ru.error_catalogue(code), "generic_handler", "low", F.col("statement_id"), F.col("line"), "errors are passed on without a stated outcome"),
+        rows(ru.error_catalogue(code, rules_), "generic_handler", "low", F.col("statement_id"), F.col("line"), "errors are passed on without a stated outcome"),
         rows(rules_.filter("requires_sme_review"), "rule_to_confirm", "low", F.col("rule_id"), F.col("line"), F.col("name")),
         rows(code.rows("issues"), "source_not_read", "high", F.concat_ws(":", "file_id", "type", "line"), F.col("line"), F.col("message")),
         rows(c.loops(code).filter("warns"), "loop_without_end", "critical", F.col("statement_id"), F.col("line"), "no way out of the loop was found"),
@@ -64,7 +65,6 @@ class Graph:
     edges: DataFrame
     dropped: DataFrame
     rules: DataFrame
-    parts: list[DataFrame] = field(default_factory=list)
 
     def out(self, label: str, key: str) -> DataFrame:
         return self.edges.filter((F.col("source_label") == label) & (F.col("source") == key))
@@ -72,10 +72,6 @@ class Graph:
     def into(self, label: str, key: str) -> DataFrame:
         return self.edges.filter((F.col("target_label") == label) & (F.col("target") == key))
 
-    def close(self) -> None:
-        for p in self.parts:
-            p.unpersist()
-
 
 def _node(df: DataFrame, label: str, key: Column, name: Column, line: Column | None = None, detail: Column | None = None) -> DataFrame:
     return df.select(F.lit(label).alias("label"), key.alias("key"), name.cast("string").alias("name"), (line if line is not None else F.lit(None)).cast("int").alias("line"), (detail if detail is not None else _null()).cast("string").alias("detail"))
@@ -88,10 +84,10 @@ def _edge(df: DataFrame, kind: str | Column, a_label: str, a: Column, b_label: s
 def build(code: Code) -> Graph:
     """All nodes and relationships; a relationship without both ends is taken out and counted in `dropped`."""
     col, cat = F.col, F.concat_ws
-    r = ru.modality(ru.rules(code)).persist()
+    r = settled(ru.modality(ru.rules(code)))
     s, objects = code.rows("statements"), code.rows("objects")
     states = sc.columns(code).filter("enum_source = 'check_constraint'").select("table_name", "name", F.explode("enum_values").alias("v"))
-    found = gaps(code, r).persist()
+    found = settled(gaps(code, r))
     metrics = c.complexity(code).select("file_id", "object_id", "cyclomatic")
     column = cat(".", "table_name", "name")
     nodes = [
@@ -141,11 +137,12 @@ def build(code: Code) -> Graph:
         all_nodes = all_nodes.unionByName(n)
     for e in edges[1:]:
         all_edges = all_edges.unionByName(e)
-    all_nodes, all_edges = all_nodes.dropDuplicates(["label", "key"]).persist(), all_edges.dropDuplicates().persist()
+    all_nodes, all_edges = settled(all_nodes.dropDuplicates(["label", "key"])), settled(all_edges.dropDuplicates())
     ends = all_nodes.select("label", "key")
-    kept = all_edges.join(ends.toDF("source_label", "source"), ["source_label", "source"], "left_semi").join(ends.toDF("target_label", "target"), ["target_label", "target"], "left_semi").persist()
+    kept = all_edges.join(ends.toDF("source_label", "source"), ["source_label", "source"], "left_semi").join(ends.toDF("target_label", "target"), ["target_label", "target"], "left_semi")
+    kept = settled(kept.select("type", "source_label", "source", "target_label", "target"))
     dropped = all_edges.groupBy("type").agg(F.count(F.lit(1)).alias("n")).join(kept.groupBy("type").agg(F.count(F.lit(1)).alias("k")), "type", "left").select("type", (F.col("n") - F.coalesce("k", F.lit(0))).alias("dropped"))
-    return Graph(all_nodes, kept.select("type", "source_label", "source", "target_label", "target"), dropped, r, [r, found, all_nodes, all_edges, kept])
+    return Graph(all_nodes, kept, dropped, r)
 
 
 # -- derived views and checks ------------------------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from . import schema
 from .code import Code, _nesting
+from .cut import settled
 
 # Limits, predefined errors, abbreviations, and the words that tell a rule's category, in order of priority.
 DERIVATION_SCORE, LINE_TOLERANCE = 2, 2
@@ -149,9 +150,8 @@ def deduplicate(rules: DataFrame) -> DataFrame:
 
 def numbered(rules: DataFrame) -> DataFrame:
     """`BR-001`... by falling signal, then name. Ranges of the order are numbered apart and shifted by the counts before them."""
-    from pyspark.sql.functions import spark_partition_id
-
-    ordered = rules.repartitionByRange(F.desc("signal_strength"), F.asc("name"), F.asc("raw_key")).sortWithinPartitions(F.desc("signal_strength"), "name", "raw_key").withColumn("p", spark_partition_id()).persist()
+    ordered = rules.repartitionByRange(F.desc("signal_strength"), F.asc("name"), F.asc("raw_key")).sortWithinPartitions(F.desc("signal_strength"), "name", "raw_key").withColumn("p", F.spark_partition_id())
+    ordered = settled(ordered)
     sizes = ordered.groupBy("p").count().select("p", (F.sum("count").over(Window.orderBy("p")) - F.col("count")).alias("before"))
     within = Window.partitionBy("p").orderBy(F.desc("signal_strength"), "name", "raw_key")
     n = F.row_number().over(within) + F.col("before")
@@ -159,7 +159,7 @@ def numbered(rules: DataFrame) -> DataFrame:
 
 
 def rules(code: Code) -> DataFrame:
-    return numbered(deduplicate(mined(code)))
+    return settled(numbered(deduplicate(mined(code))))
 
 
 def rule_sets(numbered_rules: DataFrame) -> DataFrame:
@@ -167,9 +167,9 @@ def rule_sets(numbered_rules: DataFrame) -> DataFrame:
     return numbered_rules.groupBy("object_id").agg(F.sort_array(F.collect_list("rule_id")).alias("rule_ids"))
 
 
-def error_catalogue(code: Code) -> DataFrame:
+def error_catalogue(code: Code, rules_: DataFrame | None = None) -> DataFrame:
     """Handlers that state no rule."""
-    known = mined(code).filter("kind IN ('failure_isolation', 'error_contract', 'predefined_exception')").select("statement_id")
+    known = (mined(code) if rules_ is None else rules_).filter("kind IN ('failure_isolation', 'error_contract', 'predefined_exception')").select("statement_id")
     return code.rows("statements").filter("type = 'EXCEPTION_HANDLER'").join(known, "statement_id", "left_anti").select("statement_id", "object_id", "handler_for", "line")
 
 
