@@ -121,6 +121,7 @@ def build(code: Code) -> Graph:
         _edge(flow, F.element_at(names, col("type")), "Statement", col("source"), "Statement", col("target")),
         _edge(cut, "DETERMINES", "Statement", col("statement_id"), "Parameter", cat(".", "object_id", "variable")),
         _edge(r.filter("statement_id IS NOT NULL"), "IMPLEMENTED_AT", "BusinessRule", col("rule_id"), "Statement", col("statement_id")),
+        _edge(r.filter("kind LIKE 'ddl%'"), "IMPLEMENTED_AT", "BusinessRule", col("rule_id"), "File", col("file_id")),
         _edge(r.filter("NOT kind LIKE 'ddl%'"), "ENFORCED_IN", "BusinessRule", col("rule_id"), "Object", col("object_id")),
         _edge(r.filter("kind LIKE 'ddl%'"), "ENFORCED_IN", "BusinessRule", col("rule_id"), "Table", col("object_id")),
         _edge(r.filter("kind LIKE 'ddl%'"), "CONSTRAINS", "BusinessRule", col("rule_id"), "Column", col("subject")),
@@ -151,7 +152,7 @@ def hot_columns(g: Graph) -> DataFrame:
 
 
 def rule_statements(g: Graph) -> DataFrame:
-    return g.edges.filter("type = 'IMPLEMENTED_AT'").select(F.col("target").alias("statement_id")).distinct()
+    return g.edges.filter("type = 'IMPLEMENTED_AT' AND target_label = 'Statement'").select(F.col("target").alias("statement_id")).distinct()
 
 
 def write_paths(g: Graph, hops: int = 10) -> DataFrame:

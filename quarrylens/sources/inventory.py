@@ -38,7 +38,7 @@ def _glob(pattern: str) -> str:
 
 
 def discover(spark: SparkSession, root: str, exclude: tuple[str, ...] = EXCLUDED) -> DataFrame:
-    """(file, text, sha256, size_bytes) of every .sql file below root; undecodable bytes fall back to Latin-1."""
+    """(file, text, sha256, size_bytes) of every .sql file below root; undecodable bytes fall back to Latin-1. Files of no bytes are not listed: the scan has no row for them."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.sql").load(root)
     base = re.sub(r"^\w+:/*", "/", root).rstrip("/") + "/"
     file = F.col("path").substr(F.locate(base, F.col("path")) + len(base), F.length("path"))
