@@ -25,7 +25,7 @@ def _written_out(words: Column) -> Column:
 
 def humanise(identifier: Column) -> Column:
     """`p_from_account` -> From Account; qualifiers and the prefixes of parameters, variables and exceptions go."""
-    last = F.regexp_replace(F.lower(F.element_at(F.split(identifier, r"\."), -1)), "^(p|v|l|g|e|c|in|out)_", "")
+    last = F.regexp_replace(F.lower(F.element_at(F.split(identifier, r"\."), -1)), "^(p|v|l|g|e|c|in|out)_(?=[a-z])", "")
     return _written_out(F.initcap(F.trim(F.regexp_replace(last, "[_$#]+", " "))))
 
 

@@ -7,7 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from . import code as c, rules as ru, schema as sc
+from ..functions import language as la
+from . import code as c, diagrams as dg, document as do, rules as ru, schema as sc
 from .code import Code
 
 _ROUTINE = """concat_ws('\\n',
@@ -73,7 +74,43 @@ def schema_columns(spark, sf_dir: str) -> DataFrame:
     return sc.columns(_tables(spark, sf_dir)).select("table_name", "name", "pyspark_type", "nullable", F.array_join("enum_values", ",").alias("enum_values"), "enum_confidence")
 
 
-_ALL = (code_complexity, code_crud, code_calls, code_flow, code_transactions, code_shapes, code_slices, code_rules, schema_enforcement, schema_inferred, schema_columns)
+def _flows(spark, sf_dir: str, budget: int) -> dg.Flows:
+    code = _routines(spark, sf_dir)
+    return dg.flows(code, ru.deduplicate(ru.mined(code)).withColumn("rule_id", F.concat(F.lit("BR-"), "raw_key")), budget)
+
+
+def code_figures(spark, sf_dir: str) -> DataFrame:
+    return _flows(spark, sf_dir, 12).report.select("object_id", F.col("nodes").cast("long").alias("nodes"), F.col("statements").cast("long").alias("statements"))
+
+
+def code_branches(spark, sf_dir: str) -> DataFrame:
+    f = _flows(spark, sf_dir, dg.NODE_BUDGET)
+    return f.edges.filter("type IN ('BRANCH', 'LOOP_ENTRY', 'LOOP_BACK', 'EXCEPTION')").groupBy("object_id", "type").agg(F.count(F.lit(1)).alias("edges"), F.count("rule_id").alias("with_rule"))
+
+
+def code_glossary(spark, sf_dir: str) -> DataFrame:
+    return do.glossary(_routines(spark, sf_dir)).select("term", "kind", F.array_join("technical_names", ",").alias("technical_names"))
+
+
+def code_capabilities(spark, sf_dir: str) -> DataFrame:
+    code = _routines(spark, sf_dir)
+    return do.capabilities(code, ru.deduplicate(ru.mined(code))).select("object_id", "title", "shape", "transaction", F.array_join("loops", ",").alias("loops"), "rules")
+
+
+def schema_states(spark, sf_dir: str) -> DataFrame:
+    return dg.states(_tables(spark, sf_dir))
+
+
+def condition_words(spark, sf_dir: str) -> DataFrame:
+    said = F.concat(F.lit("(v_acct_bal <= p_"), F.lower("c_mktsegment"), F.lit(") OR rec.txn_status = 'P_"), "c_custkey", F.lit("'"))
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", la.humanise_condition(said).alias("words"), la.short_condition(F.concat(F.lit("(p_amt > NVL(v_x, "), "c_custkey", F.lit("))"))).alias("short"))
+
+
+def type_words(spark, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/part.parquet").select("p_partkey", la.plain_type(F.concat(F.lit("NUMBER("), "p_size", F.lit(","), F.col("p_partkey") % 3, F.lit(")"))).alias("words"))
+
+
+_ALL = (code_figures, code_branches, code_glossary, code_capabilities, schema_states, condition_words, type_words, code_complexity, code_crud, code_calls, code_flow, code_transactions, code_shapes, code_slices, code_rules, schema_enforcement, schema_inferred, schema_columns)
 
 
 def queries():
@@ -83,6 +120,13 @@ def queries():
 def oracle_sql():
     k = "SELECT c_custkey AS k, 'PROC-APP.P_' || c_custkey AS object_id, CAST(c_custkey % 2 = 0 AS BIGINT) AS e, CAST(c_custkey % 3 = 0 AS BIGINT) AS l, CAST(c_custkey % 6 = 0 AS BIGINT) AS lc, CAST(c_custkey % 5 = 0 AS BIGINT) AS m, CAST(c_custkey % 7 = 0 AS BIGINT) AS o FROM customer"
     return {
+        "code_figures": f"SELECT object_id, statements + 2 - CASE WHEN statements + 2 > 12 THEN lc + m ELSE 0 END AS nodes, statements FROM (SELECT *, 7 + e + 2 * l + lc + m + 3 * o AS statements FROM ({k}))",
+        "code_branches": f"SELECT * FROM (SELECT object_id, 'BRANCH' AS type, 2 + e AS edges, 2 + e AS with_rule FROM ({k}) UNION ALL SELECT object_id, 'LOOP_ENTRY', l, CAST(0 AS BIGINT) FROM ({k}) UNION ALL SELECT object_id, 'LOOP_BACK', l, 0 FROM ({k}) UNION ALL SELECT object_id, 'EXCEPTION', 2 + 2 * o, 0 FROM ({k})) WHERE edges > 0",
+        "code_glossary": f"SELECT 'P ' || k AS term, 'program unit' AS kind, object_id AS technical_names FROM ({k})",
+        "code_capabilities": f"SELECT object_id, 'P ' || k AS title, CASE WHEN l = 1 THEN 'Batch job that changes records one after another' ELSE 'Single business transaction' END AS shape, CASE WHEN lc + m = 0 THEN 'left to the caller' WHEN lc > 0 THEN 'each turn of the loop is made lasting on its own' ELSE 'all or nothing' END AS transaction, CASE WHEN l = 1 THEN 'once for each item of a known set' ELSE '' END AS loops, 4 + e AS rules FROM ({k})",
+        "schema_states": "SELECT 'T_' || s_suppkey AS table_name, 'STATUS' AS name, unnest(['A', 'B']) AS state FROM supplier",
+        "condition_words": "SELECT c_custkey, '(Account Balance is at most ' || upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) || ') or Transaction Status is ''P_' || c_custkey || '''' AS words, 'amt > NVL(x, ' || c_custkey || ')' AS short FROM customer",
+        "type_words": "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'Whole number (' || p_size || ' digits)' ELSE 'Decimal number (' || p_size || ' digits, ' || (p_partkey % 3) || ' decimal places)' END AS words FROM part",
         "code_complexity": f"SELECT object_id, 7 + e + 2 * l + lc + m + 3 * o AS n_statements, 4 + e + l + o AS cyclomatic, 4 + l + o + e AS cognitive FROM ({k})",
         "code_crud": f"SELECT object_id, 'ACCOUNTS' AS table_name, 'RU' AS crud FROM ({k}) UNION ALL SELECT object_id, 'AUDIT', CASE WHEN l = 1 THEN 'C' ELSE '' END || CASE WHEN e = 1 THEN 'D' ELSE '' END FROM ({k}) WHERE l + e > 0",
         "code_calls": f"SELECT object_id, 'P_' || (k + 1) AS call_target, CASE WHEN k + 1 IN (SELECT c_custkey FROM customer) THEN 'PROC-APP.P_' || (k + 1) END AS call_target_object_id, CASE WHEN k + 1 IN (SELECT c_custkey FROM customer) THEN 'resolved' ELSE 'unresolved_reference' END AS status FROM ({k})",
