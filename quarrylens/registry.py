@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ("operators.banking_queries", "plans.code_queries", "plans.facts", "plans.surface", "sources.inventory_queries")
+MODULES: tuple[str, ...] = ("operators.banking_queries", "plans.code_queries", "plans.facts", "plans.surface", "sources.inventory_queries", "streaming.velocity")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
