@@ -2,9 +2,10 @@
 
 Each rule is a share computed from a text; higher is worse. For each stratum (language) and rule a fixed grid of cutoffs
 is tried from mild to strict on the labelled rows of good quality: a cutoff holds if the exact binomial probability of so
-few rejections, were the true false-rejection rate `risk`, is at most the level. The levels are Bonferroni's over rules
-and strata; along a grid the tests stop at the first that fails (fixed sequence), so none needs a further correction. A
-rule without a cutoff that holds rejects nothing in that stratum. Strata with fewer good rows than any test needs are left
+few rejections, were the true false-rejection rate the rule's share of `risk`, is at most the level. The shares add up to
+`risk`, so that is the bound for all rules of a stratum together. The levels are Bonferroni's over rules and strata; along a
+grid the tests stop at the first that fails (fixed sequence), so none needs a further correction. A rule without a cutoff
+that holds rejects nothing in that stratum. Strata with fewer good rows than any test needs are left
 out before counts reach the driver, so at most (labelled rows / that number) strata do.
 
 Cases: a null text has no words and fails the base rules; a null language is a stratum of its own; a document is good if
@@ -29,7 +30,9 @@ GRID = (600, 500, 400, 300, 250, 200, 150, 100, 80, 60, 50, 40, 30, 20)
 
 @dataclass(frozen=True)
 class QualityParams:
-    risk: float = 0.01
+    """risk: the share of good texts (of those that pass the base rules) that all rules of a stratum together may reject; the bounds of all strata hold at once with probability 1 - level."""
+
+    risk: float = 0.04
     level: float = 0.05
     strata: int = 20  # Bonferroni's number of strata; the labels' strata beyond it, by number of good rows, get no cutoffs
 
@@ -101,8 +104,8 @@ def binomial_tail(k: int, n: int, p: float) -> float:
 def cutoffs(measured: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> dict[str | None, dict[str, int]]:
     """For each stratum the strictest cutoff of each rule that holds."""
     p = params
-    alpha = p.level / (p.strata * len(RULES))
-    needed = math.ceil(math.log(alpha) / math.log1p(-p.risk))
+    alpha, share = p.level / (p.strata * len(RULES)), p.risk / len(RULES)
+    needed = math.ceil(math.log(alpha) / math.log1p(-share))
     good = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).filter("doc_id is not null and quality is not null")
     good = good.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1").select("doc_id")
     m = F.col("m")
@@ -114,7 +117,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, params: QualityParams = Qual
     for r in found:
         for rule in RULES:
             for c in GRID:
-                if binomial_tail(r[f"{rule}_{c}"], r["n"], p.risk) > alpha:
+                if binomial_tail(r[f"{rule}_{c}"], r["n"], share) > alpha:
                     break
                 out.setdefault(r["lang"], {})[rule] = c
     return out

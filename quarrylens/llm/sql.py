@@ -27,7 +27,7 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 def _quality() -> str:
     p = quality.QualityParams()
-    alpha = p.level / (p.strata * len(quality.RULES))
+    alpha, share = p.level / (p.strata * len(quality.RULES)), p.risk / len(quality.RULES)
     tests = " UNION ALL ".join(
         f"SELECT lang, '{rule}' AS rule, {i} AS step, count(*) FILTER (NOT base_failed) AS n, count(*) FILTER (NOT base_failed AND 1000 * {a} > {c} * {b}) AS x FROM good GROUP BY lang" for rule, (a, b) in quality.RULES.items() for i, c in enumerate(quality.GRID)
     )
@@ -45,7 +45,7 @@ m AS (SELECT w.rid, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length
 f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
 good AS (SELECT * FROM f WHERE doc_id IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1)),
 tests AS ({tests}),
-passed AS (SELECT lang, rule, step, list_sum(list_transform(range(0, x + 1), lambda i: exp(lgamma(n + 1) - (CASE WHEN i = 0 THEN 0 ELSE lgamma(i + 1) END) - (CASE WHEN i = n THEN 0 ELSE lgamma(n - i + 1) END) + i * ln({p.risk}) + (n - i) * ln(1 - {p.risk})))) <= {alpha!r} AS ok
+passed AS (SELECT lang, rule, step, list_sum(list_transform(range(0, x + 1), lambda i: exp(lgamma(n + 1) - (CASE WHEN i = 0 THEN 0 ELSE lgamma(i + 1) END) - (CASE WHEN i = n THEN 0 ELSE lgamma(n - i + 1) END) + i * ln({share}) + (n - i) * ln(1 - {share})))) <= {alpha!r} AS ok
            FROM tests WHERE n > 0 AND x < n),
 firstbad AS (SELECT s.lang, s.rule, min(CASE WHEN coalesce(p.ok, FALSE) THEN {len(quality.GRID)} ELSE s.step END) AS step FROM tests s LEFT JOIN passed p ON s.lang IS NOT DISTINCT FROM p.lang AND s.rule = p.rule AND s.step = p.step GROUP BY s.lang, s.rule),
 cut AS (SELECT lang, rule, ({list(quality.GRID)})[step] AS cutoff FROM firstbad WHERE step > 0),
