@@ -7,8 +7,10 @@ component each: a window that holds the share c of a template's shingles collide
 so signatures are computed only for windows that hold a shingle of some template; for the rest the bands cannot collide. A
 retrieved template is verified exactly: the share of its shingles that the window holds must be at least `containment`.
 
-Cases: null and empty texts hold nothing; a template of fewer than five words is a single shingle and is found as a whole
-text only; a template that occurs several times is reported once, at its best and first place; repeated rows are judged
+Templates of fewer than five words are one shingle of as many words and are looked for at every word; finding one needs no
+bands and its containment is 1.
+
+Cases: null and empty texts hold nothing; a notice of rights reserved is reported beside a license too; a template that occurs several times is reported once, at its best and first place; repeated rows are judged
 alike; other columns are ignored.
 """
 
@@ -20,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import Words, mix64, row_chunks, small_batches, utf8_parts
+from .common import SHINGLE, Words, mix64, row_chunks, small_batches, utf8_parts
 
 # Public license notices as their texts ask for them to be given, and short forms in common use.
 TEMPLATES = {
@@ -28,28 +30,34 @@ TEMPLATES = {
         "Released under the MIT License.",
         "Licensed under the MIT License.",
         "This project is licensed under the MIT License",
+        "MIT License",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
     ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
+        "Apache License, Version 2.0",
+        "Apache License 2.0",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
+        "GPL-3.0",
+        "GPLv3",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
     ],
-    "GPL-2.0": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
+    "GPL-2.0": ["GPL-2.0", "GPLv2", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
     "BSD-3-Clause": [
+        "BSD-3-Clause",
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     ],
-    "BSD": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"],
-    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
+    "BSD": ["BSD License", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"],
+    "ISC": ["ISC License", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "MPL-2.0": ["MPL-2.0", "Mozilla Public License 2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."],
+    "CC-BY-4.0": ["CC BY 4.0", "Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
+    "CC-BY-SA-4.0": ["CC BY-SA 4.0", "Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
+    "CC-BY-NC-4.0": ["CC BY-NC 4.0", "Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "Unlicense": ["This is free and unencumbered software released into the public domain."],
-    "Proprietary": ["All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means without the prior written permission of the publisher."],
+    "Proprietary": ["All rights reserved.", "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means without the prior written permission of the publisher."],
 }
 
 
@@ -66,17 +74,22 @@ class TemplateIndex:
         self.p = p
         self.seeds = mix64(np.arange(1, p.bands + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         self.names, self.sets, self.lengths = [], [], []
+        self.short: dict[int, dict[int, list[int]]] = {}  # templates below SHINGLE words by their length and only shingle
         for name, texts in templates.items():
             for text in texts:
                 words = Words(*_bytes([text]))
                 if len(words.hash):
+                    size = min(SHINGLE, len(words.hash))
                     self.names.append(name)
-                    self.sets.append(np.unique(words.shingles()[1]))
+                    self.sets.append(np.unique(words.shingles(size)[1]))
                     self.lengths.append(len(words.hash))
-        self.known = np.unique(np.concatenate(self.sets)) if self.sets else np.zeros(0, np.uint64)
+                    if size < SHINGLE:
+                        self.short.setdefault(size, {}).setdefault(int(self.sets[-1][0]), []).append(len(self.names) - 1)
+        self.known = _joined([s for s, n in zip(self.sets, self.lengths, strict=True) if n >= SHINGLE])
         self.signatures = np.array([self.signature(s) for s in self.sets])
-        self.seen = np.zeros(1 << 16, dtype=bool)
-        self.seen[self.known >> np.uint64(48)] = True
+        self.seen = _seen(self.known)
+        self.short_known = {size: _joined([np.array([*codes], dtype=np.uint64)]) for size, codes in self.short.items()}
+        self.short_seen = {size: _seen(codes) for size, codes in self.short_known.items()}
 
     def signature(self, codes: np.ndarray) -> np.ndarray:
         return mix64(codes[None, :] ^ self.seeds[:, None]).min(axis=1)
@@ -84,18 +97,20 @@ class TemplateIndex:
     def scan(self, data: np.ndarray, off: np.ndarray) -> list[dict[int, tuple[float, int]]]:
         """For each text the templates found: their containment and the number of the window's first word."""
         found: list[dict[int, tuple[float, int]]] = [{} for _ in range(len(off) - 1)]
-        if not len(self.known):
-            return found
         words = Words(data, off)
+        begin = np.concatenate(([0], np.cumsum(words.count)))
+        for size, codes in self.short.items():
+            row, code, at = words.shingles(size)
+            for i in _hits(code, self.short_known[size], self.short_seen[size]):
+                for k in codes[int(code[i])]:
+                    found[row[i]].setdefault(k, (1.0, int(at[i] - begin[row[i]])))
         row, code, at = words.shingles()
-        maybe = np.flatnonzero(self.seen[code >> np.uint64(48)])
-        place = np.minimum(np.searchsorted(self.known, code[maybe]), len(self.known) - 1)
-        hits = maybe[self.known[place] == code[maybe]]
+        hits = _hits(code, self.known, self.seen)
         if not len(hits):
             return found
         starts = np.searchsorted(row, np.arange(words.rows))
         ends = np.searchsorted(row, np.arange(words.rows), side="right")
-        for length in sorted(set(self.lengths)):
+        for length in sorted({n for n in self.lengths if n >= SHINGLE}):
             stride = max(1, length // 2)
             size = max(1, length + stride - 4)  # shingles of a window
             group = [k for k, n in enumerate(self.lengths) if n == length]
@@ -114,6 +129,26 @@ class TemplateIndex:
         return found
 
 
+def _joined(sets: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
+
+
+def _seen(known: np.ndarray) -> np.ndarray:
+    """Which leading 16 bits occur: most codes are ruled out by them."""
+    seen = np.zeros(1 << 16, dtype=bool)
+    seen[known >> np.uint64(48)] = True
+    return seen
+
+
+def _hits(code: np.ndarray, known: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Where code holds one of the known."""
+    maybe = np.flatnonzero(seen[code >> np.uint64(48)])
+    if not len(maybe):
+        return maybe
+    place = np.minimum(np.searchsorted(known, code[maybe]), len(known) - 1)
+    return maybe[known[place] == code[maybe]]
+
+
 def _bytes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return utf8_parts(pa.array(texts, pa.string()))
 
