@@ -7,7 +7,7 @@ labelled findings on the driver (a bounded sample; by default findings made by r
 of nested conditions, so that scanning stays in the engine.
 
 Cases: null and empty texts have no findings; a token that occurs several times in a text is a finding each time; repeated
-rows repeat their findings; tokens longer than `most_length` are no candidates (encoded files); other columns are ignored.
+rows repeat their findings; a token may be of any length; other columns are ignored.
 Findings carry a digest of the secret, never the secret.
 """
 
@@ -38,7 +38,6 @@ class SecretParams:
     seed: int = 17
     least_length: int = 12
     least_length_untold: int = 16
-    most_length: int = 512
     most_findings: int = 20_000  # labelled findings that the fit may use
 
 
@@ -46,6 +45,9 @@ def _word_set(words: list[str]) -> str:
     return "|".join(sorted((w.replace(".", r"\.") for w in words), key=len, reverse=True))
 
 
+PREFIXED = f"^([A-Za-z_]+[=:])?({_word_set(PREFIXES)})"
+
+
 def features(token: Column, before: Column, before2: Column) -> Column:
     """The struct of FEATURES of a candidate with the two tokens before it."""
     low = F.lower(token)
@@ -64,7 +66,7 @@ def features(token: Column, before: Column, before2: Column) -> Column:
         "slashes": count("/"),
         "dots": count(r"\."),
         "hexadecimal": token.rlike("^([A-Za-z_]+[=:])?[0-9a-f]+$").cast("double"),
-        "prefixed": token.rlike(f"^([A-Za-z_]+[=:])?({_word_set(PREFIXES)})").cast("double"),
+        "prefixed": token.rlike(PREFIXED).cast("double"),
         "telling": has(TELLING),
         "innocent": has(INNOCENT),
     }
@@ -78,7 +80,7 @@ def candidates(docs: DataFrame, p: SecretParams = SecretParams()) -> DataFrame:
     tokens = F.regexp_extract_all(text, F.lit(r"([A-Za-z0-9_+/=.\-]+)"), 1)
 
     def chosen(words: Column) -> Column:
-        numbered = F.transform(words, lambda w, i: F.when((F.char_length(w) >= p.least_length) & (F.char_length(w) <= p.most_length) & w.rlike("[0-9]"), i).otherwise(F.lit(-1)))
+        numbered = F.transform(words, lambda w, i: F.when((F.char_length(w) >= p.least_length) & (w.rlike("[0-9]") | w.rlike(PREFIXED)), i).otherwise(F.lit(-1)))
         last = lambda i: F.when(F.get(words, i - 1).rlike("^[=:.\\-]+$"), F.get(words, i - 2)).otherwise(F.get(words, i - 1))
         last2 = lambda i: F.when(F.get(words, i - 1).rlike("^[=:.\\-]+$"), F.get(words, i - 3)).otherwise(F.get(words, i - 2))
         return F.transform(F.filter(numbered, lambda i: i >= 0), lambda i: F.struct(i.alias("position"), F.get(words, i).alias("token"), last(i).alias("before"), last2(i).alias("before2")))
