@@ -14,7 +14,10 @@ components. What shares a bucket with the centre and isn't yet in its class is t
 the bucket inside the join's condition, so that only true links leave the join and none is lost.
 
 Cases: a null text or one without a word is a class of its own. A text of one to four words has one shingle. Equal word
-sequences are always one class. Repeated rows, also with the same id, are one class. An empty table gives no rows.
+sequences are always one class. Repeated rows, also with the same id, are one class. An empty table gives no rows. A class is
+its component, whatever the ids: null ids, or one id of several different texts, join nothing. Its reported name is the least
+doc_id; where that is null or also names another class it is a negative number made of the component's least print. Texts
+without a word always report their doc_id, null if they have none.
 Other columns of the input are ignored by `near_duplicate_classes` and kept by `keep_one_per_class`.
 """
 
@@ -187,15 +190,12 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             return label
 
 
-def near_duplicate_classes(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFrame:
-    """(doc_id, tkey, fp, n_shingles, class_id), a row for each row of docs.
+def _classes(docs: DataFrame, scratch: Scratch, p: NearDupParams) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, tkey, fp, n, bands) for each row of docs, and (fp, label) for the texts that are linked to others.
 
-    Rows of one class share class_id, the least doc_id among them. tkey is a 64-bit key of the text as it stands, fp 128
-    bits of its word sequence in hexadecimal, null without a word.
+    tkey is a 64-bit key of the text as it stands, fp 128 bits of its word sequence in hexadecimal, null without a word.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    scratch, p = Scratch(spark), params
+    small_batches(docs.sparkSession)
     texts = _keyed(docs.select("doc_id", "text")).select("doc_id", "tkey", F.col("text").cast("string").alias("text"))
     signed = scratch.table(texts.mapInArrow(_signer(p), "doc_id long, tkey long, fp string, n long, bands array<long>"), "signed")
 
@@ -236,9 +236,25 @@ def near_duplicate_classes(docs: DataFrame, params: NearDupParams = NearDupParam
         more = y.join(x, (y["bucket"] == x["bucket"]) & fit).select("a", "b").distinct()
         more = scratch.table(more, "more")
         first = components(links.unionByName(more), scratch, "all")
+    return signed, first.select(F.col("node").alias("fp"), "label")
+
+
+def near_duplicate_classes(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFrame:
+    """(doc_id, tkey, fp, n_shingles, class_id), a row for each row of docs.
+
+    Rows of one class share class_id, the name of the class. tkey and fp as in `_classes`.
+    """
+    scratch = Scratch(docs.sparkSession)
+    signed, linked = _classes(docs, scratch, params)
     least = signed.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("least"))
-    labelled = scratch.table(least.join(first.select(F.col("node").alias("fp"), "label"), "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label")), "labelled")
-    ids = labelled.groupBy("label").agg(F.min("least").alias("class_id"))
+    labelled = scratch.table(least.join(linked, "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label")), "labelled")
+    ids = scratch.table(labelled.groupBy("label").agg(F.min("least").alias("name")), "names")
+    wordless = signed.filter("fp is null").select(F.col("doc_id").alias("name")).distinct()
+    shared = ids.select("name").unionByName(wordless).filter("name is not null").groupBy("name").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
+    made = F.lit(-1) - F.xxhash64("label").bitwiseAND(F.lit(2**63 - 1))
+    # A class without a name joins by a number of its own, so that such classes don't meet in one task.
+    ids = ids.withColumn("key", F.coalesce("name", made)).join(shared.select(F.col("name").alias("key"), F.lit(True).alias("shared")), "key", "left")
+    ids = ids.select("label", F.when(F.col("name").isNull() | F.col("shared"), made).otherwise(F.col("name")).alias("class_id"))
     ids = scratch.table(labelled.join(ids, "label").select("fp", "class_id"), "ids")
     out = signed.select("doc_id", "tkey", "fp", "n").join(ids, "fp", "left")
     return out.select("doc_id", "tkey", "fp", F.col("n").alias("n_shingles"), F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
@@ -254,16 +270,18 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_per_class(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFrame:
-    """The rows of docs without all but one row of each class: the least doc_id stays, of its repeated rows any one.
+    """The rows of docs without all but one row of each class: the least doc_id stays (a null one last), of its repeated rows any one.
 
     Rows without a word all stay. All columns of docs are kept, whatever their names.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    classes = scratch.table(near_duplicate_classes(docs, params).filter("fp is not null"), "classes")
-    rows = classes.groupBy(_id("doc_id").alias("key_id"), "tkey").agg(F.min("class_id").alias("class_id"), F.count(F.lit(1)).alias("copies"), F.first(F.col("doc_id").isNull()).alias("no_id"))
+    signed, linked = _classes(docs, scratch, params)
+    signed = signed.filter("fp is not null").select("doc_id", "tkey", "fp")
+    labelled = signed.join(linked, "fp", "left").select("doc_id", "tkey", F.unhex(F.coalesce("label", "fp")).alias("label"))
+    rows = labelled.groupBy(_id("doc_id").alias("key_id"), "tkey").agg(F.min("label").alias("label"), F.count(F.lit(1)).alias("copies"), F.first(F.col("doc_id").isNull()).alias("no_id"))
     rows = scratch.table(rows, "rows")
-    best = rows.groupBy(_id("class_id").alias("class_key")).agg(F.min(F.struct("no_id", "key_id", "tkey")).alias("stays"))
+    best = rows.groupBy("label").agg(F.min(F.struct("no_id", "key_id", "tkey")).alias("stays"))
     best = best.select(F.col("stays.key_id").alias("key_id"), F.col("stays.tkey").alias("tkey"), F.lit(True).alias("stays"))
     judged = scratch.table(rows.join(best, ["key_id", "tkey"], "left").select("key_id", "tkey", "copies", F.coalesce("stays", F.lit(False)).alias("stays")).filter("not stays or copies > 1"), "judged")
     whole = docs.select(F.struct("*").alias("row"), _id("doc_id").cast("long").alias("key_id"), F.xxhash64(F.col("text").cast("string")).alias("tkey"))
