@@ -6,7 +6,8 @@ few rejections, were the true false-rejection rate the rule's share of `risk`, i
 `risk`, so that is the bound for all rules of a stratum together. The levels are Bonferroni's over rules and strata; along a
 grid the tests stop at the first that fails (fixed sequence), so none needs a further correction. A rule without a cutoff
 that holds rejects nothing in that stratum. Strata with fewer good rows than any test needs are left
-out before counts reach the driver, so at most (labelled rows / that number) strata do.
+out before counts reach the driver, so at most (labelled rows / that number) strata do; all of those are tested, and where
+they are more than `strata` the levels are divided by their number, which depends on no rejection.
 
 Cases: a null text has no words and fails the base rules; a null language is a stratum of its own; a document is good if
 the least of its labels is 1; null labels and labels without a document don't count; without labels only the base rules
@@ -34,7 +35,7 @@ class QualityParams:
 
     risk: float = 0.04
     level: float = 0.05
-    strata: int = 20  # Bonferroni's number of strata; the labels' strata beyond it, by number of good rows, get no cutoffs
+    strata: int = 20  # Bonferroni's least number of strata; with more that have enough good rows it is their number
 
 
 def repeat_words(words: Column, size: int = 5) -> Column:
@@ -105,6 +106,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, params: QualityParams = Qual
     """For each stratum the strictest cutoff of each rule that holds."""
     p = params
     alpha, share = p.level / (p.strata * len(RULES)), p.risk / len(RULES)
+    # Rows that any test needs; it grows with the strata, and those that then have too few fail their tests below.
     needed = math.ceil(math.log(alpha) / math.log1p(-share))
     good = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).filter("doc_id is not null and quality is not null")
     good = good.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1").select("doc_id")
@@ -112,7 +114,8 @@ def cutoffs(measured: DataFrame, labels: DataFrame, params: QualityParams = Qual
     rows = measured.join(good, "doc_id", "left_semi")
     hits = [F.count_if(~base_failed(m) & fails(m, rule, c)).alias(f"{rule}_{c}") for rule in RULES for c in GRID]
     found = rows.groupBy("lang").agg(F.count_if(~base_failed(m)).alias("n"), *hits).filter(F.col("n") >= needed)
-    found = found.orderBy(F.desc("n"), F.asc_nulls_last("lang")).limit(p.strata).collect()
+    found = found.collect()
+    alpha = p.level / (max(p.strata, len(found)) * len(RULES))
     out: dict[str | None, dict[str, int]] = {}
     for r in found:
         for rule in RULES:
@@ -125,12 +128,13 @@ def cutoffs(measured: DataFrame, labels: DataFrame, params: QualityParams = Qual
 
 def kept(m: Column, lang: Column, limits: dict[str | None, dict[str, int]]) -> Column:
     """Neither the base rules nor a cutoff of the row's stratum reject it."""
-    out = ~base_failed(m)
+    out, strata = ~base_failed(m), {}
     for stratum, rules in limits.items():
-        bad = F.lit(False)
         for rule, c in rules.items():
-            bad = bad | fails(m, rule, c)
-        out = out & ~(lang.eqNullSafe(F.lit(stratum)) & bad)
+            strata.setdefault((rule, c), []).append(stratum)
+    for (rule, c), names in strata.items():  # a term for each cutoff, however many strata there are
+        inside = F.coalesce(lang.isin([x for x in names if x is not None]), F.lit(False))
+        out = out & ~((inside | lang.isNull() if None in names else inside) & fails(m, rule, c))
     return out
 
 
