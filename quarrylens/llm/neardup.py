@@ -70,7 +70,10 @@ def bag_signature(row: np.ndarray, element: np.ndarray, weight: np.ndarray, rows
         number = np.array([int(_GOLD) * (step + i) & 0xFFFFFFFFFFFFFFFF for i in range(1, k + 1)], dtype=np.uint64)
         step += k
         u = mix64(seed[:, None] + number[None, :])
-        x = x[:, None] + np.cumsum(-np.log1p(-((u >> np.uint64(12)).astype(np.float64) * 2.0**-52)) / rate[:, None], axis=1)
+        # Added one after the other from the running x: a text's values are the same to the bit whatever else is in the batch.
+        steps = -np.log1p(-((u >> np.uint64(12)).astype(np.float64) * 2.0**-52)) / rate[:, None]
+        steps[:, 0] += x
+        x = np.cumsum(steps, axis=1)
         v = mix64(u ^ _LEVEL)
         at = owner[:, None] * m + ((v & np.uint64(0xFFFFFFFF)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
         value = x
