@@ -47,7 +47,9 @@ def normalised(text: str | None) -> str:
 
 
 def windows(text: str | None, size: int) -> list[str]:
-    words = normalised(text).split()
+    # At plain spaces only: split() would also cut at non-ASCII white space, which belongs to words.
+    inner = normalised(text).strip(" ")
+    words = inner.split(" ") if inner else []
     return [f" {' '.join(words[i : i + size])} " for i in range(max(1, len(words) - size + 1))] if words else []
 
 
