@@ -1,15 +1,18 @@
 """Toxicity scores by a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
 Features are the distinct n-grams of four to six characters of the lower-cased text, runs of other characters than
-letters and digits being one space. From a bounded sample of labelled rows come, for each n-gram, the numbers of toxic
+ASCII letters and digits and those from U+00C0 on being one space, with one space before and after each text, so that a
+score depends on its text alone. From a bounded sample of labelled rows come, for each n-gram, the numbers of toxic
 and of other texts that hold it; its value is the log ratio of the two smoothed shares. The n-grams that tell most are
 the vocabulary (exact 64-bit codes, not buckets), and a logistic regression with an L2 penalty is fitted on presence
 times ratio. The sample takes toxic and other rows by their own bounds; weights restore the shares of all labelled rows.
 
 Cases: null and empty texts have no n-gram and get the score of the intercept. A document is toxic if any of its labels
-is 1; null labels and labels without a document don't count. Without a training row, or with one class only, every score
-is the share of toxic rows (0 without any). A null doc_id is held out. Repeated rows get one score each. Other columns of
-the inputs are ignored. Very long texts are read whole.
+is 1; null labels and labels without a document don't count, neither for the shares nor for the sample. Of several rows
+with a sampled id the fit takes the shortest text. Without a training row, or with one class only, every score is the share of
+toxic rows (0 without any). A null doc_id is held out. Repeated rows get one score each. The fit doesn't depend on the order
+of rows. Other columns of the inputs are ignored. Very long texts are scored whole; a text that is longer than what is left
+of `most_bytes` isn't in the sample.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import mix64, row_chunks, small_batches, utf8_parts
+from .common import Scratch, mix64, row_chunks, small_batches, utf8_parts
 
 
 _FIT_BYTES = 1_000_000
@@ -31,6 +34,7 @@ class ToxicityParams:
     orders: tuple[int, ...] = (4, 5, 6)
     most_toxic: int = 2000  # labelled rows of each class that the fit may use
     most_other: int = 4000
+    most_bytes: int = 64_000_000  # of the sampled texts together
     vocabulary: int = 6_000
     least_texts: int = 4  # of the sample that hold an n-gram of the vocabulary
     smoothing: float = 1.0
@@ -43,14 +47,13 @@ _SPREAD = mix64(np.arange(1, 33, dtype=np.uint64)) | np.uint64(1)
 
 
 def _characters(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Folded code points of some texts and the row of each; a space stands at either end of a text."""
-    texts = [bytes(data[a:b]).decode("utf-8", "replace").lower() for a, b in zip(off[:-1], off[1:], strict=True)]
-    joined = " ".join(["", *texts, ""])
-    code = np.frombuffer(joined.encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.uint64)
-    row = np.repeat(np.arange(len(texts) + 1), [len(t) + 1 for t in texts] + [1])
+    """Folded code points of some texts and the row of each; every text has a space of its own at either end."""
+    texts = [f" {bytes(data[a:b]).decode('utf-8', 'replace').lower()} " for a, b in zip(off[:-1], off[1:], strict=True)]
+    code = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.uint64)
+    row = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
     blank = ~(((code >= 97) & (code <= 122)) | ((code >= 48) & (code <= 57)) | (code >= 0xC0))
     keep = np.ones(len(code), dtype=bool)
-    keep[1:] = ~(blank[1:] & blank[:-1])
+    keep[1:] = ~(blank[1:] & blank[:-1] & (row[1:] == row[:-1]))
     code[blank] = 32
     return code[keep], row[keep]
 
@@ -72,8 +75,8 @@ def _slot(h: np.ndarray, n: int) -> np.ndarray:
 
 
 def _within(row: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
-    """Those of some n-grams that lie in one text and the spaces on either side."""
-    return at[row[at + 1] == row[at + n - 2]]
+    """Those of some n-grams that lie in one text, its own two spaces included."""
+    return at[row[at] == row[at + n - 1]]
 
 
 def _distinct(key: np.ndarray) -> np.ndarray:
@@ -108,7 +111,7 @@ class ToxicityModel:
             code = mix64(h[maybe] + np.uint64(n))
             at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
             hit = self.codes[at] == code
-            rows.append(row[maybe[hit] + 1])
+            rows.append(row[maybe[hit]])
             numbers.append(at[hit])
         return _pairs(np.concatenate(rows), np.concatenate(numbers))
 
@@ -137,8 +140,8 @@ def fit(texts: pa.Array, toxic: np.ndarray, share: float, p: ToxicityParams = To
     count = np.zeros((2, 1 << _SLOTS), dtype=np.int32)
     for lo, hi in row_chunks(off, _FIT_BYTES):
         for row, h, n in ngrams(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], p.orders):
-            at = _within(row, np.arange(len(h) - 1), n)
-            r, slot = _pairs(row[at + 1], _slot(h[at], n))
+            at = _within(row, np.arange(len(h)), n)
+            r, slot = _pairs(row[at], _slot(h[at], n))
             for c in (0, 1):
                 count[c] += np.bincount(slot[toxic[lo + r] == c], minlength=1 << _SLOTS).astype(np.int32)
 
@@ -156,7 +159,7 @@ def fit(texts: pa.Array, toxic: np.ndarray, share: float, p: ToxicityParams = To
         for row, h, n in ngrams(data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], p.orders):
             slot = _slot(h, n)
             at = _within(row, np.flatnonzero(slots[slot]), n)
-            r, code, slot = row[at + 1], mix64(h[at] + np.uint64(n)), slot[at]
+            r, code, slot = row[at], mix64(h[at] + np.uint64(n)), slot[at]
             order = np.lexsort((code, r))
             r, code, slot = r[order], code[order], slot[order]
             new = np.concatenate(([True], (r[1:] != r[:-1]) | (code[1:] != code[:-1]))) if len(r) else np.zeros(0, bool)
@@ -209,14 +212,25 @@ def fit_on_labels(docs: DataFrame, labels: DataFrame, params: ToxicityParams = T
     p = params
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null and toxic is not null")
     known = known.filter(~is_held_out(F.col("doc_id"))).groupBy("doc_id").agg((F.max("toxic") >= 1).alias("toxic"))
-    total, toxic = known.agg(F.count(F.lit(1)), F.count_if("toxic")).first()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    present = Scratch(docs.sparkSession).table(known.join(texts.select("doc_id"), "doc_id", "left_semi"), "labelled")
+    total, toxic = present.agg(F.count(F.lit(1)), F.count_if("toxic")).first()
     if not total or not 0 < toxic < total:
         return _constant(p.orders, toxic / total if total else 0)
-    pick = lambda kind, most: known.filter(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    ids = pick(True, p.most_toxic).unionByName(pick(False, p.most_other))  # at most 6,000 ids: broadcast
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "doc_id").select("text", "toxic").toArrow()
-    if not sample.num_rows:
+    pick = lambda kind, most: present.filter(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    ids = pick(True, p.most_toxic).unionByName(pick(False, p.most_other))  # at most most_toxic + most_other ids: broadcast
+    sampled = texts.join(F.broadcast(ids), "doc_id")
+    # Sizes come first, one row for an id; only texts that fit in most_bytes are fetched.
+    sizes = sampled.groupBy("doc_id").agg(F.min(F.struct(F.octet_length("text").alias("size"), F.xxhash64("text").alias("key"))).alias("x")).select("doc_id", "x.*").collect()
+    fits, used = [], 0
+    for r in sorted(sizes, key=lambda r: (r.key, r.doc_id)):
+        if used + r.size <= p.most_bytes:
+            used += r.size
+            fits.append((r.doc_id, r.key))
+    if not fits:
         return _constant(p.orders, toxic / total)
+    fits = docs.sparkSession.createDataFrame(fits, "doc_id long, key long")
+    sample = sampled.withColumn("key", F.xxhash64("text")).join(F.broadcast(fits), ["doc_id", "key"]).groupBy("doc_id").agg(F.first("text").alias("text"), F.first("toxic").alias("toxic")).toArrow().sort_by("doc_id")
     return fit(sample.column("text"), sample.column("toxic").to_numpy(zero_copy_only=False).astype(bool), toxic / total, p)
 
 

@@ -12,4 +12,3 @@ def test_items_with_other_white_space(spark):
     assert [got[i] for i in range(5)] == [(4, 2, 1)] * 5
     assert [got[i] for i in range(5, 10)] == [(14, 12, 1)] * 5
     assert got[10] == (3, 0, 0) and got[11] == (13, 0, 0)
-    assert decontam.windows(spaces[0], 10) == [f" {spaces[0]} "] and decontam.windows(" .,", 10) == []
