@@ -1,15 +1,22 @@
 """Personal data: detection and keyed surrogates.
 
-E-mail addresses, telephone numbers, IPv4 addresses, card and other long numbers, social security numbers, IBANs and names
-that begin with a known given name are replaced by others of their type. A surrogate is the image of the normalised entity
-under a keyed permutation of the entities of its form: letters stay letters of the same script and case, digits digits,
-separators stay where they are, given names keep gender and script, card numbers their check digit, addresses their
-range. Hence the same entity has the same surrogate everywhere, in whatever way it is written, and two entities never
-share one. Each new surrogate is checked: it must differ from the original and lead back to it under the inverse
-permutation; a permutation that leaves an entity where it is swaps the images of it and its neighbour.
+E-mail and IP addresses, telephone numbers, card and other long numbers, social security numbers, IBANs and names of persons
+are replaced by others of their type. An entity is first brought to a normal form, which doesn't depend on its writing: a
+telephone number is its country code and national number (ten digits without a code are read with code 1), a name is each of
+its parts in lower case. A surrogate is the image of the normal form under a keyed permutation of the normal forms of its
+kind, put back into the writing it was found in: separators stay, letters stay letters of the same script and case, given
+names keep gender and script, cards their first digit and check digit, addresses their range. Hence the same entity has the
+same surrogate everywhere, and two entities never share one. This is checked for each new surrogate: it is read again as it
+is written, must have the normal form that was meant, differ from the original's, and lead back to it under the inverse.
+
+Names are found by a known given name (a list, which a parameter extends) and a surname, in either order and in capitals,
+after a title (Mr, Frau, Mme ...), and after words that announce one ("my name is"). Parts of a name are permuted each on
+their own and, once a name is found in a text, its surname and given name are also replaced where they stand alone in that
+text. So "Mary Smith ... Mr Smith ... Mary" stay one person. A lone name that no such sign announces is not found.
 
 Cases: null stays null and empty stays empty; texts without an entity come back unchanged, byte for byte; overlapping
-finds are resolved from left to right, e-mail first; repeated rows get the same text; all columns of the input are kept.
+finds are resolved from left to right, the longest first; repeated rows get the same text; a text is searched in time
+proportional to its length; all columns of the input are kept; counts take underscores where the input has their names.
 """
 
 from __future__ import annotations
@@ -18,6 +25,7 @@ import re
 from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import blake2b
+from ipaddress import IPv4Address, IPv6Address, ip_address
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
@@ -26,34 +34,46 @@ from .common import small_batches
 
 # Given names by script and gender.
 GIVEN = {
-    ("latin", "male"): "James John Robert Michael William David Richard Joseph Thomas Charles Christopher Matthew Anthony Steven Andrew Kenneth George Joshua Kevin Brian Edward Ronald Timothy Jason Jeffrey Jürgen Klaus Wolfgang Günter Dieter Stefan Pierre Jacques François Philippe Laurent José Carlos Miguel Javier Francisco Alejandro".split(),
-    ("latin", "female"): "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Margaret Sandra Ashley Kimberly Emily Michelle Carol Amanda Melissa Deborah Ursula Monika Sabine Gabriele Brigitte Heike Nathalie Isabelle Sylvie Véronique Camille María Carmen Lucía Pilar Mercedes Dolores".split(),
+    ("latin", "male"): "James John Robert Michael William David Richard Joseph Thomas Charles Christopher Matthew Anthony Steven Andrew Kenneth George Joshua Kevin Brian Edward Ronald Timothy Jason Jeffrey Jürgen Klaus Wolfgang Günter Dieter Stefan Pierre Jacques François Philippe Laurent José Carlos Miguel Javier Francisco Alejandro Ahmed Mohammed Rahul Arjun Wei".split(),
+    ("latin", "female"): "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Margaret Sandra Ashley Kimberly Emily Michelle Carol Amanda Melissa Deborah Ursula Monika Sabine Gabriele Brigitte Heike Nathalie Isabelle Sylvie Véronique Camille María Carmen Lucía Pilar Mercedes Dolores Fatima Aisha Priya Anjali Mei".split(),
     ("cyrillic", "male"): "Иван Сергей Дмитрий Алексей Николай Владимир Михаил Андрей Павел Юрий".split(),
     ("cyrillic", "female"): "Анна Ольга Мария Елена Наталья Татьяна Ирина Светлана Екатерина Людмила".split(),
 }
+# Titles before a name, and words that announce a name of two words.
+TITLES = "Mr Mrs Ms Miss Dr Prof Sir Herr Frau Monsieur Madame Mme Mlle Señor Señora Sr Sra Don Doña господин госпожа".split()
+ANNOUNCED = ("my name is", "full name:", "name:", "contact person:", "signed by", "sincerely,", "kind regards,", "best regards,", "mein Name ist", "je m'appelle", "me llamo", "меня зовут")
+# Country codes of two digits; 1 and 7 have one, all others three.
+TWO_DIGIT_CODES = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 
 TYPES = ("email", "iban", "ip", "ssn", "number", "phone", "name")
-_ALL_GIVEN = sorted((n for names in GIVEN.values() for n in names), key=len, reverse=True)
-_SURNAME = r"[A-ZÀ-ÖØ-ÞА-Я][a-zß-öø-ÿа-яё]+(?:-[A-ZÀ-ÖØ-ÞА-Я][a-zß-öø-ÿа-яё]+)?"
+_UPPER, _LOW = "A-ZÀ-ÖØ-ÞА-ЯЁ", "a-zß-öø-ÿа-яё"
+_PART = rf"[{_UPPER}](?:[{_LOW}]+|[{_UPPER}]+(?![{_LOW}]))(?:['’-][{_UPPER}][{_LOW}{_UPPER}]+)?|Mc[A-Z][a-z]+"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_WITH_DIGITS = (
-    r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+\-]*@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,})"
-    r"|(?<![A-Za-z0-9])(?P<iban>[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?))(?![A-Za-z0-9])"
+#: Everything with a fixed beginning; runs are bounded, so that no long token is read again and again.
+_FIND = re.compile(
+    r"(?<![A-Za-z0-9])(?P<iban>[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?))(?![A-Za-z0-9])"
     rf"|(?<![\d.])(?P<ip>{_OCTET}(?:\.{_OCTET}){{3}})(?![\d]|\.\d)"
+    r"|(?<![\w:.])(?P<ip6>(?=[0-9A-Fa-f:]{2,39}(?![\w:]))[0-9A-Fa-f]{0,4}:[0-9A-Fa-f:]*:[0-9A-Fa-f]{0,4})"
     r"|(?<![\w-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
     r"|(?<![A-Za-z0-9])(?P<number>\d{13,19}|\d{4}(?:[ \-]\d{4}){2,3}(?:[ \-]\d{1,4})?|\d{4}[ \-]\d{6}[ \-]\d{5})(?![A-Za-z0-9])"
-    r"|(?<![\w+])(?P<phone>(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{2,4}[ .\-])\d{3,4}[ .\-]\d{3,4}|\+\d{8,15})(?![\w-])"
+    r"|(?<![\w+])(?P<phone>\+[1-9](?:[ .\-/()]{0,2}\d){7,14}|1[ .\-](?:\([2-9]\d{2}\)[ .\-]?|[2-9]\d{2}[ .\-])\d{3}[ .\-]\d{4}|(?:\(\d{2,4}\)[ .\-]?|\d{2,4}[ .\-])\d{3,4}[ .\-]\d{3,4}|0\d{2,4}[ /\-]\d{5,8}|[2-9]\d{2}[2-9]\d{6})(?![\w-])"
 )
-_FIND = re.compile(_WITH_DIGITS)
-_NAME = re.compile(rf"(?<!\w)(?P<given>{'|'.join(map(re.escape, _ALL_GIVEN))}) (?P<initial>[A-Z]\. )?(?P<surname>{_SURNAME})(?!\w)")
-#: Entities are looked for only in stretches of words with a digit or "@", names at two capitalised words.
-_MAYBE, _SPACE = re.compile(r"[0-9@]"), re.compile(r"\s")
-_GOES_ON = re.compile(r"\s[A-Z]{1,4}(?!\S)|\s\S*?[0-9@]\S*")
-_CAPITALS = re.compile(r"(?<!\w)[A-ZÀ-ÞА-Я]\w+ (?=[A-ZÀ-ÞА-Я])")
-_KNOWN = frozenset(_ALL_GIVEN)
+_MAYBE, _SPACE = re.compile(r"[0-9]|::"), re.compile(r"\s")
+_GOES_ON = re.compile(r"\s[A-Z]{1,4}(?!\S)|\s[^\s0-9]{0,8}[0-9]\S*")
+_LOCAL = re.compile(r"[\w.%+\-]")
+_DOMAIN = re.compile(r"@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,}")
+_MOST_LOCAL = 64  # characters before an "@", as the mail standard bounds them
+_CAPITALS = re.compile(rf"(?<!\w)([{_UPPER}][{_LOW}{_UPPER}]+)(?= (?:[{_UPPER}]\. )?[{_UPPER}])")
+_AFTER = re.compile(rf" (?:(?P<initial>[{_UPPER}])\. )?(?P<surname>{_PART})(?!\w)")
+_TITLED = re.compile(rf"(?<!\w)(?:{'|'.join(TITLES)})\.? (?:(?P<given>{_PART}) )?(?:(?P<initial>[{_UPPER}])\. )?(?P<surname>{_PART})(?!\w)")
+_REVERSED = re.compile(rf"(?:^|(?<=[\n;:(\t|]))[ ]*(?P<surname>{_PART}), (?P<given>{_PART})(?: (?P<initial>[{_UPPER}])\.)?(?=[ ]*(?:$|[\n;)\t|]))")
+_ANNOUNCED = re.compile(rf"(?i:(?<!\w)(?:{'|'.join(map(re.escape, ANNOUNCED))}))\s{{1,2}}(?P<given>{_PART}) (?:(?P<initial>[{_UPPER}])\. )?(?P<surname>{_PART})(?!\w)")
+_TITLE_SIGN = re.compile("|".join(map(re.escape, TITLES)))
+_ANNOUNCE_SIGN = re.compile("|".join(sorted({re.escape(a.split()[-1].lower().rstrip(":,")) for a in ANNOUNCED})), re.I)
 
 
 def _stretches(text: str):
+    """Stretches of words with a digit or "::" and what may go on from them."""
     at = 0
     while m := _MAYBE.search(text, at):
         lo = m.start()
@@ -67,12 +87,28 @@ def _stretches(text: str):
         at = hi
 
 
+def _emails(text: str):
+    """Start and end of each address: from an "@" to the left, at most as far as the last address, and to the right."""
+    at = text.find("@")
+    last = 0
+    while at >= 0:
+        if m := _DOMAIN.match(text, at):
+            lo = at
+            while lo > max(last, at - _MOST_LOCAL) and _LOCAL.match(text[lo - 1]):
+                lo -= 1
+            while lo < at and not text[lo].isalnum():
+                lo += 1
+            if lo < at:
+                yield lo, m.end()
+                last = at = m.end() - 1
+        at = text.find("@", at + 1)
 
 
 @dataclass(frozen=True)
 class PiiParams:
     key: str = "surrogates"  # the secret; whoever knows it can invert surrogates
     rounds: int = 8
+    given: tuple[str, ...] = ()  # further given names, of unknown gender
 
 
 class Permutation:
@@ -138,7 +174,7 @@ class Permutation:
 
 
 #: Letters that a surrogate's letters come from, by what the original's are: vowels and consonants of each script.
-_CLASSES = ["aeiou", "bcdfghjklmnpqrstvwxyz", "äöüàáâãåèéêëìíîïòóôõøùúûýÿ", "çñßð", "аеиоуыэюяё", "бвгджзклмнпрстфхцчшщ", "0123456789"]
+_CLASSES = ["aeiou", "bcdfghjklmnpqrstvwxyz", "äöüàáâãåæèéêëìíîïòóôõøùúûýÿ", "çñßðþ", "аеиоуыэюяё", "бвгджзклмнпрстфхцчшщ", "0123456789"]
 _CLASS = {c: s for s in _CLASSES for c in s}
 
 
@@ -163,7 +199,7 @@ def _spelled(value: int, form: str, classes: dict[str, str] = _CLASS) -> str:
 
 def _ascii_classes() -> dict[str, str]:
     letters, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
-    return {c: letters for c in letters} | {c: digits for c in digits}
+    return _CLASS | {c: letters for c in letters} | {c: digits for c in digits}
 
 
 _PLAIN = _ascii_classes()
@@ -177,6 +213,44 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _lowered(text: str) -> str:
+    return "".join(low if len(low := c.lower()) == 1 else c for c in text)
+
+
+def _cased(new: str, old: str) -> str:
+    return "".join(up if o.isupper() and len(up := n.upper()) == 1 else n for n, o in zip(new, old, strict=True))
+
+
+def phone_parts(text: str) -> tuple[str, str]:
+    """Country code and national number. Without a code: 1 for ten digits, or eleven that begin with 1, else none."""
+    digits = re.sub(r"\D", "", re.sub(r"\(0\)", "", text) if text[0] == "+" else text)
+    if text[0] != "+":
+        return ("1", digits[-10:]) if len(digits) == 10 or (len(digits) == 11 and digits[0] == "1") else ("", digits)
+    n = 1 if digits[0] in "17" else 2 if digits[:2] in TWO_DIGIT_CODES else 3
+    return digits[:n], digits[n:]
+
+
+_ENDING = re.compile(r"(?:ова|ева|ина|ская|ов|ев|ин|ский)$")
+
+
+def _split_surname(name: str) -> tuple[str, str]:
+    """A lower-case surname's stem and, of Slavic ones, the ending that tells the gender."""
+    e = _ENDING.search(name, 1)
+    return (name[: e.start()], e[0]) if e else (name, "")
+
+
+#: Ranges of addresses that keep to themselves: value of the leading bits, their number, and the bits of an address.
+_RANGES = {
+    32: ((10, 8), (127, 8), (0xAC1, 12), (0xC0A8, 16), (0xA9FE, 16)),
+    128: ((0, 96), (0xFFFF, 96), (0x3FA, 10), (0x7E, 7), (0xFF, 8)),
+}
+
+
+def _in_range(value: int, bits: int) -> tuple[int, int]:
+    """The special range of an address, else (-1, 0), for which IPv6 keeps the first three bits."""
+    return next(((lead, n) for lead, n in _RANGES[bits] if value >> (bits - n) == lead), (-1, 0))
+
+
 class Surrogates:
     """Keyed replacements of entities; a worker keeps those it has made."""
 
@@ -187,10 +261,15 @@ class Surrogates:
     def __getstate__(self):
         return {"p": self.p, "_made": None}
 
-    def of(self, kind: str, text: str) -> str:
+    def _ready(self):
         if self._made is None:
             self._permutation = Permutation(blake2b(self.p.key.encode(), digest_size=32).digest(), self.p.rounds)
+            self._pools = {n.lower(): [x.lower() for x in names] for names in GIVEN.values() for n in names}
+            self._known = frozenset(self._pools) | {n.lower() for n in self.p.given}
             self._made = lru_cache(maxsize=50_000)(self._make)
+
+    def of(self, kind: str, text: str) -> str:
+        self._ready()
         return self._made(kind, text)
 
     def _permuted(self, form: str, tweak: str, classes=_CLASS, valid=lambda s: True) -> str:
@@ -209,9 +288,6 @@ class Surrogates:
                 return out
             x = y
 
-    def _digits(self, digits: str, tweak: str, valid=lambda s: True) -> str:
-        return self._permuted(digits, tweak, _PLAIN, valid)
-
     @staticmethod
     def _into(shape: str, characters: str) -> str:
         """Letters and digits of shape replaced in turn, in shape's case."""
@@ -221,91 +297,175 @@ class Surrogates:
     def _make(self, kind: str, text: str) -> str:
         return getattr(self, f"_{kind}")(text)
 
+    def _checked(self, normal, meant, new: str) -> str:
+        """new, if it reads as what was meant."""
+        if normal(new) != meant:
+            raise ValueError("a surrogate doesn't read as the entity that was meant")
+        return new
+
     def _email(self, text: str) -> str:
-        local, _, domain = text.rpartition("@")
-        name, dot, top = domain.rpartition(".")
-        new_name = self._permuted(name.lower(), "domain", _PLAIN)
-        new_local = self._permuted(local.lower(), f"local|{domain.lower()}", _PLAIN)
-        case = lambda new, old: "".join(n.upper() if o.isupper() else n for n, o in zip(new, old, strict=True))
-        return f"{case(new_local, local)}@{case(new_name, name)}{dot}{top}"
+        normal = lambda t: tuple(_lowered(x) for x in (*t.rpartition("@")[::2],))
+        local, domain = normal(text)
+        name, _, top = domain.rpartition(".")
+        new = (self._permuted(local, f"local|{domain}", _PLAIN), f"{self._permuted(name, 'domain', _PLAIN)}.{top}")
+        return self._checked(normal, new, _cased(f"{new[0]}@{new[1]}", text))
 
     def _iban(self, text: str) -> str:
-        plain = re.sub(r"[^A-Z0-9]", "", text).lower()
-        new = self._permuted(plain[4:], f"iban|{plain[:2]}", _PLAIN)
-        number = "".join(str(int(c, 36)) for c in new + plain[:2] + "00")
-        check = f"{98 - int(number) % 97:02d}"
-        if int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 != 1:
-            check = plain[2:4]
-        return self._into(text, plain[:2] + check + new)
+        normal = lambda t: re.sub(r"[^A-Z0-9]", "", t).lower()
+        plain = normal(text)
+        country, check, rest = plain[:2], plain[2:4], plain[4:]
+        value = lambda r, c: int("".join(str(int(x, 36)) for x in r + country + c))
+        if value(rest, check) % 97 == 1:
+            new = self._permuted(rest, f"iban|{country}", _PLAIN)
+            check = f"{98 - value(new, '00') % 97:02d}"
+        else:  # numbers with a wrong check stay among those
+            new = self._permuted(rest, f"iban|{country}|{check}", _PLAIN, lambda r: value(r, check) % 97 == 1)
+        return self._checked(normal, country + check + new, self._into(text, country + check + new))
+
+    def _address(self, value: int, bits: int) -> int:
+        lead, n = _in_range(value, bits)
+        fixed, keep = (lead, n) if n else (value >> (bits - 3), 3) if bits == 128 else (0, 0)
+        free = bits - keep
+        y = value & ((1 << free) - 1)
+        while True:
+            y = self._permutation.forward(y, 1 << free, f"ip|{bits}|{fixed}|{keep}")
+            new = fixed << free | y
+            if _in_range(new, bits) == (lead, n):
+                return new
 
     def _ip(self, text: str) -> str:
-        a, b, c, d = map(int, text.split("."))
-        value = (a << 24) | (b << 16) | (c << 8) | d
-        for base, bits in ((10 << 24, 24), ((172 << 24) | (16 << 16), 20), ((192 << 24) | (168 << 16), 16), (127 << 24, 24)):
-            if value >> bits == base >> bits:
-                y = base | self._permutation.forward(value & ((1 << bits) - 1), 1 << bits, f"ip|{base}")
-                break
-        else:
-            private = lambda v: v >> 24 in (10, 127) or v >> 20 == (172 << 4) + 1 or v >> 16 == (192 << 8) + 168
-            y = self._permutation.forward(value, 1 << 32, "ip")
-            while private(y):
-                y = self._permutation.forward(y, 1 << 32, "ip")
-        return ".".join(str(y >> s & 255) for s in (24, 16, 8, 0))
+        normal = lambda t: int(ip_address(t))
+        new = self._address(normal(text), 32)
+        return self._checked(normal, new, str(IPv4Address(new)))
+
+    def _ip6(self, text: str) -> str:
+        normal = lambda t: int(IPv6Address(t))
+        new = self._address(normal(text), 128)
+        written = IPv6Address(new).compressed if "::" in text else ":".join(f"{new >> s & 0xFFFF:{'04x' if re.search('(?:^|:)0', text) else 'x'}}" for s in range(112, -1, -16))
+        return self._checked(normal, new, written.upper() if text.upper() == text and text.lower() != text else written)
 
     def _ssn(self, text: str) -> str:
-        return self._into(text, self._digits(text.replace("-", ""), "ssn", lambda s: s[0] != "9" and s[:3] not in ("000", "666")))
+        return self._into(text, self._permuted(text.replace("-", ""), "ssn", _PLAIN, lambda s: s[0] != "9" and s[:3] not in ("000", "666")))
 
     def _phone(self, text: str) -> str:
-        digits = re.sub(r"\D", "", text)
-        code = re.match(r"\+(\d{1,3})[ .\-(]", text)
-        lead = code[1] if code else "1" if text[0] == "+" and digits[0] == "1" else ""
-        rest = digits[len(lead) :]
-        return self._into(text, lead + self._digits(rest, "phone", lambda s: s[0] not in "01"))
+        code, rest = phone_parts(text)
+        valid = (lambda s: s[0] not in "01") if code == "1" else (lambda s: s[0] != "0")
+        new = self._permuted(rest, f"phone|{code}", _PLAIN, valid)
+        shape = re.sub(r"\(0\)", "(\0)", text) if text[0] == "+" else text  # a trunk zero is no digit of the number
+        prefix = code if text[0] == "+" or len(re.sub(r"\D", "", text)) == 11 and code else ""
+        return self._checked(phone_parts, (code, new), self._into(shape, prefix + new).replace("\0", "0"))
 
     def _number(self, text: str) -> str:
         digits = re.sub(r"\D", "", text)
-        return self._into(text, self._digits(digits, "number", lambda s: luhn(s) and s[0] != "0"))
-
-    def _name(self, text: str) -> str:
-        m = _NAME.match(text)
-        given, initial, surname = m["given"], m["initial"] or "", m["surname"]
-        pool = next(names for names in GIVEN.values() if given in names)
-        new = pool[self._permutation.forward(pool.index(given), len(pool), f"given|{pool[0]}")]
-        if initial:
-            initial = self._permuted(initial[0].lower(), "initial", _PLAIN).upper() + ". "
-        stem, ending = surname, ""
-        if e := re.search(r"(?:ова|ева|ина|ская|ов|ев|ин|ский)$", surname):
-            stem, ending = surname[: e.start()], e[0]
-        made = self._permuted(stem.lower(), "surname")
-        return f"{new} {initial}" + "".join(n.upper() if o.isupper() else n for n, o in zip(made, stem, strict=True)) + ending
+        first = digits[0]  # of cards, the kind of issuer
+        new = first + self._permuted(digits[1:], f"number|{first}", _PLAIN, lambda s: luhn(first + s))
+        return self._checked(lambda t: re.sub(r"\D", "", t), new, self._into(text, new))
+
+    def _forename(self, text: str) -> str:
+        """A known given name becomes another of its gender and script; an unknown one stays unknown and keeps a last vowel."""
+        name = _lowered(text)
+        if pool := self._pools.get(name):
+            new = pool[self._permutation.forward(pool.index(name), len(pool), f"given|{pool[0]}")]
+            return new.upper() if text.isupper() and len(text) > 1 else new.capitalize()
+        end = name[-1] if name[-1] in "aeoаяио" and len(name) > 2 else ""
+        stem = name[: len(name) - len(end)]
+        keeps = lambda s: s + end in self._pools or bool(not end and s[-1] in "aeoаяио" and len(s) > 2)
+        return _cased(self._permuted(stem, f"forename|{end}", valid=keeps) + end, text)
+
+    def _initial(self, text: str) -> str:
+        return _cased(self._permuted(_lowered(text), "initial", _PLAIN), text)
+
+    def _surname(self, text: str) -> str:
+        stem, ending = _split_surname(_lowered(text))
+        new = self._permuted(stem, f"surname|{ending}", valid=lambda s: _split_surname(s + ending) == (s, ending)) + ending
+        return self._checked(lambda t: _split_surname(_lowered(t)), (new[: len(new) - len(ending)], ending), _cased(new, text))
+
+    def names(self, text: str) -> list[tuple[int, int, str]]:
+        """The parts of names: start, end and which part."""
+        self._ready()
+        found: dict[tuple[int, int], str] = {}
+
+        def take(m, given=None):
+            for part in ("given", "initial", "surname"):
+                if part in m.re.groupindex and m[part] is not None:
+                    found[m.span(part)] = "forename" if part == "given" else part
+            if given:
+                found[given] = "forename"
+
+        for c in _CAPITALS.finditer(text):
+            if c[1].lower() in self._known and (m := _AFTER.match(text, c.end())) and m["surname"].lower() not in self._known:
+                take(m, c.span())
+        if _TITLE_SIGN.search(text):
+            for m in _TITLED.finditer(text):
+                take(m)
+        if _ANNOUNCE_SIGN.search(text):
+            for m in _ANNOUNCED.finditer(text):
+                take(m)
+        if ", " in text:
+            for m in _REVERSED.finditer(text):
+                if m["given"].lower() in self._known:
+                    take(m)
+        if not found:
+            return []
+        # The same person's parts, wherever they stand alone in this text.
+        parts = {text[lo:hi].lower(): kind for (lo, hi), kind in found.items() if kind != "initial"}
+        parts |= {text[lo:hi].lower(): kind for (lo, hi), kind in found.items() if kind == "surname"}
+        for m in _WORDS.finditer(text):
+            if (kind := parts.get(m[0].lower())) and m.span() not in found:
+                found[m.span()] = kind
+        return sorted((lo, hi, kind) for (lo, hi), kind in found.items())
 
     def finds(self, text: str) -> list[tuple[int, int, str]]:
-        """Start, end and type of each entity, in order and without overlaps."""
-        out = [(*m.span(m.lastgroup), m.lastgroup) for lo, hi in _stretches(text) for m in _FIND.finditer(text, lo, hi)]
-        names = [(*m.span(), "name") for c in _CAPITALS.finditer(text) if c[0][:-1] in _KNOWN and (m := _NAME.match(text, c.start()))]
-        if not names:
-            return out
+        """Start, end and type of each entity or part of a name, in order and without overlaps."""
+        out = [(lo, hi, "email") for lo, hi in _emails(text)] if "@" in text else []
+        for lo, hi in _stretches(text):
+            for m in _FIND.finditer(text, lo, hi):
+                if m.lastgroup != "ip6" or _is_ip6(m[0]):
+                    out.append((*m.span(m.lastgroup), m.lastgroup))
+        out += self.names(text)
         merged: list[tuple[int, int, str]] = []
-        for f in sorted(out + names, key=lambda f: (f[0], TYPES.index(f[2]))):
+        for f in sorted(out, key=lambda f: (f[0], -f[1])):
             if not merged or f[0] >= merged[-1][1]:
                 merged.append(f)
         return merged
 
     def scrub(self, text: str | None) -> tuple[str | None, dict[str, int]]:
+        """The text with surrogates and the number of finds of each type; a whole name counts once, by its surname or lone part."""
         counts: dict[str, int] = {}
         if not text or not (found := self.finds(text)):
             return text, counts
-        parts, at = [], 0
+        parts, at, was = [], 0, None
         for lo, hi, kind in found:
             parts += [text[at:lo], self.of(kind, text[lo:hi])]
-            counts[kind], at = counts.get(kind, 0) + 1, hi
+            name = kind in ("forename", "initial", "surname")
+            if not (name and was is not None and text[at:lo] in (" ", ", ", ". ")):
+                counted = "name" if name else "ip" if kind == "ip6" else kind
+                counts[counted] = counts.get(counted, 0) + 1
+            was, at = kind if name else None, hi
         return "".join([*parts, text[at:]]), counts
 
 
+_WORDS = re.compile(rf"(?<!\w)[{_UPPER}][{_LOW}{_UPPER}'’-]*[{_LOW}{_UPPER}](?!\w)")
+
+
+def _is_ip6(text: str) -> bool:
+    try:
+        IPv6Address(text)
+    except ValueError:
+        return False
+    return any(c != ":" for c in text)
+
+
 def scrub(docs: DataFrame, params: PiiParams = PiiParams(), with_counts: bool = False) -> DataFrame:
     """docs with `text` scrubbed, all columns kept; with_counts adds n_<type> columns at the end."""
     small_batches(docs.sparkSession)
     made, at = Surrogates(params), docs.columns.index("text")
+    added = []
+    for k in TYPES if with_counts else ():
+        name = f"n_{k}"
+        while name in (*docs.columns, *added):
+            name += "_"
+        added.append(name)
 
     def run(batches):
         for batch in batches:
@@ -318,7 +478,7 @@ def scrub(docs: DataFrame, params: PiiParams = PiiParams(), with_counts: bool =
             columns[at] = pa.array(texts, batch.column(at).type)
             if with_counts:
                 columns += [pa.array([c.get(k, 0) for c in counts], pa.int64()) for k in TYPES]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *([f"n_{k}" for k in TYPES] if with_counts else [])])
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *added])
 
-    schema = T.StructType(docs.schema.fields + [T.StructField(f"n_{k}", T.LongType()) for k in TYPES] * with_counts)
+    schema = T.StructType(docs.schema.fields + [T.StructField(name, T.LongType()) for name in added])
     return docs.mapInArrow(run, schema)
