@@ -28,9 +28,11 @@ def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only where it is unset (local tests) a folder of this machine."""
+    """spark.checkpoint.dir. Only in a local session may it be unset: then it is a folder of this machine; elsewhere that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = getattr(spark, "_quarrylens_scratch", None)
         if found is None:
             found = spark._quarrylens_scratch = "file://" + tempfile.mkdtemp(prefix="quarrylens-")
@@ -43,22 +45,64 @@ class Scratch:
     """Written tables in the shared folder: they cut lineage and survive the loss of an executor."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.root = spark, f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}"
+        self.spark, self.root, self.names = spark, f"{shared_folder(spark)}/scratch-{uuid.uuid4().hex}", set()
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
+        self.names.add(name)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str) -> None:
+    def drop(self, *names: str) -> None:
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            self.names.discard(name)
+
+    def drop_all_but(self, *names: str) -> None:
+        self.drop(*(self.names - set(names)))
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Texts can be long: few rows go to a Python worker at once."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Texts can be long: at most BATCH_ROWS rows go to a Python worker at once. The setting is the session's and only lowered."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
+def tasks_of(spark: SparkSession) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def hot_keys(counts: DataFrame, keys: list[str], n: str, total: int) -> DataFrame | None:
+    """Keys that hold more than a quarter of an average task's rows, with `slices`, the number of parts to cut each into.
+
+    counts has one row for each key. Of `total` rows in P tasks there are fewer than 4 P such keys, so they may be broadcast. None without any.
+    """
+    spark = counts.sparkSession
+    most = max(100, total // (4 * tasks_of(spark)))
+    found = counts.filter(F.col(n) > most).select(*keys, F.ceil(F.col(n) / most).cast("int").alias("slices"))
+    rows = found.collect()
+    return spark.createDataFrame(rows, found.schema) if rows else None
+
+
+def hot_in(df: DataFrame, keys: list[str]) -> DataFrame | None:
+    """hot_keys of a written table's rows."""
+    return hot_keys(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_of_key")), keys, "rows_of_key", df.count())
+
+
+def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, hot: DataFrame | None, by: Column) -> DataFrame:
+    """left joined with right, which has one row for each key; left's rows of a hot key are dealt over its slices by `by`.
+
+    The right row of a hot key is repeated for each slice: in all fewer than 8 P rows more.
+    """
+    if hot is None:
+        return left.join(right, keys, how)
+    hot = F.broadcast(hot)  # fewer than 4 P rows
+    dealt = left.join(hot, keys, "left").withColumn("slice", F.coalesce(F.pmod(F.xxhash64(by), F.col("slices")), F.lit(0))).drop("slices")
+    repeated = right.join(hot, keys, "left").withColumn("slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("slices", F.lit(1)).cast("bigint") - 1))).drop("slices")
+    return dealt.join(repeated, [*keys, "slice"], how).drop("slice")
 
 
 def let(value: Column, body) -> Column:

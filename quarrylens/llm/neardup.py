@@ -11,7 +11,12 @@ its document's signature, so the work is about m log m + n points and grows with
 Bands of the signature give buckets. Texts of one bucket are not paired with each other: all are held against the
 bucket's most central text, the similarity is computed on the exact multisets, and the classes are the connected
 components. What shares a bucket with the centre and isn't yet in its class is then held against the other classes of
-the bucket inside the join's condition, so that only true links leave the join and none is lost.
+the bucket inside the join's condition, so that only true links leave the join and none is lost. One minus the similarity is a
+metric, so two texts whose similarities to the centre differ by more than one minus the threshold can't be linked: only what
+is left is compared exactly. These comparisons go in blocks of `block` by `block` texts.
+
+Exact copies are one row (a text's print) before anything is joined. A bucket, centre, print or class that holds many rows
+is cut into slices (`split_join`), so no key has to fit in a task.
 
 Cases: a null text or one without a word is a class of its own. A text of one to four words has one shingle. Equal word
 sequences are always one class. Repeated rows, also with the same id, are one class. An empty table gives no rows. A class is
@@ -30,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import LOWER, SHINGLE, WORD_BYTE, Scratch, Words, mix64, row_chunks, small_batches, utf8_parts
+from .common import LOWER, SHINGLE, WORD_BYTE, Scratch, Words, hot_in, hot_keys, mix64, row_chunks, small_batches, split_join, utf8_parts
 
 
 @dataclass(frozen=True)
@@ -41,6 +46,7 @@ class NearDupParams:
     bands: int = 25
     band_rows: int = 5
     shingle: int = SHINGLE
+    block: int = 2000
 
     @property
     def m(self) -> int:
@@ -178,23 +184,26 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """
     both = scratch.table(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
     label = scratch.table(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")), f"{name}-0")
-    turn = 0
+    hubs, turn = hot_in(both, ["b"]), 0
     while True:
         turn += 1
-        near = both.join(label.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        near = split_join(both, label.select(F.col("node").alias("b"), "label"), ["b"], "inner", hubs, F.col("a")).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         lower = label.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         lower = scratch.table(lower, f"{name}-{turn}-low")
         up = lower.select(F.col("node").alias("label"), F.col("label").alias("upper"))
-        new = scratch.table(lower.join(up, "label", "left").select("node", "was", F.least("label", F.coalesce("upper", "label")).alias("label")), f"{name}-{turn}")
+        new = split_join(lower, up, ["label"], "left", hot_in(lower, ["label"]), F.col("node")).select("node", "was", F.least("label", F.coalesce("upper", "label")).alias("label"))
+        new = scratch.table(new, f"{name}-{turn}")
         changed = new.filter("label <> was").limit(1).count()
-        scratch.drop(f"{name}-{turn}-low")
+        scratch.drop(f"{name}-{turn}-low", f"{name}-{turn - 1}")
         label = new.select("node", "label")
         if not changed:
+            scratch.drop(f"{name}-edges")
             return label
 
 
-def _classes(docs: DataFrame, scratch: Scratch, p: NearDupParams) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, tkey, fp, n, bands) for each row of docs, and (fp, label) for the texts that are linked to others.
+def _classes(docs: DataFrame, scratch: Scratch, p: NearDupParams) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Three written tables: signed (doc_id, tkey, fp, n, bands) for each row of docs; distinct (fp, n, bands, copies, least) for
+    each text's print; linked (fp, label) for the prints that are linked to others.
 
     tkey is a 64-bit key of the text as it stands, fp 128 bits of its word sequence in hexadecimal, null without a word.
     """
@@ -202,44 +211,63 @@ def _classes(docs: DataFrame, scratch: Scratch, p: NearDupParams) -> tuple[DataF
     texts = _keyed(docs.select("doc_id", "text")).select("doc_id", "tkey", F.col("text").cast("string").alias("text"))
     signed = scratch.table(texts.mapInArrow(_signer(p), "doc_id long, tkey long, fp string, n long, bands array<long>"), "signed")
 
-    distinct = scratch.table(signed.filter("fp is not null").select("fp", "n", "bands").dropDuplicates(["fp"]), "distinct")
+    one = F.min(F.struct(_id("doc_id").alias("key_id"), "tkey")).alias("one")
+    distinct = scratch.table(signed.filter("fp is not null").groupBy("fp").agg(F.first("n").alias("n"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"), one), "distinct")
     banded = distinct.select("fp", "n", F.explode("bands").alias("bucket"))
-    buckets = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    shared = scratch.table(banded.join(buckets, "bucket"), "shared")
-    scratch.drop("distinct")
+    buckets = scratch.table(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "buckets")
+    hot = hot_keys(buckets, ["bucket"], "members", distinct.count() * p.bands)
+    shared = scratch.table(split_join(banded, buckets, ["bucket"], "inner", hot, F.col("fp")), "shared")
     central = shared.groupBy("fp").agg(F.sum("members").alias("central"))
-    shared = scratch.table(shared.drop("members").join(central, "fp"), "ranked")
-    pivots = shared.groupBy("bucket").agg(F.max(F.struct("central", "fp", "n")).alias("top")).select("bucket", F.col("top.fp").alias("pivot"), F.col("top.n").alias("pivot_n"))
-    edges = shared.join(pivots, "bucket").filter((F.col("fp") != F.col("pivot")) & (F.least("n", "pivot_n") >= F.lit(p.threshold) * F.greatest("n", "pivot_n"))).select("fp", "pivot").distinct()
+    ranked = scratch.table(shared.drop("members").join(central, "fp"), "ranked")
+    scratch.drop("shared")
+    pivots = ranked.groupBy("bucket").agg(F.max(F.struct("central", "fp")).alias("top")).select("bucket", F.col("top.fp").alias("pivot"))
+    pivots = scratch.table(pivots, "pivots")
+    edges = split_join(ranked, pivots, ["bucket"], "inner", hot, F.col("fp")).filter(F.col("fp") != F.col("pivot")).select("fp", "pivot").distinct()
     edges = scratch.table(edges, "edges")
 
     # One row of each text in a shared bucket is read again for its exact multiset.
-    one = signed.join(central.select("fp"), "fp", "left_semi").groupBy("fp").agg(F.min(F.struct(_id("doc_id").alias("key_id"), "tkey")).alias("one"))
-    again = texts.withColumn("key_id", _id("doc_id")).join(one.select("one.*"), ["key_id", "tkey"], "left_semi")
+    ones = distinct.join(ranked.select("fp"), "fp", "left_semi").select("one.*")
+    again = texts.withColumn("key_id", _id("doc_id"))
+    repeats = signed.filter("fp is not null").select(_id("doc_id").alias("key_id"), "tkey")
+    again = split_join(again, ones, ["key_id", "tkey"], "left_semi", hot_in(repeats, ["key_id", "tkey"]), F.monotonically_increasing_id())
     bags = scratch.table(again.select("text").mapInArrow(_shingler(p), "fp string, bag array<long>").dropDuplicates(["fp"]), "bags")
 
-    ends = edges.join(bags, "fp").join(bags.select(F.col("fp").alias("pivot"), F.col("bag").alias("pivot_bag")), "pivot")
-    links = scratch.table(ends.filter(similarity(F.col("bag"), F.col("pivot_bag")) >= p.threshold).select(F.col("fp").alias("a"), F.col("pivot").alias("b")), "links")
-    first = components(links, scratch, "first")
+    ends = split_join(edges.join(bags, "fp"), bags.select(F.col("fp").alias("pivot"), F.col("bag").alias("pivot_bag")), ["pivot"], "inner", hot_in(edges, ["pivot"]), F.col("fp"))
+    near = scratch.table(ends.select("fp", "pivot", similarity(F.col("bag"), F.col("pivot_bag")).alias("s")), "near")
+    scratch.drop("edges")
+    first = components(near.filter(F.col("s") >= p.threshold).select(F.col("fp").alias("a"), F.col("pivot").alias("b")), scratch, "first")
 
     # What the centre doesn't link: held against every other class of its bucket, the similarity being part of the join.
-    classed = shared.join(first.select(F.col("node").alias("fp"), "label"), "fp", "left").select("bucket", "fp", "n", F.coalesce("label", "fp").alias("label"))
-    open_ = classed.join(pivots.select("bucket", "pivot"), "bucket")
-    open_ = open_.join(first.select(F.col("node").alias("pivot"), F.col("label").alias("top")), "pivot", "left").withColumn("top", F.coalesce("top", "pivot"))
-    left_over = open_.filter("label <> top").select("bucket", "fp", "n", "label")
-    left_over = scratch.table(left_over, "left_over")
-    more = links.limit(0)
-    if left_over.limit(1).count():
-        rest = open_.filter("fp <> pivot").join(left_over.groupBy("bucket").agg(F.count(F.lit(1)).alias("odd")), "bucket")
-        y = left_over.join(bags, "fp").select("bucket", F.col("fp").alias("a"), F.col("n").alias("a_n"), F.col("label").alias("a_label"), F.col("bag").alias("a_bag"))
-        x = rest.join(bags, "fp").select("bucket", F.col("fp").alias("b"), F.col("n").alias("b_n"), F.col("label").alias("b_label"), F.col("top").alias("b_top"), F.col("bag").alias("b_bag"))
-        fit = (F.col("a_label") != F.col("b_label")) & ((F.col("b_label") == F.col("b_top")) | (F.col("a") < F.col("b")))
+    tops = pivots.join(first.select(F.col("node").alias("pivot"), F.col("label").alias("top")), "pivot", "left").select("bucket", "pivot", F.coalesce("top", "pivot").alias("top"))
+    classed = ranked.join(first.select(F.col("node").alias("fp"), "label"), "fp", "left").select("bucket", "fp", "n", F.coalesce("label", "fp").alias("label"))
+    opened = split_join(classed, tops, ["bucket"], "inner", hot, F.col("fp")).filter("fp <> pivot").join(near, ["fp", "pivot"])
+    opened = scratch.table(opened.select("bucket", "fp", "n", "label", "top", "s"), "opened")
+    scratch.drop("ranked", "near")
+    odd = opened.groupBy("bucket").agg(F.count_if(F.col("label") != F.col("top")).alias("odd"), F.count(F.lit(1)).alias("all")).filter("odd > 0")
+    odd = scratch.table(odd.select("bucket", F.ceil(F.col("odd") / p.block).cast("int").alias("down"), F.ceil(F.col("all") / p.block).cast("int").alias("across")), "odd")
+    linked = first
+    if odd.limit(1).count():
+        rest = split_join(opened, odd, ["bucket"], "inner", hot, F.col("fp"))
+        rest = scratch.table(rest, "rest")
+        block = lambda n: F.pmod(F.xxhash64("fp"), F.col(n))
+        each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n).cast("bigint") - 1))
+        y = rest.filter("label <> top").join(bags, "fp").select("bucket", block("down").alias("i"), each("across").alias("j"), *[F.col(c).alias(f"a_{c}") for c in ("fp", "n", "label", "s", "bag")])
+        x = rest.join(bags, "fp").select("bucket", each("down").alias("i"), block("across").alias("j"), *[F.col(c).alias(f"b_{c}") for c in ("fp", "n", "label", "top", "s", "bag")])
+        fit = (F.col("a_label") != F.col("b_label")) & ((F.col("b_label") == F.col("b_top")) | (F.col("a_fp") < F.col("b_fp")))
+        fit &= F.abs(F.col("a_s") - F.col("b_s")) <= 1 - p.threshold + 1e-9
         fit &= F.least("a_n", "b_n") >= F.lit(p.threshold) * F.greatest("a_n", "b_n")
         fit &= similarity(F.col("a_bag"), F.col("b_bag")) >= p.threshold
-        more = y.join(x, (y["bucket"] == x["bucket"]) & fit).select("a", "b").distinct()
-        more = scratch.table(more, "more")
-        first = components(links.unionByName(more), scratch, "all")
-    return signed, first.select(F.col("node").alias("fp"), "label")
+        more = y.join(x, (y["bucket"] == x["bucket"]) & (y["i"] == x["i"]) & (y["j"] == x["j"]) & fit)
+        more = scratch.table(more.select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).distinct(), "more")
+        # Classes are joined by their labels; a text that was alone is its own label.
+        joined = components(more, scratch, "joined")
+        alone = joined.join(first.select("node"), "node", "left_anti").select("node", F.col("node").alias("label"))
+        whole = scratch.table(first.unionByName(alone), "whole")
+        upper = joined.select(F.col("node").alias("label"), F.col("label").alias("upper"))
+        linked = split_join(whole, upper, ["label"], "left", hot_in(whole, ["label"]), F.col("node")).select("node", F.coalesce("upper", "label").alias("label"))
+    linked = scratch.table(linked.select(F.col("node").alias("fp"), "label"), "linked")
+    scratch.drop_all_but("signed", "distinct", "linked")
+    return signed, distinct, linked
 
 
 def near_duplicate_classes(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFrame:
@@ -248,9 +276,8 @@ def near_duplicate_classes(docs: DataFrame, params: NearDupParams = NearDupParam
     Rows of one class share class_id, the name of the class. tkey and fp as in `_classes`.
     """
     scratch = Scratch(docs.sparkSession)
-    signed, linked = _classes(docs, scratch, params)
-    least = signed.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("least"))
-    labelled = scratch.table(least.join(linked, "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("label")), "labelled")
+    signed, distinct, linked = _classes(docs, scratch, params)
+    labelled = scratch.table(distinct.select("fp", "least", "copies").join(linked, "fp", "left").select("fp", "least", "copies", F.coalesce("label", "fp").alias("label")), "labelled")
     ids = scratch.table(labelled.groupBy("label").agg(F.min("least").alias("name")), "names")
     wordless = signed.filter("fp is null").select(F.col("doc_id").alias("name")).distinct()
     shared = ids.select("name").unionByName(wordless).filter("name is not null").groupBy("name").agg(F.count(F.lit(1)).alias("classes")).filter("classes > 1")
@@ -258,9 +285,16 @@ def near_duplicate_classes(docs: DataFrame, params: NearDupParams = NearDupParam
     # A class without a name joins by a number of its own, so that such classes don't meet in one task.
     ids = ids.withColumn("key", F.coalesce("name", made)).join(shared.select(F.col("name").alias("key"), F.lit(True).alias("shared")), "key", "left")
     ids = ids.select("label", F.when(F.col("name").isNull() | F.col("shared"), made).otherwise(F.col("name")).alias("class_id"))
-    ids = scratch.table(labelled.join(ids, "label").select("fp", "class_id"), "ids")
-    out = signed.select("doc_id", "tkey", "fp", "n").join(ids, "fp", "left")
-    return out.select("doc_id", "tkey", "fp", F.col("n").alias("n_shingles"), F.when(F.col("fp").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    ids = scratch.table(split_join(labelled, ids, ["label"], "inner", hot_in(labelled, ["label"]), F.col("fp")).select("fp", "copies", "class_id"), "ids")
+    hot = hot_keys(ids, ["fp"], "copies", signed.count())
+    # Texts without a word join by a key of their own, so that they don't meet in one task.
+    keyed = signed.select("doc_id", "tkey", F.coalesce("fp", F.concat(F.lit("-"), F.monotonically_increasing_id())).alias("fp"), "n")
+    out = split_join(keyed, ids.select("fp", "class_id"), ["fp"], "left", hot, F.monotonically_increasing_id())
+    none = F.col("fp").startswith("-")
+    out = out.select("doc_id", "tkey", F.when(~none, F.col("fp")).alias("fp"), F.col("n").alias("n_shingles"), F.when(none, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    out = scratch.table(out, "out")
+    scratch.drop_all_but("out")
+    return out
 
 
 def _id(name: str):
@@ -277,20 +311,27 @@ def keep_one_per_class(docs: DataFrame, params: NearDupParams = NearDupParams())
 
     Rows without a word all stay. All columns of docs are kept, whatever their names.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
-    signed, linked = _classes(docs, scratch, params)
+    scratch = Scratch(docs.sparkSession)
+    signed, distinct, linked = _classes(docs, scratch, params)
+    linked = distinct.select("fp", "copies").join(linked, "fp", "left").select("fp", "copies", F.unhex(F.coalesce("label", "fp")).alias("label"))
+    linked = scratch.table(linked, "labels")
+    hot = hot_keys(linked, ["fp"], "copies", signed.count())
     signed = signed.filter("fp is not null").select("doc_id", "tkey", "fp")
-    labelled = signed.join(linked, "fp", "left").select("doc_id", "tkey", F.unhex(F.coalesce("label", "fp")).alias("label"))
+    labelled = split_join(signed, linked.drop("copies"), ["fp"], "inner", hot, F.monotonically_increasing_id())
     rows = labelled.groupBy(_id("doc_id").alias("key_id"), "tkey").agg(F.min("label").alias("label"), F.count(F.lit(1)).alias("copies"), F.first(F.col("doc_id").isNull()).alias("no_id"))
     rows = scratch.table(rows, "rows")
     best = rows.groupBy("label").agg(F.min(F.struct("no_id", "key_id", "tkey")).alias("stays"))
     best = best.select(F.col("stays.key_id").alias("key_id"), F.col("stays.tkey").alias("tkey"), F.lit(True).alias("stays"))
     judged = scratch.table(rows.join(best, ["key_id", "tkey"], "left").select("key_id", "tkey", "copies", F.coalesce("stays", F.lit(False)).alias("stays")).filter("not stays or copies > 1"), "judged")
+    scratch.drop_all_but("judged")
+    keys = ["key_id", "tkey"]
+    hot = hot_keys(judged, keys, "copies", judged.agg(F.sum("copies")).first()[0] or 0)
     whole = docs.select(F.struct("*").alias("row"), _id("doc_id").cast("long").alias("key_id"), F.xxhash64(F.col("text").cast("string")).alias("tkey"))
-    out = whole.join(judged.select("key_id", "tkey"), ["key_id", "tkey"], "left_anti")
-    repeated = judged.filter("stays").select("key_id", "tkey")
+    out = split_join(whole, judged.select(keys), keys, "left_anti", hot, F.monotonically_increasing_id())
+    repeated = judged.filter("stays and copies > 1").select(keys)
     if repeated.limit(1).count():
-        once = whole.join(repeated, ["key_id", "tkey"]).groupBy("key_id", "tkey").agg(F.first("row").alias("row"))
+        # Of rows alike in id and text the one with the least hash of its other columns stays.
+        plain = [F.col("row")[f.name] for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+        once = split_join(whole, repeated, keys, "inner", hot, F.monotonically_increasing_id()).groupBy(keys).agg(F.min_by("row", F.xxhash64(*plain)).alias("row"))
         out = out.select("row").unionByName(once.select("row"))
     return out.select("row.*")
