@@ -98,8 +98,27 @@ def measures(docs: DataFrame) -> DataFrame:
 
 
 def binomial_tail(k: int, n: int, p: float) -> float:
-    """P(X <= k) of a binomial, summed exactly from logarithms."""
-    return min(1.0, math.fsum(math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p)) for i in range(k + 1)))
+    """P(X <= k) of a binomial, as the regularised incomplete beta function I(1 - p; n - k, k + 1) by its continued fraction."""
+    if k >= n:
+        return 1.0
+    a, b, x = n - k, k + 1, 1 - p
+    if x > (a + 1) / (a + b + 2):  # the fraction converges fast below this point, the other tail beyond it
+        return 1.0 - _beta(b, a, p)
+    return _beta(a, b, x)
+
+
+def _beta(a: float, b: float, x: float) -> float:
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)) / a
+    tiny = 1e-300
+    c, d = 1.0, 1 / max(1 - (a + b) * x / (a + 1), tiny)
+    out = d
+    for m in range(1, 100_000):
+        for step in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+            d, c = 1 / ((1 + step * d) or tiny), (1 + step / c) or tiny
+            out *= c * d
+        if abs(c * d - 1) < 1e-15:
+            break
+    return front * out
 
 
 def cutoffs(measured: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> dict[str | None, dict[str, int]]:
@@ -146,7 +165,11 @@ def judge(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityPar
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:
-    """The rows of docs that are kept, with all their columns, whatever their names. Texts are measured again rather than shuffled."""
-    measured = Scratch(docs.sparkSession).table(measures(docs), "measured")
-    limits = cutoffs(measured, labels, params)
-    return docs.filter(let(F.struct(counts(F.col("text")).alias("m"), F.col("lang").cast("string").alias("lang")), lambda x: kept(x["m"], x["lang"], limits)))
+    """The rows of docs that are kept, with all their columns, whatever their names.
+
+    Rows are written once with their counts, so that no text is measured twice or shuffled.
+    """
+    whole = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), counts(F.col("text")).alias("m"))
+    whole = Scratch(docs.sparkSession).table(whole, "whole")
+    limits = cutoffs(whole, labels, params)
+    return whole.filter(kept(F.col("m"), F.col("lang"), limits)).select("row.*")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from . import quality
 from .mixing import MixParams
 from .queries import RULES
@@ -27,7 +29,8 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 def _quality() -> str:
     p = quality.QualityParams()
-    alpha, share = p.level / (p.strata * len(quality.RULES)), p.risk / len(quality.RULES)
+    share = p.risk / len(quality.RULES)
+    needed = math.ceil(math.log(p.level / (p.strata * len(quality.RULES))) / math.log1p(-share))
     tests = " UNION ALL ".join(
         f"SELECT lang, '{rule}' AS rule, {i} AS step, count(*) FILTER (NOT base_failed) AS n, count(*) FILTER (NOT base_failed AND 1000 * {a} > {c} * {b}) AS x FROM good GROUP BY lang" for rule, (a, b) in quality.RULES.items() for i, c in enumerate(quality.GRID)
     )
@@ -45,8 +48,9 @@ m AS (SELECT w.rid, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length
 f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
 good AS (SELECT * FROM f WHERE doc_id IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1)),
 tests AS ({tests}),
-passed AS (SELECT lang, rule, step, list_sum(list_transform(range(0, x + 1), lambda i: exp(lgamma(n + 1) - (CASE WHEN i = 0 THEN 0 ELSE lgamma(i + 1) END) - (CASE WHEN i = n THEN 0 ELSE lgamma(n - i + 1) END) + i * ln({share}) + (n - i) * ln(1 - {share})))) <= {alpha!r} AS ok
-           FROM tests WHERE n > 0 AND x < n),
+level AS (SELECT {p.level!r} / (greatest({p.strata}, count(DISTINCT coalesce(lang, '') || CASE WHEN lang IS NULL THEN 'n' ELSE 'v' END)) * {len(quality.RULES)}) AS alpha FROM tests WHERE n >= {needed}),
+passed AS (SELECT lang, rule, step, list_sum(list_transform(range(0, x + 1), lambda i: exp(lgamma(n + 1) - (CASE WHEN i = 0 THEN 0 ELSE lgamma(i + 1) END) - (CASE WHEN i = n THEN 0 ELSE lgamma(n - i + 1) END) + i * ln({share}) + (n - i) * ln(1 - {share})))) <= alpha AS ok
+           FROM tests, level WHERE n >= {needed} AND x < n),
 firstbad AS (SELECT s.lang, s.rule, min(CASE WHEN coalesce(p.ok, FALSE) THEN {len(quality.GRID)} ELSE s.step END) AS step FROM tests s LEFT JOIN passed p ON s.lang IS NOT DISTINCT FROM p.lang AND s.rule = p.rule AND s.step = p.step GROUP BY s.lang, s.rule),
 cut AS (SELECT lang, rule, ({list(quality.GRID)})[step] AS cutoff FROM firstbad WHERE step > 0),
 bad AS (SELECT DISTINCT f.rid FROM f JOIN cut ON f.lang IS NOT DISTINCT FROM cut.lang WHERE {bad})
@@ -58,7 +62,7 @@ def _mixing() -> str:
     p = MixParams()
     weights = f"({list(p.weights)})[CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(p.weights)} + 1 AS INT)]"
     return rf"""
-WITH s AS (SELECT row_number() OVER () AS rid, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(concat('{p.seed}', '|', coalesce(CAST(doc_id AS VARCHAR), ''))) AS digest FROM documents),
+WITH s AS (SELECT row_number() OVER () AS rid, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(concat('{p.seed}', '|', coalesce(CAST(doc_id AS VARCHAR), ''), '|', md5(coalesce(text, '')))) AS digest FROM documents),
 src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM s GROUP BY source),
 wt AS (SELECT source, source_size, CAST({weights} AS BIGINT) AS weight FROM src),
 run AS (SELECT *, coalesce(sum(source_size) OVER o, 0) AS capped_size, sum(weight) OVER () - coalesce(sum(weight) OVER o, 0) AS left_weight, sum(source_size) OVER () AS all_size
@@ -67,7 +71,7 @@ lvl AS (SELECT *, {p.share_percent} * all_size - {100 * p.most_copies} * capped_
 cap AS (SELECT *, weight * rest >= left_weight * source_size * {100 * p.most_copies} AS capped FROM lvl),
 free AS (SELECT rest AS r, left_weight AS lw FROM cap WHERE NOT capped ORDER BY left_weight DESC LIMIT 1),
 tg AS (SELECT source, source_size, CASE WHEN capped THEN CAST({p.most_copies} * source_size AS DOUBLE) ELSE CAST(weight * (SELECT r FROM free) AS DOUBLE) / CAST(100 * (SELECT lw FROM free) AS DOUBLE) END AS target FROM cap),
-rk AS (SELECT doc_id, source, size, row_number() OVER (PARTITION BY source ORDER BY size, digest, doc_id NULLS FIRST) AS rank FROM s),
+rk AS (SELECT doc_id, source, size, row_number() OVER (PARTITION BY source ORDER BY size, digest) AS rank FROM s),
 off AS (SELECT source, target, source_size, CAST(concat('0x', substr(md5(concat('{p.seed}', '|offset|', coalesce(source, ''))), 1, 5)) AS BIGINT) / CAST({1 << 20} AS DOUBLE) AS u FROM tg),
 c AS (SELECT doc_id, size, off.source_size, off.target, CASE WHEN off.source_size = 0 THEN 0 ELSE CAST(floor(target / CAST(source_size AS DOUBLE) * rank + u) - floor(target / CAST(source_size AS DOUBLE) * (rank - 1) + u) AS BIGINT) END AS copies
       FROM rk JOIN off ON rk.source IS NOT DISTINCT FROM off.source)

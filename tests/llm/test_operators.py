@@ -258,7 +258,7 @@ def test_mix(spark):
     texts = [" ".join("w" * r.randint(1, 3) for _ in range(r.choice([5, 7, r.randint(0, 60)]))) for _ in range(900)] + [None, ""]
     docs = frame(spark, texts, lambda i: [None, "a", "b", "c", "b", "b"][i * i % 6])
     docs = docs.unionByName(docs.filter("doc_id < 3"))
-    for p in (mixing.MixParams(), mixing.MixParams(group_rows=4)):
+    for p in (mixing.MixParams(), mixing.MixParams(tasks=13)):
         rows = mixing.mix(docs, p).collect()
         assert len(rows) == docs.count()
         sizes = Counter()
