@@ -287,8 +287,16 @@ def test_url_filter(spark):
         fit = [r for r in RULES if host and (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
         best = max(fit, key=lambda r: len(r.text), default=None)
         assert got[i] == (host, path, best and best.text, best.verdict if best else "allow"), u
-    store = urlfilter.DigestStore.image([("a", "block"), ("b", "allow")])
-    assert len(store) > 40
+    # A table of rules in many parts, repeated and contradicting rules, repeated rows, further columns, no rows.
+    many = [urlfilter.Rule(f"h{k % 700}.org", f"/p{k}/", "block" if k % 2 else "allow") for k in range(3000)] + [urlfilter.Rule("h1.org", "/p1/", "allow"), urlfilter.Rule("h2.org", "/p2/", "block")]
+    pages = spark.createDataFrame([(k, f"http://x.H{k % 700}.org/p{k}/q", "v") for k in (*range(0, 3000, 7), 1, 2, 2)] + [(-1, "http://h.org/p1/" + "a" * 100_000, "v")], "page_id long, url string, verdict string")
+    found = urlfilter.filter_urls(pages, urlfilter.rule_table(spark, many).repartition(5)).collect()
+    assert len(found) == pages.count()
+    for r in found:
+        k = r.page_id
+        assert (r.rule, r.verdict) == ((None, "allow") if k < 0 else (f"h{k % 700}.org/p{k}/", "block" if k % 2 or k == 2 else "allow"))
+    assert urlfilter.filter_urls(pages.limit(0), RULES).count() == 0
+    assert urlfilter.filter_urls(pages.limit(3), []).filter("rule is null").count() == 3
 
 
 def test_words_and_shingles_match_regex():
