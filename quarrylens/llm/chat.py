@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import shared_folder, small_batches
+from .common import shared_folder, small_batches, tasks_of
 
 ROLES = ("system", "user", "assistant")
 ALIASES = {"human": "user", "prompter": "user", "customer": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant", "ai": "assistant", "chatbot": "assistant", "developer": "system", "instruction": "system"}
@@ -43,6 +43,7 @@ class ChatParams:
     insert: int = 3
     relabel: int = 4
     relabel_unknown: int = 2
+    task_rows: int = 100_000  # turns of a task, about; a worker holds the roles and texts of one stretch of it
 
 
 def known_role(role: str | None) -> str | None:
@@ -150,7 +151,7 @@ def repair_roles(turns: DataFrame, params: ChatParams = ChatParams()) -> DataFra
     small_batches(spark)
     shared_folder(spark)
     a = Automaton(params)
-    n = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    n = max(tasks_of(spark), -(-turns.count() // params.task_rows))
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     # Written once, so that both passes see the same tasks.
     rows = rows.withColumn("tie", F.xxhash64("role", "text"))
