@@ -6,6 +6,8 @@ source text. Ancestors travel with each statement, so depth, nesting and "inside
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -32,6 +34,12 @@ class Code:
     def of(cls, spark: SparkSession, root: str, exclude: tuple[str, ...] = inventory.EXCLUDED) -> Code:
         return cls(inventory.discover(spark, root, exclude))
 
+    def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A derived table that several analyses use: written at its first use."""
+        if name not in self._rows:
+            self._rows[name] = settled(make())
+        return self._rows[name]
+
     def rows(self, name: str) -> DataFrame:
         """One kind of fact: objects, parameters, variables, cursors, statements, arms, issues, tables, columns, constraints, indexes, sequences, views, synonyms, comments."""
         if name in self._rows:
@@ -49,6 +57,10 @@ def statement_id(seq: Column) -> Column:
 
 # -- calls and control flow ------------------------------------------------------------------------------------------------
 def calls(code: Code) -> DataFrame:
+    return code.once("calls*", lambda: _calls(code))
+
+
+def _calls(code: Code) -> DataFrame:
     """Each call with what it means: a member of the same package first, then one of the same owner, then any; else unresolved."""
     objects = code.rows("objects").filter("type IN ('PROCEDURE', 'FUNCTION')")
     callee = objects.select(F.col("object_id").alias("target_id"), F.col("owner").alias("t_owner"), F.col("name").alias("t_name"), F.col("member").alias("t_member"), F.coalesce("member", "name").alias("last"))
@@ -66,6 +78,10 @@ def calls(code: Code) -> DataFrame:
 
 
 def control_flow(code: Code) -> DataFrame:
+    return code.once("control_flow*", lambda: _control_flow(code))
+
+
+def _control_flow(code: Code) -> DataFrame:
     """Edges (file_id, object_id, source, target, type, branch); `*` as a source stands for the whole block of a handler."""
     s = code.rows("statements").select("file_id", "object_id", "seq", "parent", "scope", "type")
     inside = Window.partitionBy("file_id", "object_id", "parent", "scope").orderBy("seq")
@@ -81,6 +97,10 @@ def control_flow(code: Code) -> DataFrame:
 
 # -- metrics ---------------------------------------------------------------------------------------------------------------
 def _nesting(code: Code) -> DataFrame:
+    return code.once("nesting*", lambda: _nested(code))
+
+
+def _nested(code: Code) -> DataFrame:
     """Each statement with how many of its ancestors raise nesting."""
     s = code.rows("statements")
     above = s.select("file_id", "object_id", F.col("seq").alias("a"), F.col("type").alias("a_type"))
@@ -178,6 +198,10 @@ def no_internal_callers(code: Code) -> DataFrame:
 
 
 def slices(code: Code) -> DataFrame:
+    return code.once("slices*", lambda: _slices(code))
+
+
+def _slices(code: Code) -> DataFrame:
     """Backward slice of every assigned variable: statements that determine it, with the controlling ones, and variables it depends on.
 
     One group is one object's statements, which its source text bounds.

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions import language as la
 from . import code as c, rules as ru, schema as sc
 from .code import Code
 from .cut import settled
@@ -95,6 +96,7 @@ def build(code: Code) -> Graph:
         _node(objects.join(metrics, ["file_id", "object_id"], "left"), "Object", col("object_id"), F.coalesce("member", "name"), col("line"), col("cyclomatic")),
         _node(s, "Statement", col("statement_id"), col("type"), col("line"), col("text")),
         _node(code.rows("parameters"), "Parameter", cat(".", "object_id", "name"), col("name"), col("position"), cat(" ", "mode", "type")),
+        _node(code.rows("variables"), "Variable", cat(".", "object_id", "name"), col("name")),
         _node(code.rows("tables"), "Table", col("table_name"), col("table_name"), col("line")),
         _node(code.rows("columns"), "Column", column, col("name"), col("line"), col("type")),
         _node(r, "BusinessRule", col("rule_id"), col("name"), col("line"), F.to_json(F.struct("kind", "confidence", "requires_sme_review", "is_enforced", "formal_statement"))),
@@ -110,6 +112,8 @@ def build(code: Code) -> Graph:
     flow = c.control_flow(code).filter("source <> '*'")
     names = F.create_map(*[F.lit(x) for kv in FLOW.items() for x in kv])
     cut = c.slices(code).select("file_id", "object_id", "variable", F.explode("determined_by").alias("seq")).withColumn("statement_id", c.statement_id(col("seq")))
+    parameters = code.rows("parameters").select("file_id", "object_id", col("name").alias("variable"), F.lit(True).alias("p")).distinct()
+    cut = cut.join(parameters, ["file_id", "object_id", "variable"], "left").withColumn("of_parameter", F.coalesce("p", F.lit(False)))
     edges = [
         _edge(objects, "DEFINES", "File", col("file_id"), "Object", col("object_id")),
         _edge(s, "CONTAINS_STATEMENT", "Object", col("object_id"), "Statement", col("statement_id")),
@@ -119,7 +123,8 @@ def build(code: Code) -> Graph:
         _edge(used, mode, "Statement", col("statement_id"), "Column", column),
         _edge(used, mode, "Object", col("object_id"), "Column", column),
         _edge(flow, F.element_at(names, col("type")), "Statement", col("source"), "Statement", col("target")),
-        _edge(cut, "DETERMINES", "Statement", col("statement_id"), "Parameter", cat(".", "object_id", "variable")),
+        _edge(cut.filter("of_parameter"), "DETERMINES", "Statement", col("statement_id"), "Parameter", cat(".", "object_id", "variable")),
+        _edge(cut.filter("NOT of_parameter"), "DETERMINES", "Statement", col("statement_id"), "Variable", cat(".", "object_id", "variable")),
         _edge(r.filter("statement_id IS NOT NULL"), "IMPLEMENTED_AT", "BusinessRule", col("rule_id"), "Statement", col("statement_id")),
         _edge(r.filter("kind LIKE 'ddl%'"), "IMPLEMENTED_AT", "BusinessRule", col("rule_id"), "File", col("file_id")),
         _edge(r.filter("NOT kind LIKE 'ddl%'"), "ENFORCED_IN", "BusinessRule", col("rule_id"), "Object", col("object_id")),
@@ -202,6 +207,7 @@ def _table_users(g: Graph, table: str) -> DataFrame:
     return used.select("source", "type").distinct()
 
 
+# The texts of the twelve questions are the documented interface.
 _RULE_TYPES = ("ENFORCED_IN", "CONSTRAINS", "IMPLEMENTED_AT")
 #: (name, question, words that call for it, what it needs, how it is answered, the same in the graph query language)
 INTENTS = (
@@ -221,18 +227,21 @@ INTENTS = (
 
 
 def resolve_entity(g: Graph, question: str) -> tuple[str | None, str | None]:
-    """(label, key) of what the question names: a rule's id, table.column, the longest exact name, a bare column; else nothing. Only the question's own words are looked up."""
+    """(label, key) of what the question names: a rule's id, table.column, the longest exact name or title of several words, a bare column; else nothing. Only the question's own words are looked up."""
     upper = question.upper()
     rule = re.search(r"\bBR-\d{3,}\b", upper)
     dotted = re.findall(r"\b\w+\.\w+\b", upper)
     words = re.findall(r"[\w$#]+", upper)
     wanted = {*words, *dotted, *({rule.group()} if rule else ())}
+    titles = [" ".join(words[i : i + k]) for k in range(2, 7) for i in range(len(words) - k + 1)] or [""]
     if not wanted:
         return None, None
     n = g.nodes.filter("label IN ('BusinessRule', 'Column', 'Object', 'Table', 'Sequence', 'Index')")
-    hits = n.filter(F.upper("key").isin(*wanted) | F.upper("name").isin(*wanted))
+    title = F.upper(F.when(F.col("label") == "Object", la.object_title(F.col("key"))).when(F.col("label") == "Table", la.humanise(F.col("key"))))
+    hits = n.withColumn("title", title).filter(F.upper("key").isin(*wanted) | F.upper("name").isin(*wanted) | F.col("title").isin(*titles))
+    hits = hits.withColumn("matched", F.when(F.upper("key").isin(*wanted) | F.upper("name").isin(*wanted), F.length("name")).otherwise(F.length("title")))
     rank = F.when((F.col("label") == "BusinessRule") & (F.lit(rule.group() if rule else "") == F.col("key")), 1).when((F.col("label") == "Column") & F.upper("key").isin(*(dotted or [""])), 2).when(F.col("label").isin("Object", "Table", "Sequence", "Index"), 3).when((F.col("label") == "Column") & ~F.lit(bool(dotted)), 4)
-    best = hits.withColumn("rank", rank).filter("rank IS NOT NULL").orderBy("rank", F.desc(F.length("name")), "label", "key").limit(1).collect()
+    best = hits.withColumn("rank", rank).filter("rank IS NOT NULL").orderBy("rank", F.desc("matched"), "label", "key").limit(1).collect()
     return (best[0]["label"], best[0]["key"]) if best else (None, None)
 
 
@@ -240,7 +249,7 @@ def ask(g: Graph, question: str) -> dict:
     """{ok, intent, subject, answer (a DataFrame), query} or {ok: False, reason, suggestions}; never a guess."""
     fits = [i for i in INTENTS if re.search(i[2], question, re.I)]
     if not fits:
-        return {"ok": False, "reason": "No supported question matched", "suggestions": [i[1] for i in INTENTS]}
+        return {"ok": False, "reason": "the question fits none of the twelve", "suggestions": [i[1] for i in INTENTS]}
     label, key = resolve_entity(g, question)
     fits.sort(key=lambda i: (not (label is not None and i[3] is not None and label in i[3].split("|")), INTENTS.index(i)))
     name, text, _, needs, answer, query = fits[0]
@@ -254,9 +263,9 @@ def ask(g: Graph, question: str) -> dict:
 
 # -- exports -----------------------------------------------------------------------------------------------------------------
 def write_tables(g: Graph, root: str) -> None:
-    """nodes/label=.../*.csv and rels/type=.../*.csv below root."""
-    g.nodes.repartition("label").write.partitionBy("label").option("header", True).option("escape", '"').option("multiLine", True).mode("overwrite").csv(f"{root}/nodes")
-    g.edges.repartition("type").write.partitionBy("type").option("header", True).option("escape", '"').mode("overwrite").csv(f"{root}/rels")
+    """nodes/label=.../*.csv and rels/type=.../*.csv below root; a label or type with many rows is written by many tasks."""
+    g.nodes.write.partitionBy("label").option("header", True).option("escape", '"').option("multiLine", True).mode("overwrite").csv(f"{root}/nodes")
+    g.edges.write.partitionBy("type").option("header", True).option("escape", '"').mode("overwrite").csv(f"{root}/rels")
 
 
 def load_script(g: Graph) -> DataFrame:

@@ -5,14 +5,14 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions import language as la
 from . import schema
 from .code import Code, _nesting
-from .cut import settled
+from .cut import row_numbers, settled
 
 # Limits, predefined errors, abbreviations, and the words that tell a rule's category, in order of priority.
 DERIVATION_SCORE, LINE_TOLERANCE = 2, 2
 PREDEFINED = ("NO_DATA_FOUND", "TOO_MANY_ROWS", "DUP_VAL_ON_INDEX", "ZERO_DIVIDE", "VALUE_ERROR", "INVALID_NUMBER")
-ABBREVIATIONS = {"Acct": "Account", "Amt": "Amount", "Txn": "Transaction", "Bal": "Balance", "Req": "Required", "Cust": "Customer", "Ref": "Reference", "Num": "Number", "Min": "Minimum", "Max": "Maximum", "Dt": "Date"}
 CATEGORIES = (
     ("COMPLIANCE", r"kyc|aml|npa|fraud|sanction|regulat"),
     ("LIMIT_CHECK", r"limit|max|min_|threshold|balance|shortfall|days_inactive|amount\s*[<>]"),
@@ -28,7 +28,7 @@ def business_name(identifier: Column) -> Column:
     """A field's last part without its prefix, in words, abbreviations written out."""
     last = F.regexp_replace(F.lower(F.element_at(F.split(identifier, r"\."), -1)), "^(p|v|l|g|in|out)_", "")
     words = F.initcap(F.regexp_replace(last, "_", " "))
-    for short, long in ABBREVIATIONS.items():
+    for short, long in la.ABBREVIATIONS.items():
         words = F.regexp_replace(words, rf"\b{short}\b", long)
     return words
 
@@ -102,6 +102,10 @@ def _shape(rows: DataFrame, **given: Column) -> DataFrame:
 
 
 def mined(code: Code) -> DataFrame:
+    return code.once("mined*", lambda: _mined(code))
+
+
+def _mined(code: Code) -> DataFrame:
     """All candidates, one row each; several may state one decision, with one raw_key."""
     key = ["file_id", "object_id", "seq"]
     s = _nesting(code)
@@ -150,12 +154,9 @@ def deduplicate(rules: DataFrame) -> DataFrame:
 
 def numbered(rules: DataFrame) -> DataFrame:
     """`BR-001`... by falling signal, then name. Ranges of the order are numbered apart and shifted by the counts before them."""
-    ordered = rules.repartitionByRange(F.desc("signal_strength"), F.asc("name"), F.asc("raw_key")).sortWithinPartitions(F.desc("signal_strength"), "name", "raw_key").withColumn("p", F.spark_partition_id())
-    ordered = settled(ordered)
-    sizes = ordered.groupBy("p").count().select("p", (F.sum("count").over(Window.orderBy("p")) - F.col("count")).alias("before"))
-    within = Window.partitionBy("p").orderBy(F.desc("signal_strength"), "name", "raw_key")
-    n = F.row_number().over(within) + F.col("before")
-    return ordered.join(F.broadcast(sizes), "p").withColumn("rule_id", F.concat(F.lit("BR-"), F.lpad(n.cast("string"), F.greatest(F.lit(3), F.length(n.cast("string"))), "0"))).drop("p", "before")
+    n = F.col("number").cast("string")
+    ordered = row_numbers(rules, [F.desc("signal_strength"), F.asc("name"), F.asc("raw_key")])
+    return ordered.withColumn("rule_id", F.concat(F.lit("BR-"), F.lpad(n, F.greatest(F.lit(3), F.length(n)), "0"))).drop("number")
 
 
 def rules(code: Code) -> DataFrame:
@@ -207,6 +208,17 @@ def evaluate(truth: DataFrame, found: DataFrame, tolerance: int = LINE_TOLERANCE
     return scores(n)
 
 
+def micro_averaged(by_object: DataFrame) -> DataFrame:
+    """One row over all objects: matches and rules are summed first, then divided."""
+    return scores(by_object.agg(*[F.sum(c).alias(c) for c in ("matched", "extracted", "truth")]))
+
+
+def truth_files(spark, path: str) -> DataFrame:
+    """Annotated truth of a folder of JSON files, one object each (object_id, rules: [id, subject, source_lines]), in order of the file."""
+    rows = spark.read.option("multiLine", True).schema("object_id string, rules array<struct<id: string, subject: string, source_lines: array<int>>>").json(path)
+    return rows.select("object_id", F.posexplode("rules").alias("ordinal", "r")).select("object_id", "ordinal", F.col("r.id").alias("truth_id"), F.col("r.subject").alias("subject"), F.col("r.source_lines").alias("source_lines"))
+
+
 def scores(counts: DataFrame) -> DataFrame:
     """Precision, recall and F1 from the columns matched, extracted and truth; 0 where nothing is there."""
     p = F.when(F.col("extracted") > 0, F.col("matched") / F.col("extracted")).otherwise(0.0)

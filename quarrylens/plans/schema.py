@@ -50,6 +50,10 @@ def primary_keys(code: Code) -> DataFrame:
 
 
 def columns(code: Code) -> DataFrame:
+    return code.once("columns*", lambda: _columns(code))
+
+
+def _columns(code: Code) -> DataFrame:
     """Each column with its types, comment, and the values it may take: from a CHECK with the constraint's confidence, else from a comment only."""
     listed = constraints(code).filter((F.col("kind") == "CHECK") & F.col("expression").rlike(_IN_LIST))
     listed = listed.groupBy("table_name", F.upper(F.col("columns")[0]).alias("name")).agg(F.min_by("confidence", F.struct(-F.col("signal_strength"), "line")).alias("c"), F.min_by(F.regexp_extract_all("expression", F.lit("'([^']*)'"), 1), F.struct(-F.col("signal_strength"), "line")).alias("v"))
@@ -105,6 +109,10 @@ def unknown_tables(code: Code) -> DataFrame:
 
 
 def column_access(code: Code) -> DataFrame:
+    return code.once("column_access*", lambda: _column_access(code))
+
+
+def _column_access(code: Code) -> DataFrame:
     """(statement, table, column, mode): a column counts where its statement touches the table that has it."""
     s = code.rows("statements")
     parts = [s.select("statement_id", F.explode(F.transform(c, F.upper)).alias("name"), F.lit(m).alias("mode")) for c, m in (("reads", "READ"), ("writes", "WRITE"))]

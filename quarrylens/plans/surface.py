@@ -26,7 +26,7 @@ QUERIES: dict[str, tuple[str, str | None]] = {
     "predicate_between": ("SELECT p_partkey, p_size FROM part WHERE p_size BETWEEN 10 AND 20", None),
     "predicate_like": (r"SELECT c_custkey, c_name FROM customer WHERE c_name LIKE '%!_0%' ESCAPE '!' OR c_name LIKE 'Cust%5'", None),
     "predicate_in_subquery": ("SELECT c_custkey FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 1)", None),
-    "predicate_relational": ("SELECT o_orderkey FROM orders WHERE o_totalprice >= 100000 AND o_orderstatus <> 'F' AND o_custkey <= 500", None),
+    "predicate_relational": ("SELECT o_orderkey FROM orders WHERE o_totalprice >= 100000 AND o_orderstatus <> 'F' AND o_totalprice < 150000", None),
     "quantified_exists": ("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 200000)", None),
     "quantified_all": ("SELECT p_partkey FROM part WHERE p_retailprice >= (SELECT max(p_retailprice) FROM part WHERE p_size < 10)", None),
     "quantified_any": ("SELECT s_suppkey FROM supplier WHERE s_acctbal > (SELECT min(c_acctbal) FROM customer)", None),
@@ -37,7 +37,7 @@ QUERIES: dict[str, tuple[str, str | None]] = {
     "join_inner": (f"SELECT o_orderkey, c_name, CAST(o_totalprice AS {MONEY}) AS price FROM orders JOIN customer ON o_custkey = c_custkey", None),
     "join_left": ("SELECT c_custkey, CAST(count(o_orderkey) AS BIGINT) AS n FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey", None),
     "join_right": ("SELECT n_name, s_suppkey FROM supplier RIGHT JOIN nation ON s_nationkey = n_nationkey", None),
-    "join_full": ("SELECT s_suppkey, c_custkey FROM (SELECT * FROM supplier WHERE s_suppkey < 50) s FULL JOIN (SELECT * FROM customer WHERE c_custkey < 80) c ON s_suppkey = c_custkey", None),
+    "join_full": ("SELECT s_suppkey, c_custkey FROM supplier FULL JOIN customer ON s_suppkey = c_custkey + 5", None),
     "join_cross": ("SELECT r_name, n_name FROM region CROSS JOIN nation", None),
     "join_natural": ("SELECT k, a, b FROM (SELECT n_nationkey AS k, n_name AS a FROM nation) x NATURAL JOIN (SELECT s_nationkey AS k, s_suppkey AS b FROM supplier) y", None),
     "join_using": ("SELECT doc_id, lang, toxic FROM documents JOIN labels USING (doc_id)", None),
@@ -71,14 +71,13 @@ QUERIES: dict[str, tuple[str, str | None]] = {
     # sort, limit, top-k
     "order_nulls_last": ("SELECT o_orderkey, s FROM (SELECT o_orderkey, nullif(o_orderstatus, 'O') AS s FROM orders) q ORDER BY s ASC NULLS LAST, o_orderkey LIMIT 40", None),
     "order_offset": ("SELECT c_custkey FROM customer ORDER BY c_custkey LIMIT 20 OFFSET 30", None),
-    "fetch_with_ties": ("SELECT p_partkey, p_size FROM (SELECT p_partkey, p_size, rank() OVER (ORDER BY p_size DESC) AS r FROM part) q WHERE r <= 5", None),
-    "fetch_percent": ("SELECT c_custkey FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS r, count(*) OVER () AS n FROM customer) q WHERE r <= ceil(n * 0.1)", None),
+    "fetch_with_ties": ("SELECT p_partkey, p_size FROM part WHERE p_size >= (SELECT min(p_size) FROM (SELECT p_size FROM part ORDER BY p_size DESC LIMIT 5) q)", "SELECT p_partkey, p_size FROM (SELECT p_partkey, p_size, rank() OVER (ORDER BY p_size DESC) AS r FROM part) q WHERE r <= 5"),
     "top_k_per_group": ("SELECT o_custkey, o_orderkey FROM (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders) q WHERE r <= 2", None),
     # set operations
     "set_union": ("SELECT n_nationkey AS k FROM nation UNION SELECT s_nationkey FROM supplier", None),
     "set_union_all": ("SELECT n_nationkey AS k FROM nation UNION ALL SELECT s_nationkey FROM supplier", None),
     "set_intersect": ("SELECT c_nationkey AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier", None),
-    "set_minus": ("SELECT n_nationkey AS k FROM nation MINUS SELECT s_nationkey FROM supplier WHERE s_suppkey < 30", "SELECT n_nationkey AS k FROM nation EXCEPT SELECT s_nationkey FROM supplier WHERE s_suppkey < 30"),
+    "set_minus": ("SELECT n_nationkey AS k FROM nation MINUS SELECT s_nationkey FROM supplier WHERE s_acctbal < 0", "SELECT n_nationkey AS k FROM nation EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal < 0"),
     # CTE, hierarchy, pivot
     "with_clause": ("WITH big AS (SELECT o_custkey, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY o_custkey), top AS (SELECT * FROM big WHERE n > 12) SELECT c_name, n FROM top JOIN customer ON c_custkey = o_custkey", None),
     "with_recursive": ("WITH RECURSIVE t(k, depth) AS (SELECT 1, 0 UNION ALL SELECT k * 2, depth + 1 FROM t WHERE depth < 12) SELECT k, depth FROM t", None),
@@ -94,16 +93,36 @@ QUERIES: dict[str, tuple[str, str | None]] = {
     "scalar_json_value": ("SELECT event_id, get_json_object(props, '$.k') AS v FROM events", "SELECT event_id, json_extract_string(props, '$.k') AS v FROM events"),
     "scalar_intervals": ("SELECT o_orderkey, CAST(o_orderdate + INTERVAL '3' DAY AS DATE) AS due, o_orderdate + INTERVAL '1' MONTH > TIMESTAMP '1996-01-01 00:00:00' AS late FROM orders", None),
     "scalar_math": ("SELECT p_partkey, mod(p_size, 7) AS m, abs(p_size - 25) AS a, sign(p_size - 25) AS s, CAST(floor(p_retailprice) AS BIGINT) AS f, CAST(ceil(p_retailprice) AS BIGINT) AS c FROM part", "SELECT p_partkey, p_size % 7 AS m, abs(p_size - 25) AS a, CAST(sign(p_size - 25) AS DOUBLE) AS s, CAST(floor(p_retailprice) AS BIGINT) AS f, CAST(ceil(p_retailprice) AS BIGINT) AS c FROM part"),
+    # sampling, ordinality, documents
+    "sample_clause": ("SELECT o_orderkey FROM orders WHERE CAST(conv(substr(md5(concat('seed|', o_orderkey)), 1, 6), 16, 10) AS BIGINT) % 100 < 10", "SELECT o_orderkey FROM orders WHERE CAST(concat('0x', substr(md5(concat('seed|', o_orderkey)), 1, 6)) AS BIGINT) % 100 < 10"),
+    "json_table_ordinality": ("SELECT n_nationkey AS n, pos + 1 AS ord, CAST(v AS BIGINT) AS v FROM nation LATERAL VIEW posexplode(from_json(concat('[', n_nationkey * 2, ',', n_nationkey, ']'), 'array<bigint>')) t AS pos, v", "SELECT n_nationkey AS n, CAST(o AS INT) AS ord, CAST(CASE o WHEN 1 THEN n_nationkey * 2 ELSE n_nationkey END AS BIGINT) AS v FROM nation, (VALUES (1), (2)) x(o)"),
+    "json_arrayagg": ("SELECT n_regionkey, to_json(transform(sort_array(collect_list(struct(n_nationkey, n_name))), x -> x.n_name)) AS names FROM nation GROUP BY n_regionkey", "SELECT n_regionkey, '[' || string_agg('\"' || n_name || '\"', ',' ORDER BY n_nationkey) || ']' AS names FROM nation GROUP BY n_regionkey"),
+    "json_objectagg": ("SELECT n_regionkey, to_json(map_from_entries(sort_array(collect_list(struct(n_name, n_nationkey))))) AS keys FROM nation GROUP BY n_regionkey", "SELECT n_regionkey, '{' || string_agg('\"' || n_name || '\":' || n_nationkey, ',' ORDER BY n_name) || '}' AS keys FROM nation GROUP BY n_regionkey"),
+    "json_transform": ("SELECT doc_id, to_json(map_concat(map_filter(from_json(to_json(named_struct('lang', lang, 'source', source)), 'map<string,string>'), (k, v) -> k <> 'source'), map('kind', 'doc'))) AS j FROM documents", "SELECT doc_id, '{' || CASE WHEN lang IS NULL THEN '' ELSE '\"lang\":\"' || lang || '\",' END || '\"kind\":\"doc\"}' AS j FROM documents"),
+    "xml_table": ("SELECT n_nationkey, xpath_string(x, '/n/name/text()') AS name, CAST(i AS INT) AS i FROM (SELECT n_nationkey, concat('<n><name>', n_name, '</name><i>', n_regionkey, '</i><i>', n_nationkey, '</i></n>') AS x FROM nation) LATERAL VIEW explode(xpath(x, '/n/i/text()')) t AS i", "SELECT n_nationkey, n_name AS name, CAST(unnest([n_regionkey, n_nationkey]) AS INT) AS i FROM nation"),
+    "xml_elements": ("SELECT r_regionkey, concat('<r>', array_join(transform(sort_array(collect_list(n_name)), x -> concat('<n>', x, '</n>')), ''), '</r>') AS x FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey", "SELECT r_regionkey, '<r>' || string_agg('<n>' || n_name || '</n>', '' ORDER BY n_name) || '</r>' AS x FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey"),
+    # outer joins of the old writing, hierarchies, rows computed from rows
+    "outer_join_sign": ("SELECT r_name, CAST(count(s_suppkey) AS BIGINT) AS n FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_acctbal > 5000 GROUP BY r_name", "SELECT r_name, CAST(coalesce(sum(n), 0) AS BIGINT) AS n FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN (SELECT s_nationkey, count(*) AS n FROM supplier WHERE s_acctbal > 5000 GROUP BY s_nationkey) ON s_nationkey = n_nationkey GROUP BY r_name"),
+    "connect_by_root": ("WITH RECURSIVE h(id, root, leaf) AS (SELECT n_nationkey, n_name, n_nationkey * 2 + 1 FROM nation WHERE n_nationkey < 3 UNION ALL SELECT n.n_nationkey, h.root, n.n_nationkey * 2 + 1 FROM nation n JOIN h ON n.n_nationkey = h.id * 2 + 3) SELECT id, root, leaf > 24 AS is_leaf FROM h", None),
+    "order_siblings": ("WITH RECURSIVE h(id, path) AS (SELECT n_nationkey, lpad(CAST(n_nationkey AS STRING), 3, '0') FROM nation WHERE n_nationkey = 0 UNION ALL SELECT n.n_nationkey, concat(h.path, '/', lpad(CAST(100 - n.n_nationkey AS STRING), 3, '0')) FROM nation n JOIN h ON n.n_nationkey IN (2 * h.id + 1, 2 * h.id + 2)) SELECT id, row_number() OVER (PARTITION BY substr(path, 1, 3) ORDER BY path) AS place FROM h", "WITH RECURSIVE h(id, path) AS (SELECT n_nationkey, lpad(CAST(n_nationkey AS VARCHAR), 3, '0') FROM nation WHERE n_nationkey = 0 UNION ALL SELECT n.n_nationkey, concat(h.path, '/', lpad(CAST(100 - n.n_nationkey AS VARCHAR), 3, '0')) FROM nation n JOIN h ON n.n_nationkey IN (2 * h.id + 1, 2 * h.id + 2)) SELECT id, CAST(row_number() OVER (PARTITION BY substr(path, 1, 3) ORDER BY path) AS INT) AS place FROM h"),
+    "search_depth_first": ("WITH RECURSIVE h(id, path) AS (SELECT n_nationkey, array(n_nationkey) FROM nation WHERE n_nationkey = 0 UNION ALL SELECT n.n_nationkey, array_append(h.path, n.n_nationkey) FROM nation n JOIN h ON n.n_nationkey IN (2 * h.id + 1, 2 * h.id + 2)) SELECT id, row_number() OVER (PARTITION BY path[0] ORDER BY path) AS seq FROM h", "WITH RECURSIVE h(id, path) AS (SELECT n_nationkey, [n_nationkey] FROM nation WHERE n_nationkey = 0 UNION ALL SELECT n.n_nationkey, list_append(h.path, n.n_nationkey) FROM nation n JOIN h ON n.n_nationkey IN (2 * h.id + 1, 2 * h.id + 2)) SELECT id, CAST(row_number() OVER (PARTITION BY path[1] ORDER BY path) AS INT) AS seq FROM h"),
+    "model_clause": ("SELECT n_nationkey, aggregate(sort_array(collect_list(CAST(s_suppkey AS BIGINT))), CAST(1 AS BIGINT), (cell, x) -> (cell * 3 + x) % 1000003) AS cell FROM nation JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_nationkey", "SELECT n_nationkey, CAST(list_reduce(list_prepend(CAST(1 AS BIGINT), list_sort(list(CAST(s_suppkey AS BIGINT)))), lambda cell, x: (cell * 3 + x) % 1000003) AS BIGINT) AS cell FROM nation JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_nationkey"),
+    "set_except_all": ("SELECT c_nationkey AS k FROM customer EXCEPT ALL SELECT s_nationkey FROM supplier", None),
+    "set_intersect_all": ("SELECT c_nationkey AS k FROM customer INTERSECT ALL SELECT s_nationkey FROM supplier", None),
+    "multiset_member": ("SELECT n_nationkey, array_contains(array(1, 5, 7), n_nationkey) AS member, size(array(n_nationkey, n_nationkey)) > size(array_distinct(array(n_nationkey, n_nationkey))) AS repeats FROM nation", "SELECT n_nationkey, list_contains([1, 5, 7], n_nationkey) AS member, TRUE AS repeats FROM nation"),
+    "collection_methods": ("SELECT k, size(a) AS n_count, a[0] AS n_first, element_at(a, -1) AS n_last, array_append(a, 9) AS extended, slice(a, 1, size(a) - 1) AS trimmed, size(a) >= 3 AS third_exists, filter(a, (x, i) -> i <> 1) AS deleted FROM (SELECT n_nationkey AS k, array(n_nationkey, n_regionkey, 4) AS a FROM nation) q", "SELECT k, CAST(len(a) AS INT) AS n_count, a[1] AS n_first, a[len(a)] AS n_last, list_append(a, 9) AS extended, a[1:len(a) - 1] AS trimmed, len(a) >= 3 AS third_exists, [a[1], a[3]] AS deleted FROM (SELECT n_nationkey AS k, [n_nationkey, n_regionkey, 4] AS a FROM nation) q"),
+    "record_types": ("SELECT c_custkey, r.called AS name, r.place.rk AS rk FROM (SELECT c_custkey, named_struct('called', c_name, 'place', named_struct('n', n_name, 'rk', n_regionkey)) AS r FROM customer JOIN nation ON c_nationkey = n_nationkey) q", "SELECT c_custkey, c_name AS name, n_regionkey AS rk FROM customer JOIN nation ON c_nationkey = n_nationkey"),
+    "loop_numeric": ("SELECT p_partkey, i FROM part LATERAL VIEW explode(sequence(1, p_size)) t AS i WHERE i * i <= p_size", "SELECT p_partkey, CAST(i AS INT) AS i FROM part, LATERAL (SELECT unnest(range(1, p_size + 1)) AS i) WHERE i * i <= p_size"),
+    "loop_while": ("WITH RECURSIVE w(k, v, turns) AS (SELECT n_nationkey, CAST(n_nationkey * 37 AS BIGINT), 0 FROM nation UNION ALL SELECT k, v DIV 2, turns + 1 FROM w WHERE v > 3) SELECT k, max(turns) AS turns FROM w GROUP BY k", "WITH RECURSIVE w(k, v, turns) AS (SELECT n_nationkey, CAST(n_nationkey * 37 AS BIGINT), 0 FROM nation UNION ALL SELECT k, v // 2, turns + 1 FROM w WHERE v > 3) SELECT k, max(turns) AS turns FROM w GROUP BY k"),
+    "listagg_overflow": ("SELECT n_regionkey, CASE WHEN length(s) > 24 THEN concat(substr(s, 1, 21), '...') ELSE s END AS names FROM (SELECT n_regionkey, listagg(n_name, ',') WITHIN GROUP (ORDER BY n_name) AS s FROM nation GROUP BY n_regionkey) q", "SELECT n_regionkey, CASE WHEN length(s) > 24 THEN concat(substr(s, 1, 21), '...') ELSE s END AS names FROM (SELECT n_regionkey, string_agg(n_name, ',' ORDER BY n_name) AS s FROM nation GROUP BY n_regionkey) q"),
+    "format_masks": ("SELECT o_orderkey, date_format(o_orderdate, 'dd/MM/yyyy') AS shown, to_date(date_format(o_orderdate, 'yyyyMMdd'), 'yyyyMMdd') AS back, CAST(to_number(lpad(CAST(o_orderkey % 1000 AS STRING), 3, '0'), '999') AS BIGINT) AS n FROM orders", "SELECT o_orderkey, strftime(o_orderdate, '%d/%m/%Y') AS shown, CAST(o_orderdate AS DATE) AS back, CAST(o_orderkey % 1000 AS BIGINT) AS n FROM orders"),
+    "predicate_is_more": ("SELECT event_id, value IS NOT NULL AS there, isnan(value) AS nan, from_json(props, 'map<string,string>') IS NOT NULL AS json FROM events", "SELECT event_id, value IS NOT NULL AS there, coalesce(isnan(value), FALSE) AS nan, props IS NOT NULL AND json_valid(props) AS json FROM events"),
+    "collate_compare": ("SELECT c_custkey FROM customer WHERE c_mktsegment COLLATE UTF8_LCASE = 'building'", "SELECT c_custkey FROM customer WHERE lower(c_mktsegment) = 'building'"),
+    "bulk_collect": ("SELECT o_custkey, size(collect_list(o_orderkey)) AS fetched, array_join(slice(sort_array(collect_list(o_orderkey)), 1, 3), ',') AS first_batch FROM orders GROUP BY o_custkey", "SELECT o_custkey, CAST(count(*) AS INT) AS fetched, array_to_string(list_sort(list(o_orderkey))[1:3], ',') AS first_batch FROM orders GROUP BY o_custkey"),
     # DML re-expressed as new relations
-    "dml_insert_all": ("SELECT 'cheap' AS target, p_partkey FROM part WHERE p_retailprice < 1200 UNION ALL SELECT 'small', p_partkey FROM part WHERE p_size < 10", None),
-    "dml_insert_first": ("SELECT CASE WHEN p_retailprice < 1200 THEN 'cheap' WHEN p_size < 10 THEN 'small' ELSE 'rest' END AS target, p_partkey FROM part", None),
-    "dml_update": (f"SELECT c_custkey, CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN CAST(c_acctbal AS {MONEY}) + 100 ELSE CAST(c_acctbal AS {MONEY}) END AS {MONEY}) AS balance FROM customer", None),
-    "dml_delete": ("SELECT o_orderkey FROM orders WHERE NOT (o_orderstatus = 'F' AND o_totalprice < 50000)", None),
-    "dml_merge": (f"SELECT coalesce(t.k, s.k) AS k, CASE WHEN s.k IS NULL THEN 'kept' WHEN t.k IS NULL THEN 'inserted' ELSE 'updated' END AS what FROM (SELECT c_custkey AS k FROM customer WHERE c_custkey <= 1000) t FULL JOIN (SELECT DISTINCT o_custkey + 200 AS k FROM orders) s ON t.k = s.k", None),
     "dml_error_logging": ("SELECT event_id, try_cast(get_json_object(props, '$.k') AS INT) IS NULL AS bad FROM events", "SELECT event_id, try_cast(json_extract_string(props, '$.k') AS INT) IS NULL AS bad FROM events"),
     "dq_foreign_key": ("SELECT o_orderkey FROM orders LEFT ANTI JOIN customer ON o_custkey = c_custkey", "SELECT o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)"),
     "dq_cascade_delete": ("SELECT l_orderkey, l_linenumber FROM lineitem LEFT ANTI JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P') d ON l_orderkey = o_orderkey", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')"),
-    "sequence_nextval": ("SELECT o_orderkey, 100001 + row_number() OVER (ORDER BY o_orderkey) - 1 AS id FROM orders", "SELECT o_orderkey, CAST(100001 + row_number() OVER (ORDER BY o_orderkey) - 1 AS INT) AS id FROM orders"),
     "temporal_validity": ("SELECT a.o_orderkey AS earlier, b.o_orderkey AS later FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND b.o_orderdate > a.o_orderdate AND b.o_orderdate < a.o_orderdate + INTERVAL '10' DAY", None),
 }
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 # Default exclusions, and the content signals that the documents name with the pattern each stands for.
 EXCLUDED = ("*.bak", "*.tmp", "*_backup.*", "*_old.*", ".git/*", "node_modules/*", "__pycache__/*")
@@ -30,6 +30,13 @@ SIGNALS = {
     "has_cursor": r"(?i)\bcursor\s+\w+\s+is\b",
     "has_db_link": r"(?i)\w@\w+",
     "is_wrapped": r"(?i)\bwrapped\b\s*\n",
+    "has_alter_table": r"(?i)\balter\s+table\b",
+    "has_merge": r"(?i)\bmerge\s+into\b",
+    "has_bulk_collect": r"(?i)\bbulk\s+collect\b",
+    "has_forall": r"(?i)\bforall\b",
+    "has_autonomous_transaction": r"(?i)\bpragma\s+autonomous_transaction\b",
+    "has_pipelined": r"(?i)\bpipelined\b",
+    "has_hierarchical_query": r"(?i)\bconnect\s+by\b",
 }
 
 
@@ -113,11 +120,38 @@ def complexity(hints: Column) -> Column:
     return F.when(has("has_dynamic_sql") & has("has_dbms_calls"), "high").when(has("has_cursor") | has("has_exception_block") | has("has_dynamic_sql"), "medium").otherwise("low")
 
 
+#: Roles whose files define the data model, and signals that make a file of another role one of them too.
+DDL_ROLES = ("schema_ddl", "migration", "mixed")
+DDL_SIGNALS = ("has_create_table", "has_create_view", "has_create_index", "has_create_sequence", "has_create_synonym", "has_alter_table")
+
+
+def distinct_ids(rows: DataFrame, id_column: str, file: str, *within: str) -> DataFrame:
+    """rows with ids told apart: of files whose path prints agree all but the first by path get a number, from 2."""
+    n = F.row_number().over(Window.partitionBy(*within, id_column).orderBy(file))
+    return rows.withColumn("_n", n).withColumn(id_column, F.when(F.col("_n") == 1, F.col(id_column)).otherwise(F.concat(id_column, F.lit("_"), F.col("_n").cast("string")))).drop("_n")
+
+
+def route_ddl(inventory_: DataFrame) -> DataFrame:
+    """inventory rows with `is_ddl`: by role or by what the text holds."""
+    held = F.exists(F.map_keys("content_hints"), lambda k: k.isin(*DDL_SIGNALS))
+    return inventory_.withColumn("is_ddl", F.col("file_role").isin(*DDL_ROLES) | held)
+
+
+def feature_counts(inventory_: DataFrame) -> DataFrame:
+    """(feature, files): how many files hold each signal."""
+    return inventory_.select(F.explode(F.map_keys("content_hints")).alias("feature")).groupBy("feature").agg(F.count(F.lit(1)).alias("files"))
+
+
+def high_complexity(inventory_: DataFrame) -> DataFrame:
+    return inventory_.filter("complexity = 'high'").select("file")
+
+
 def inventory(files: DataFrame) -> DataFrame:
     """One row for each file: identity, counts, signals, role, complexity and where it is parsed."""
     rows = files.select("file", file_id(F.col("file")).alias("file_id"), F.sha2("text", 256).alias("sha256"), line_counts(F.col("text")).alias("line_counts"), content_hints(F.col("text")).alias("content_hints"))
     rows = rows.withColumn("file_role", file_role(F.col("content_hints"), F.col("file"))).withColumn("complexity", complexity(F.col("content_hints")))
     parsed = F.col("file_role").isin("package", "procedure", "function", "trigger", "mixed")
+    rows = distinct_ids(rows, "file_id", "file")
     return rows.withColumn("route", F.when(parsed, "parse").otherwise("pass"))
 
 

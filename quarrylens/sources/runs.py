@@ -28,7 +28,7 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
 
 
-def _write_pointer(spark: SparkSession, folder: str, content: dict) -> None:
+def point(spark: SparkSession, folder: str, content: dict) -> None:
     fs, path = _fs(spark, folder)
     new, final = path(f"{folder}/latest.json.{content['run_version']}"), path(f"{folder}/latest.json")
     out = fs.create(new, True)
@@ -48,7 +48,7 @@ def write_run(spark: SparkSession, root: str, stage: str, tables: dict[str, Data
         if partition_by and name in partition_by:
             writer = writer.partitionBy(partition_by[name])
         writer.option("ignoreNullFields", False).json(f"{root}/{stage}/{version}/{name}")
-    _write_pointer(spark, f"{root}/{stage}", {"stage": stage, "run_version": version, "tables": {k: v.schema.json() for k, v in tables.items()}})
+    point(spark, f"{root}/{stage}", {"stage": stage, "run_version": version, "tables": {k: v.schema.json() for k, v in tables.items()}})
     return version
 
 
