@@ -22,12 +22,23 @@ _TABLE = """concat_ws('\\n', concat('CREATE TABLE t_', s_suppkey, ' ('), concat(
   concat('  CONSTRAINT ck_', s_suppkey, ' CHECK (status IN (''A'', ''B''))', CASE s_suppkey % 3 WHEN 0 THEN ' DISABLE' WHEN 1 THEN ' ENABLE NOVALIDATE' ELSE '' END), ');')"""
 
 
+_KEPT: dict[tuple[str, str, str], Code] = {}
+
+
+def _kept(spark, sf_dir: str, kind: str, make) -> Code:
+    """A code base read once for an application; its facts and shared analyses are written tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _KEPT:
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
 def _routines(spark, sf_dir: str) -> Code:
-    return Code(spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.expr("concat('r/', c_custkey, '.sql')").alias("file"), F.expr(_ROUTINE).alias("text")))
+    return _kept(spark, sf_dir, "routines", lambda: Code(spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.expr("concat('r/', c_custkey, '.sql')").alias("file"), F.expr(_ROUTINE).alias("text"))))
 
 
 def _tables(spark, sf_dir: str) -> Code:
-    return Code(spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.expr("concat('t/', s_suppkey, '.sql')").alias("file"), F.expr(_TABLE).alias("text")))
+    return _kept(spark, sf_dir, "tables", lambda: Code(spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.expr("concat('t/', s_suppkey, '.sql')").alias("file"), F.expr(_TABLE).alias("text"))))
 
 
 def code_complexity(spark, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ Everything is a DataFrame expression over (file, text); no text leaves the engin
 from __future__ import annotations
 
 import re
+from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -45,15 +46,33 @@ def _glob(pattern: str) -> str:
 
 
 def discover(spark: SparkSession, root: str, exclude: tuple[str, ...] = EXCLUDED) -> DataFrame:
-    """(file, text, sha256, size_bytes) of every .sql file below root; undecodable bytes fall back to Latin-1. Files of no bytes are not listed: the scan has no row for them."""
+    """(file, text, sha256, size_bytes) of every .sql file below root; undecodable bytes fall back to Latin-1. Files of no bytes, for which the scan has no row, come from the folder's listing."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.sql").load(root)
     base = re.sub(r"^\w+:/*", "/", root).rstrip("/") + "/"
     file = F.col("path").substr(F.locate(base, F.col("path")) + len(base), F.length("path"))
     utf8 = F.expr("try_validate_utf8(CAST(content AS STRING))")
     rows = files.select(file.alias("file"), F.coalesce(utf8, F.decode("content", "ISO-8859-1")).alias("text"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("size_bytes"))
+    none = [(p, "", sha256(b"").hexdigest(), 0) for p in _empty_files(spark, root)]
+    if none:
+        rows = rows.unionByName(spark.createDataFrame(none, "file string, text string, sha256 string, size_bytes long"))
     return rows.filter(~excluded(F.col("file"), exclude))
 
 
+def _empty_files(spark: SparkSession, root: str) -> list[str]:
+    """Paths below root of .sql files of no bytes."""
+    sc = spark.sparkContext
+    top = sc._jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(top) or fs.getFileStatus(top).isFile():
+        return []
+    top, out, files = fs.getFileStatus(top).getPath().toString().rstrip("/"), [], fs.listFiles(top, True)
+    while files.hasNext():
+        f = files.next()
+        if f.getLen() == 0 and f.getPath().getName().endswith(".sql"):
+            out.append(f.getPath().toString()[len(top) + 1 :])
+    return out
+
+
 def excluded(file: Column, patterns: tuple[str, ...] = EXCLUDED) -> Column:
     out = F.lit(False)
     for p in patterns:
@@ -88,10 +107,22 @@ def line_counts(text: Column) -> Column:
     return F.aggregate(lines, zero, step, lambda a: F.struct((a["code"] + a["comment"] + a["blank"]).alias("total_lines"), a["code"].alias("code_lines"), a["comment"].alias("comment_lines"), a["blank"].alias("blank_lines")))
 
 
+#: A word that a text must hold for a signal; texts without it aren't searched with the signal's pattern.
+_NEEDED = {
+    "has_create_table": "table", "has_create_view": "view", "has_create_index": "index", "has_create_sequence": "sequence", "has_create_synonym": "synonym", "has_grant": "grant", "has_package": "package", "has_procedure": "procedure",
+    "has_function": "function", "has_trigger": "trigger", "has_insert": "insert", "has_dynamic_sql": "execute", "has_dbms_calls": "dbms_", "has_commit": "commit", "has_exception_block": "exception", "has_cursor": "cursor", "has_db_link": "@",
+    "is_wrapped": "wrapped", "has_alter_table": "alter", "has_merge": "merge", "has_bulk_collect": "bulk", "has_forall": "forall", "has_autonomous_transaction": "pragma", "has_pipelined": "pipelined", "has_hierarchical_query": "connect",
+}
+
+
 def content_hints(text: Column) -> Column:
-    """The signals that hold; the others are left out."""
-    pairs = [x for name, pattern in SIGNALS.items() for x in (F.lit(name), text.rlike(pattern))]
-    return F.map_filter(F.create_map(*pairs), lambda _, v: v)
+    """The signals that hold; the others are left out. A text is put in lower case once."""
+
+    def of(low: Column) -> Column:
+        pairs = [x for name, pattern in SIGNALS.items() for x in (F.lit(name), F.when(low.contains(_NEEDED[name]), low.rlike(pattern)).otherwise(False))]
+        return F.map_filter(F.create_map(*pairs), lambda _, v: v)
+
+    return F.element_at(F.transform(F.array(F.lower(text)), of), 1)
 
 
 def file_role(hints: Column, file: Column) -> Column:

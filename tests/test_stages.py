@@ -108,12 +108,17 @@ def test_truth_files(spark, tmp_path):
     assert (r.matched, r.extracted, r.truth, r.precision, r.recall) == (1, 2, 2, 0.5, 0.5)
 
 
-def test_signals_and_ids(spark):
+def test_signals_and_ids(spark, tmp_path):
     text = "alter table t add (x number);\nbegin forall i in 1 .. 3 insert into t values (i); end;"
     files = spark.createDataFrame([("a.sql", text), ("b.sql", "")], "file string, text string")
     rows = {r.file: r for r in inv.route_ddl(inv.inventory(files)).collect()}
     assert rows["a.sql"].content_hints["has_forall"] and rows["a.sql"].is_ddl and not rows["b.sql"].content_hints
-    assert rows["b.sql"].line_counts.total_lines == 0 and len(inv.SIGNALS) == 25
+    assert rows["b.sql"].line_counts.total_lines == 0 and len(inv.SIGNALS) == 25 and set(inv.SIGNALS) == set(inv._NEEDED)
+    folder = tmp_path / "x"
+    (folder / "sub").mkdir(parents=True)
+    (folder / "sub" / "none.sql").write_bytes(b"")
+    (folder / "some.sql").write_text("x")
+    assert sorted((r.file, r.size_bytes) for r in inv.discover(spark, str(folder)).collect()) == [("some.sql", 1), ("sub/none.sql", 0)]
 
 
 @pytest.mark.parametrize("name, wanted", [("scan_partition_filter", "PushedFilters: [IsNotNull(lang), EqualTo(lang,fr)]"), ("group_having", "ReadSchema: struct<l_quantity"), ("partitioned_table", "PartitionFilters: [isnotnull(lang")])
