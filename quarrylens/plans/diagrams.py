@@ -167,15 +167,21 @@ def state_text(code: Code) -> DataFrame:
 
 # -- data flow, matrix, quality ------------------------------------------------------------------------------------------------
 def dataflow_text(code: Code) -> DataFrame:
-    """One row, `mermaid`: which routine reads or changes which table, and calls."""
+    """(rank, line) of the map, which reads in that order: which routine reads or changes which table, and calls."""
     node = lambda x, p: F.concat(F.lit(p), F.regexp_replace(x, r"\W", "_"))
     reads = c.crud(code)
     use = reads.select(F.lit(1).alias("rank"), F.concat(F.lit("    "), node(F.col("object_id"), "O_"), F.lit(' -->|"'), "crud", F.lit('"| '), node(F.col("table_name"), "T_")).alias("l"))
     call = c.calls(code).filter("status = 'resolved'").select(F.lit(2).alias("rank"), F.concat(F.lit("    "), node(F.col("object_id"), "O_"), F.lit(" -.-> "), node(F.col("call_target_object_id"), "O_")).alias("l"))
     who = code.rows("objects").select("object_id").unionByName(reads.select("object_id")).distinct().select(F.lit(0).alias("rank"), F.concat(F.lit("    "), node(F.col("object_id"), "O_"), F.lit('["'), la.object_title(F.col("object_id")), F.lit('"]')).alias("l"))
     what = reads.select("table_name").distinct().select(F.lit(0).alias("rank"), F.concat(F.lit("    "), node(F.col("table_name"), "T_"), F.lit('[("'), la.humanise(F.col("table_name")), F.lit('")]')).alias("l"))
-    lines = who.unionByName(what).unionByName(use).unionByName(call).distinct()
-    return lines.groupBy().agg(F.concat(F.lit("flowchart LR\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "l"))), lambda x: x["l"]), "\n")).alias("mermaid"))
+    head = code.facts.sparkSession.createDataFrame([(-1, "flowchart LR")], "rank int, l string")
+    return head.unionByName(who).unionByName(what).unionByName(use).unionByName(call).distinct().withColumnRenamed("l", "line")
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    """Text files whose names sort as the lines do: by all columns before `line`, then `line`. Ranges of the order are written apart."""
+    order = [c for c in lines.columns if c != "line"] + ["line"]
+    lines.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).select("line").write.mode("overwrite").text(path)
 
 
 def crud_markdown(code: Code) -> DataFrame:
@@ -218,4 +224,5 @@ def write_diagrams(f: Flows, code: Code, root: str) -> None:
         raise ValueError("unfit figures: " + "; ".join(f"{r.object_id}: {r.problem}" for r in bad))
     flow_text(f).write.mode("overwrite").json(f"{root}/flows")
     state_text(code).write.mode("overwrite").json(f"{root}/states")
-    dataflow_text(code).write.mode("overwrite").text(f"{root}/system_dataflow")
+    write_lines(dataflow_text(code), f"{root}/system_dataflow")
+    write_lines(sc.erd(code), f"{root}/entities")

@@ -140,14 +140,11 @@ def rule_candidates(code: Code) -> DataFrame:
 
 
 def erd(code: Code) -> DataFrame:
-    """One row, `mermaid`: tables with columns, declared references solid with their delete action, inferred ones dotted.
-
-    Each table's lines are made apart and joined at the end; the text grows with the number of tables, as a diagram does.
-    """
+    """(rank, table_name, line) of the diagram, which reads in that order: tables with columns, declared references solid with their delete action, inferred ones dotted."""
     cols = columns(code).groupBy("table_name").agg(F.sort_array(F.collect_list(F.struct("position", F.concat(F.lit("        "), F.regexp_extract("type", r"^\w+", 0), F.lit(" "), "name").alias("l")))).alias("c"))
     boxes = cols.select(F.lit(0).alias("rank"), "table_name", F.concat(F.lit("    "), "table_name", F.lit(" {\n"), F.array_join(F.transform("c", lambda x: x["l"]), "\n"), F.lit("\n    }")).alias("l"))
     action = F.when(F.col("on_delete") == "NO_ACTION", "").otherwise(F.concat(F.lit(" ["), "on_delete", F.lit("]")))
     solid = code.rows("constraints").filter("kind = 'FOREIGN KEY'").select(F.lit(1).alias("rank"), "table_name", F.concat(F.lit("    "), "references_table", F.lit(" ||--o{ "), "table_name", F.lit(' : "'), F.array_join("columns", ", "), action, F.lit('"')).alias("l"))
     dotted = inferred_relationships(code).select(F.lit(2).alias("rank"), F.col("from_table").alias("table_name"), F.concat(F.lit("    "), "to_table", F.lit(" ||..o{ "), "from_table", F.lit(' : "'), "from_column", F.lit(' (inferred)"')).alias("l"))
-    lines = boxes.unionByName(solid).unionByName(dotted)
-    return lines.groupBy().agg(F.concat(F.lit("erDiagram\n"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("rank", "table_name", "l"))), lambda x: x["l"]), "\n")).alias("mermaid"))
+    head = code.facts.sparkSession.createDataFrame([(-1, "", "erDiagram")], "rank int, table_name string, l string")
+    return head.unionByName(boxes).unionByName(solid).unionByName(dotted).withColumnRenamed("l", "line")
