@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -30,6 +32,12 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def side_by_side(*works: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Results of works that don't wait for each other; their jobs share the session's executors."""
+    with ThreadPoolExecutor(len(works)) as pool:
+        return list(pool.map(lambda work: work(), works))
+
+
 def row_numbers(df: DataFrame, order: list[Column], name: str = "number") -> DataFrame:
     """df with `name`, 1, 2, 3 ... along an order. Ranges of the order are numbered apart and shifted by the rows of the ranges before them, so no task holds all rows."""
     parts = settled(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))

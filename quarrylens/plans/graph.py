@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import language as la
 from . import code as c, rules as ru, schema as sc
 from .code import Code
-from .cut import settled
+from .cut import settled, side_by_side
 
 # The graph's names of control-flow edges, and what no reading of source text can show.
 FLOW = {"SEQUENCE": "FOLLOWS", "BRANCH_ENTRY": "BRANCHES_TO", "EXCEPTION_EDGE": "ON_ERROR_REACHES", "LOOP_BACK_EDGE": "LOOPS_BACK_TO"}
@@ -85,7 +85,10 @@ def _edge(df: DataFrame, kind: str | Column, a_label: str, a: Column, b_label: s
 def build(code: Code) -> Graph:
     """All nodes and relationships; a relationship without both ends is taken out and counted in `dropped`."""
     col, cat = F.col, F.concat_ws
-    r = settled(ru.modality(ru.rules(code)))
+    c._nesting(code)
+    shared = (ru.mined, sc.columns, c.calls, sc.column_access, c.control_flow, c.slices)
+    side_by_side(*[lambda f=f: f(code) for f in shared])
+    r = ru.modality(ru.rules(code))
     s, objects = code.rows("statements"), code.rows("objects")
     states = sc.columns(code).filter("enum_source = 'check_constraint'").select("table_name", "name", F.explode("enum_values").alias("v"))
     found = settled(gaps(code, r))
@@ -143,7 +146,7 @@ def build(code: Code) -> Graph:
         all_nodes = all_nodes.unionByName(n)
     for e in edges[1:]:
         all_edges = all_edges.unionByName(e)
-    all_nodes, all_edges = settled(all_nodes.dropDuplicates(["label", "key"])), settled(all_edges.dropDuplicates())
+    all_nodes, all_edges = side_by_side(lambda: settled(all_nodes.dropDuplicates(["label", "key"])), lambda: settled(all_edges.dropDuplicates()))
     ends = all_nodes.select("label", "key")
     kept = all_edges.join(ends.toDF("source_label", "source"), ["source_label", "source"], "left_semi").join(ends.toDF("target_label", "target"), ["target_label", "target"], "left_semi")
     kept = settled(kept.select("type", "source_label", "source", "target_label", "target"))
