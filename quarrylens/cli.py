@@ -52,6 +52,9 @@ def run(spark: SparkSession, args: argparse.Namespace, say=print) -> int:
         written = {name: runs.load_run(spark, args.out, args.stage, name, version) for name in tables}
         say(json.dumps({"stage": args.stage, "run_version": version, "rows": statistics(written)}))
         return runs.EXIT_OK
+    if args.stage == "ask" and not gr.fitting(args.question or ""):  # refused before anything is read
+        say(json.dumps({"refused": gr.NO_FIT, "suggestions": [i[1] for i in gr.INTENTS]}))
+        return runs.EXIT_REFUSED
     code = Code.of(spark, args.source)
     if args.stage in ("diagrams", "document"):
         rules = ru.rules(code)

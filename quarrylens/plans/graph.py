@@ -248,11 +248,19 @@ def resolve_entity(g: Graph, question: str) -> tuple[str | None, str | None]:
     return (best[0]["label"], best[0]["key"]) if best else (None, None)
 
 
+NO_FIT = "the question fits none of the twelve"
+
+
+def fitting(question: str) -> list[tuple]:
+    """The questions whose words this one has."""
+    return [i for i in INTENTS if re.search(i[2], question, re.I)]
+
+
 def ask(g: Graph, question: str) -> dict:
     """{ok, intent, subject, answer (a DataFrame), query} or {ok: False, reason, suggestions}; never a guess."""
-    fits = [i for i in INTENTS if re.search(i[2], question, re.I)]
+    fits = fitting(question)
     if not fits:
-        return {"ok": False, "reason": "the question fits none of the twelve", "suggestions": [i[1] for i in INTENTS]}
+        return {"ok": False, "reason": NO_FIT, "suggestions": [i[1] for i in INTENTS]}
     label, key = resolve_entity(g, question)
     fits.sort(key=lambda i: (not (label is not None and i[3] is not None and label in i[3].split("|")), INTENTS.index(i)))
     name, text, _, needs, answer, query = fits[0]
