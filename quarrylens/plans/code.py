@@ -6,13 +6,13 @@ source text. Ancestors travel with each statement, so depth, nesting and "inside
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..sources import inventory
-from ..sources.plsql import read_facts
+from ..sources.plsql import FILES, read_facts
 from .cut import settled
 
 #: Procedures that are no outside call, limits of the two complexities, the kinds that raise nesting.
@@ -20,6 +20,7 @@ BUILTINS = ("RAISE_APPLICATION_ERROR",)
 CYCLOMATIC_LIMIT, COGNITIVE_LIMIT = 10, 15
 NESTING = ("IF", "LOOP", "CASE", "EXCEPTION_HANDLER")
 DML = ("INSERT", "UPDATE", "DELETE", "MERGE")
+_SLICE = pa.schema([("file_id", pa.string()), ("object_id", pa.string()), ("variable", pa.string()), ("determined_by", pa.list_(pa.int32())), ("depends_on_variables", pa.list_(pa.string()))])
 
 
 class Code:
@@ -204,34 +205,42 @@ def slices(code: Code) -> DataFrame:
 def _slices(code: Code) -> DataFrame:
     """Backward slice of every assigned variable: statements that determine it, with the controlling ones, and variables it depends on.
 
-    One group is one object's statements, which its source text bounds.
+    An object's statements lie in one file, so each file's row is worked on where it is, without a shuffle.
     """
-    s = code.rows("statements").select("file_id", "object_id", "seq", "ancestors", "targets", "sources", "type")
-    known = code.rows("variables").unionByName(code.rows("parameters"), True).groupBy("file_id", "object_id").agg(F.collect_set("name").alias("known"))
+    part = lambda name, *fields: F.transform(name, lambda r: F.struct(*[r[f].alias(f) for f in fields])).alias(name)
+    facts = code.facts.select("file_id", part("statements", "object_id", "seq", "ancestors", "targets", "sources", "type"), part("variables", "object_id", "name"), part("parameters", "object_id", "name"))
 
-    def close(group: pd.DataFrame) -> pd.DataFrame:
-        rows = {int(r.seq): r for r in group.itertuples()}
-        names = set(group["known"].iloc[0] if group["known"].iloc[0] is not None else ())
+    def close(rows: dict[int, dict], names: set[str]) -> Iterator[tuple]:
         makers: dict[str, list[int]] = {}
-        for r in rows.values():
-            for t in r.targets:
-                makers.setdefault(t, []).append(int(r.seq))
-        out = []
+        for seq, r in rows.items():
+            for t in r["targets"] or ():
+                makers.setdefault(t, []).append(seq)
         for variable in makers:
             todo, seen, depends = [variable], set(), {variable}
             while todo:
                 for seq in makers.get(todo.pop(), ()):
-                    for k in (seq, *map(int, rows[seq].ancestors)):
-                        if k in seen or rows[k].type == "BLOCK":
+                    for k in (seq, *(rows[seq]["ancestors"] or ())):
+                        if k in seen or rows[k]["type"] == "BLOCK":
                             continue
                         seen.add(k)
-                        fresh = [x for x in rows[k].sources if x not in depends and (x in names or x in makers or x.split(".")[0] in makers)]
+                        fresh = [x for x in rows[k]["sources"] or () if x not in depends and (x in names or x in makers or x.split(".")[0] in makers)]
                         depends.update(fresh)
                         todo += [y for x in fresh for y in {x, x.split(".")[0]}]
-            out.append((group["file_id"].iloc[0], group["object_id"].iloc[0], variable, sorted(seen), sorted(depends - {variable})))
-        return pd.DataFrame(out, columns=["file_id", "object_id", "variable", "determined_by", "depends_on_variables"])
-
-    return s.join(known, ["file_id", "object_id"], "left").groupBy("file_id", "object_id").applyInPandas(close, "file_id string, object_id string, variable string, determined_by array<int>, depends_on_variables array<string>")
+            yield variable, sorted(seen), sorted(depends - {variable})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (batch.slice(lo, FILES) for batch in batches for lo in range(0, batch.num_rows, FILES)):
+            out = []
+            for file in part.to_pylist():
+                objects, known = {}, {}
+                for r in file["statements"] or ():
+                    objects.setdefault(r["object_id"], {})[r["seq"]] = r
+                for r in (file["variables"] or []) + (file["parameters"] or []):
+                    known.setdefault(r["object_id"], set()).add(r["name"])
+                out += [(file["file_id"], object_id, *found) for object_id, rows in objects.items() for found in close(rows, known.get(object_id, set()))]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(_SLICE.types)], schema=_SLICE)
+
+    return facts.mapInArrow(run, "file_id string, object_id string, variable string, determined_by array<int>, depends_on_variables array<string>")
 
 
 def pseudocode(code: Code) -> DataFrame:

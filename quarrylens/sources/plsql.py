@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .ddl import DDL_FIELDS, read_ddl
 from .lexer import Token, closing, dotted, find_top, identifiers, logic, slice_of, split_top, tokens_of
@@ -26,6 +27,7 @@ _ARRAYS = {
     "issues": "type: string, object_id: string, line: int, message: string",
 } | DDL_FIELDS
 FACTS_SCHEMA = "file string, " + ", ".join(f"{name} array<struct<{fields}>>" for name, fields in _ARRAYS.items())
+FILES = 256  # whose facts are held as Python objects at once
 _PREFIX = {"PROCEDURE": "PROC", "FUNCTION": "FUNC", "PACKAGE": "PKGS", "PACKAGE BODY": "PKGB", "TRIGGER": "TRG"}
 _STOPS = frozenset(("END", "ELSE", "ELSIF", "EXCEPTION", "WHEN"))
 _NESTS = {"IF", "LOOP", "CASE", "EXCEPTION_HANDLER"}
@@ -497,11 +499,18 @@ def facts_of(text: str | None) -> dict[str, list]:
 
 
 def read_facts(files: DataFrame) -> DataFrame:
-    """(file, text) -> one row for each file with an array of structs for each kind of fact."""
+    """(file, text) -> one row for each file with an array of structs for each kind of fact.
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [facts_of(t) for t in batch["text"]]
-            yield pd.DataFrame({"file": batch["file"], **{name: [r[name] for r in rows] for name in _ARRAYS}})
+    Reading costs far more than moving a source text, so the files are dealt over all tasks, whatever the scan's splits are.
+    """
+    spark = files.sparkSession
+    schema = spark.createDataFrame([], FACTS_SCHEMA).schema
+    types = {f.name: to_arrow_type(f.dataType) for f in schema.fields}
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism, files.rdd.getNumPartitions())
 
-    return files.select("file", "text").mapInPandas(read, FACTS_SCHEMA)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (batch.slice(lo, FILES) for batch in batches for lo in range(0, batch.num_rows, FILES)):
+            rows = [facts_of(t) for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([r[name] for r in rows], types[name]) for name in _ARRAYS)], names=list(types))
+
+    return files.select("file", "text").repartition(tasks, "file").mapInArrow(read, schema)
