@@ -62,18 +62,27 @@ def calls(code: Code) -> DataFrame:
 
 
 def _calls(code: Code) -> DataFrame:
-    """Each call with what it means: a member of the same package first, then one of the same owner, then any; else unresolved."""
-    objects = code.rows("objects").filter("type IN ('PROCEDURE', 'FUNCTION')")
-    callee = objects.select(F.col("object_id").alias("target_id"), F.col("owner").alias("t_owner"), F.col("name").alias("t_name"), F.col("member").alias("t_member"), F.coalesce("member", "name").alias("last"))
+    """Each call with what it means: a member of the same package first, then one of the same owner, then any; else unresolved.
+
+    Every way to mean a routine is a key, and a key leads to its least routine: a call has four keys at most and a name that
+    many routines share makes no more rows.
+    """
+    key = lambda kind, *parts: F.concat(F.lit(kind), *[x for p in parts for x in (F.lit("\u0001"), p)])
+    objects = code.rows("objects").filter("type IN ('PROCEDURE', 'FUNCTION')").withColumn("last", F.coalesce("member", "name"))
+    owner, name, last, qualifier = (F.col(c) for c in ("owner", "name", "last", "qualifier"))
+    member = F.array(key("package", owner, name, last), key("any package", name, last))
+    routine = F.array(key("owner", owner, last), key("any owner", last))
+    ways = objects.select(F.col("object_id").alias("target_id"), F.explode(F.when(F.col("member").isNotNull(), member).otherwise(routine)).alias("key"))
+    ways = ways.filter("key IS NOT NULL").groupBy("key").agg(F.min("target_id").alias("target_id"))
     caller = code.rows("objects").select("file_id", "object_id", "owner", "name")
     made = code.rows("statements").filter("type = 'CALL'").drop("name").join(caller, ["file_id", "object_id"])
     made = made.withColumn("parts", F.split("call_target", r"\.")).withColumn("last", F.element_at("parts", -1)).withColumn("qualifier", F.when(F.size("parts") > 1, F.element_at("parts", -2)))
-    same_package = F.col("t_member").isNotNull() & (F.col("t_name") == F.col("name")) & (F.col("t_owner") == F.col("owner")) & F.col("qualifier").isNull()
-    qualified = (F.col("qualifier") == F.col("t_name")) & F.col("t_member").isNotNull()
-    alone = F.col("t_member").isNull() & (F.col("qualifier").isNull() | (F.col("qualifier") == F.col("t_owner")))
-    rank = F.when(same_package, 1).when((qualified | alone) & (F.col("t_owner") == F.col("owner")), 2).when(qualified | alone, 3)
-    found = made.join(callee, "last", "left").withColumn("rank", F.when(F.col("target_id").isNotNull(), rank))
-    best = found.groupBy("statement_id", "file_id", "object_id", "line", "call_target").agg(F.min(F.when(F.col("rank").isNotNull(), F.struct("rank", "target_id"))).alias("best"))
+    ranked = lambda *each: F.array(*[F.struct(F.lit(rank).alias("rank"), k.alias("key")) for rank, k in each])
+    plain = ranked((1, key("package", owner, name, last)), (2, key("owner", owner, last)), (3, key("any owner", last)))
+    within = ranked((2, key("package", owner, qualifier, last)), (2, F.when(qualifier == owner, key("owner", owner, last))), (3, key("any package", qualifier, last)), (3, key("owner", qualifier, last)))
+    asked = made.select("statement_id", "file_id", "object_id", "line", "call_target", F.explode_outer(F.when(qualifier.isNull(), plain).otherwise(within)).alias("way")).select("*", "way.rank", "way.key")
+    found = asked.filter("key IS NOT NULL OR rank IS NULL OR rank = 3").join(ways, "key", "left")
+    best = found.groupBy("statement_id", "file_id", "object_id", "line", "call_target").agg(F.min(F.when(F.col("target_id").isNotNull(), F.struct("rank", "target_id"))).alias("best"))
     status = F.when(F.col("best").isNotNull(), "resolved").when(F.col("call_target").isin(*BUILTINS), "builtin").otherwise("unresolved_reference")
     return best.select("statement_id", "file_id", "object_id", "line", "call_target", F.col("best.target_id").alias("call_target_object_id"), status.alias("status"))
 
