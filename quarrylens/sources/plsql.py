@@ -501,12 +501,13 @@ def facts_of(text: str | None) -> dict[str, list]:
 def read_facts(files: DataFrame) -> DataFrame:
     """(file, text) -> one row for each file with an array of structs for each kind of fact.
 
-    Reading costs far more than moving a source text, so the files are dealt over all tasks, whatever the scan's splits are.
+    Reading costs far more than moving a source text, so the files are dealt over as many tasks as the session's shuffles
+    have, whatever the scan's splits are.
     """
     spark = files.sparkSession
     schema = spark.createDataFrame([], FACTS_SCHEMA).schema
     types = {f.name: to_arrow_type(f.dataType) for f in schema.fields}
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism, files.rdd.getNumPartitions())
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (batch.slice(lo, FILES) for batch in batches for lo in range(0, batch.num_rows, FILES)):
