@@ -7,7 +7,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 #: White space, as one contract's word rule names it: words are runs of anything else.
 SPACE = "\\x20\\x09-\\x0D"
@@ -105,6 +105,24 @@ def split_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, hot
     return dealt.join(repeated, [*keys, "slice"], how).drop("slice")
 
 
+def in_order(scratch: Scratch, df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """df written in sorted range parts, with `at`: a whole number that ascends along the order, the part above its lower 33 bits and the row in the part in them.
+
+    Rows alike in the order's keys are dealt over parts by their place of reading, so copies don't land in one task.
+    """
+    dealt = df.withColumn("_read", F.monotonically_increasing_id())
+    parts = dealt.repartitionByRange(tasks_of(df.sparkSession), *order, "_read").sortWithinPartitions(*order, "_read")
+    return scratch.table(parts.drop("_read").withColumn("at", F.monotonically_increasing_id()), name)
+
+
+def places(ordered: DataFrame) -> DataFrame:
+    """in_order's table with `place`, 0, 1, 2 ... along the order."""
+    part = F.shiftright("at", 33)
+    sizes = ordered.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))  # a row for each part
+    before = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    return ordered.withColumn("_part", part).join(F.broadcast(before), "_part").withColumn("place", F.col("_before") + F.col("at").bitwiseAND((1 << 33) - 1)).drop("_part", "_before")
+
+
 def let(value: Column, body) -> Column:
     """body(value) with value computed once, however often body names it."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -1,4 +1,4 @@
-"""The ten operators over their whole tables, with production parameters."""
+"""The operators over their whole tables, with production parameters."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontam, licenses, mixing, neardup, pii, quality, secrets, toxicity, urlfilter
+from . import chat, decontam, licenses, merkle, mixing, neardup, pii, quality, secrets, toxicity, urlfilter
 from .common import tables
 
 RULES = [
@@ -63,5 +63,9 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.filter_urls(tables(spark, sf_dir, "pages"), RULES)
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(tables(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_pii, op3_chat, op4_decontamination, op5_neardup, op6_licenses, op7_secrets, op8_quality, op9_mixing, op10_urls)}
+    return {f.__name__: f for f in (op1_toxicity, op2_pii, op3_chat, op4_decontamination, op5_neardup, op6_licenses, op7_secrets, op8_quality, op9_mixing, op10_urls, op11_merkle)}

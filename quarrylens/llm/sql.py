@@ -90,5 +90,40 @@ SELECT page_id, host, path, {pick(lambda r: r.text, "NULL")} AS rule, {pick(lamb
 """
 
 
+def _crc32(text: str) -> str:
+    """crc32 of an ASCII text, unsigned: its bytes in turn, eight shifts (-1) after each."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [CAST(ord(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    step = "CASE WHEN e >= 0 THEN xor(c, e) ELSE xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END) END"
+    return f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {steps}), lambda c, e: {step}), 4294967295)"
+
+
+def _merkle() -> str:
+    field = lambda x: f"coalesce(strlen(CAST({x} AS VARCHAR)) || ':' || {x}, '-')"
+    leaf = lambda text: f"sha256({field('doc_id')} || {field('source')} || {field('lang')} || {field('n_chars')} || {field(text)})"
+    # A tree's levels, and the path of each node: siblings before and after, from the node up.
+    levels = lambda name, base: f"""
+{name}(tree, level, number, n, hash) AS (SELECT tree, 0, number, n, hash FROM {base} UNION ALL
+    SELECT tree, level + 1, number // 16, (n + 15) // 16, sha256(string_agg(hash, '' ORDER BY number)) FROM {name} WHERE n > 1 GROUP BY tree, level, number // 16, n),
+{name}_steps AS (SELECT a.tree, a.level, a.number, coalesce(string_agg(b.hash, '' ORDER BY b.number) FILTER (b.number < a.number), '') AS before, coalesce(string_agg(b.hash, '' ORDER BY b.number) FILTER (b.number > a.number), '') AS after
+    FROM {name} a JOIN {name} b ON a.tree = b.tree AND a.level = b.level AND a.number // 16 = b.number // 16 WHERE a.n > 1 GROUP BY a.tree, a.level, a.number)"""
+    return rf"""
+WITH RECURSIVE d AS (SELECT doc_id, source, {leaf('text')} AS leaf, CASE WHEN doc_id IS NOT NULL AND {_crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN {leaf('low')} ELSE {leaf('text')} END AS altered
+    FROM (SELECT *, translate(text, {_AZ}) AS low FROM documents)),
+p AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS number FROM d),
+leaves AS (SELECT tree, number, count(*) OVER (PARTITION BY tree) AS n, leaf AS hash FROM p),{levels('low', 'leaves')},
+tops AS (SELECT 0 AS tree, tree AS number, count(*) OVER () AS n, hash FROM low WHERE n = 1),{levels('high', 'tops')},
+top AS (SELECT hash AS root FROM high WHERE n = 1),
+fold(doc_id, leaf, tree, leaf_number, subroot, level, depth, node, proof) AS (
+    SELECT doc_id, leaf, p.tree, p.number, s.hash, 0, CAST((SELECT max(level) FROM low l WHERE l.tree = p.tree) AS INT), altered, '' FROM p JOIN (SELECT tree, hash FROM low WHERE n = 1) s ON s.tree = p.tree
+    UNION ALL
+    SELECT doc_id, leaf, f.tree, leaf_number, subroot, f.level + 1, depth, sha256(coalesce(a.before, b.before) || node || coalesce(a.after, b.after)), proof || coalesce(a.before, b.before) || coalesce(a.after, b.after)
+    FROM fold f LEFT JOIN low_steps a ON f.level < depth AND a.tree = f.tree AND a.level = f.level AND a.number = leaf_number // CAST(pow(16, f.level) AS BIGINT)
+    LEFT JOIN high_steps b ON f.level >= depth AND b.level = f.level - depth AND b.number = f.tree // CAST(pow(16, greatest(f.level - depth, 0)) AS BIGINT)
+    WHERE coalesce(a.before, b.before) IS NOT NULL)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified
+FROM fold, top WHERE level = depth + (SELECT max(level) FROM high)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": DECONTAMINATION, "op8_quality": _quality(), "op9_mixing": _mixing(), "op10_urls": _urls()}
+    return {"op4_decontamination": DECONTAMINATION, "op8_quality": _quality(), "op9_mixing": _mixing(), "op10_urls": _urls(), "op11_merkle": _merkle()}
