@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import chat, decontam, licenses, merkle, mixing, neardup, pii, quality, secrets, syncmers, toxicity, urlfilter
+from . import chat, decontam, licenses, merkle, mixing, neardup, pii, quality, secrets, structure, syncmers, toxicity, urlfilter
 from .common import tables
 
 RULES = [
@@ -67,9 +67,13 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(tables(spark, sf_dir, "documents"))
 
 
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure.damage_and_repair(tables(spark, sf_dir, "conversations"))
+
+
 def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprint_report(tables(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_pii, op3_chat, op4_decontamination, op5_neardup, op6_licenses, op7_secrets, op8_quality, op9_mixing, op10_urls, op11_merkle, op13_fingerprints)}
+    return {f.__name__: f for f in (op1_toxicity, op2_pii, op3_chat, op4_decontamination, op5_neardup, op6_licenses, op7_secrets, op8_quality, op9_mixing, op10_urls, op11_merkle, op12_conversations, op13_fingerprints)}

@@ -125,5 +125,34 @@ FROM fold, top WHERE level = depth + (SELECT max(level) FROM high)
 """
 
 
+def _structure() -> str:
+    kept = "CASE WHEN ini = 's' AND q = 1 THEN 2 WHEN ini = 'u' AND q IN (1, 2, 4) THEN 3 WHEN ini = 'a' AND q = 3 THEN 4 END"
+    least = lambda q, keep: f"least(4 + v[{q}], CASE WHEN fault < 2 THEN least(3 + fault * 3 + v[{(3, 3, 4, 3)[q - 1]}], CASE WHEN {keep} THEN fault * 3 + v[{(3, 3, 4, 3)[q - 1]}] ELSE 99999999 END) ELSE 99999999 END)"
+    start = f"least({least(1, 'ini = ' + chr(39) + 'u' + chr(39))}, CASE WHEN fault < 2 AND ini = 's' THEN fault * 3 + v[2] ELSE 99999999 END)"
+    u, a = "ini = 'u'", "ini = 'a'"
+    ws = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return rf"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c FROM conversations),
+d AS (SELECT c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(0, CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM k),
+o AS (SELECT c, turn, role, text, rtrim(text, {ws}) AS stripped, left(role, 1) AS ini, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i FROM d),
+f AS (SELECT c, turn, role, text, ini, i, CASE WHEN stripped = '' THEN 3 WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 2 WHEN right(stripped, 1) IN ('.', '!', '?') THEN 0 ELSE 1 END AS fault, lag(ini) OVER (PARTITION BY c ORDER BY i) || ini AS pair FROM o),
+n AS (SELECT c, conv_id, coalesce(n, 0) AS n FROM (SELECT DISTINCT c, conv_id FROM k) LEFT JOIN (SELECT c, count(*) AS n FROM f GROUP BY c) USING (c)),
+w(c, i, v) AS (SELECT c, n + 1, [0, 6, 3, 0] FROM n UNION ALL
+    SELECT c, i, [least(w1, 3 + w3, 6 + w4), least(w2, 3 + w3, 6 + w4), least(w3, 3 + w4), least(w4, 3 + w3)]
+    FROM (SELECT w.c, f.i, {start} AS w1, {least(2, u)} AS w2, {least(3, a)} AS w3, {least(4, u)} AS w4 FROM w JOIN f ON f.c = w.c AND f.i = w.i - 1)),
+t(c, i, q, audit, body) AS (SELECT c, CAST(1 AS BIGINT), 1, '', '' FROM n UNION ALL
+    SELECT c, CASE WHEN letter = 'I' THEN i ELSE i + 1 END, CASE letter WHEN 'D' THEN q WHEN 'K' THEN kept ELSE after END, audit || letter,
+           CASE letter WHEN 'D' THEN body ELSE body || CASE WHEN body = '' THEN '' ELSE chr(10) END || CASE letter WHEN 'K' THEN role ELSE CASE after WHEN 3 THEN 'user' ELSE 'assistant' END END || ':' || CASE letter WHEN 'I' THEN '' ELSE text END END
+    FROM (SELECT *, CASE WHEN role IS NOT NULL AND 4 + v1[q] = v0[q] THEN 'D' WHEN 3 + v0[after] = v0[q] THEN 'I' WHEN fault < 2 AND kept IS NOT NULL AND fault * 3 + v1[kept] = v0[q] THEN 'K' ELSE 'R' END AS letter
+          FROM (SELECT t.*, role, text, fault, w0.v AS v0, w1.v AS v1, ([3, 3, 4, 3])[q] AS after, {kept} AS kept
+                FROM t JOIN w w0 ON w0.c = t.c AND w0.i = t.i LEFT JOIN w w1 ON w1.c = t.c AND w1.i = t.i + 1 LEFT JOIN f ON f.c = t.c AND f.i = t.i)
+          WHERE NOT (role IS NULL AND v0[q] = 0))),
+counts AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 3) AS blank, count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 1) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY c)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(w.v[1] AS BIGINT) AS cost, audit, sha256(body) AS repaired_sha256
+FROM n JOIN w ON w.c = n.c AND w.i = 1 JOIN t ON t.c = n.c AND t.i = n + 1 JOIN w e ON e.c = n.c AND e.i = n + 1 AND e.v[t.q] = 0 LEFT JOIN counts ON counts.c = n.c
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": DECONTAMINATION, "op8_quality": _quality(), "op9_mixing": _mixing(), "op10_urls": _urls(), "op11_merkle": _merkle()}
+    return {"op4_decontamination": DECONTAMINATION, "op8_quality": _quality(), "op9_mixing": _mixing(), "op10_urls": _urls(), "op11_merkle": _merkle(), "op12_conversations": _structure()}
