@@ -7,7 +7,10 @@ its parts in lower case. A surrogate is the image of the normal form under a key
 kind, put back into the writing it was found in: separators stay, letters stay letters of the same script and case, given
 names keep gender and script, cards their first digit and check digit, addresses their range. Hence the same entity has the
 same surrogate everywhere, and two entities never share one. This is checked for each new surrogate: it is read again as it
-is written, must have the normal form that was meant, differ from the original's, and lead back to it under the inverse.
+is written, must have the normal form that was meant, differ from the original's, and lead back to it under the inverse. An entity
+that fails a check, or can't be read by its kind's rules, gets a keyed form of its own writing instead, which may meet another's; it never ends a job.
+Digits of other scripts are read by their values and written back in their script; letters of scripts without a class of their own
+are permuted among their neighbours; an IPv4 address inside an IPv6 one has the surrogate of that address.
 
 Names are found by a known given name (a list, which a parameter extends) and a surname, in either order and in capitals,
 after a title (Mr, Frau, Mme ...), and after words that announce one ("my name is"). Parts of a name are permuted each on
@@ -22,6 +25,7 @@ proportional to its length; all columns of the input are kept; counts take under
 from __future__ import annotations
 
 import re
+import unicodedata
 from dataclasses import dataclass
 from functools import lru_cache
 from hashlib import blake2b
@@ -47,13 +51,13 @@ TWO_DIGIT_CODES = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48
 
 TYPES = ("email", "iban", "ip", "ssn", "number", "phone", "name")
 _UPPER, _LOW = "A-ZÀ-ÖØ-ÞА-ЯЁ", "a-zß-öø-ÿа-яё"
-_PART = rf"[{_UPPER}](?:[{_LOW}]+|[{_UPPER}]+(?![{_LOW}]))(?:['’-][{_UPPER}][{_LOW}{_UPPER}]+)?|Mc[A-Z][a-z]+"
+_PART = rf"(?:[{_UPPER}]['’])?[{_UPPER}](?:[{_LOW}]+|[{_UPPER}]+(?![{_LOW}]))(?:['’-][{_UPPER}][{_LOW}{_UPPER}]+)?|Mc[A-Z][a-z]+"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: Everything with a fixed beginning; runs are bounded, so that no long token is read again and again.
 _FIND = re.compile(
     r"(?<![A-Za-z0-9])(?P<iban>[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?))(?![A-Za-z0-9])"
     rf"|(?<![\d.])(?P<ip>{_OCTET}(?:\.{_OCTET}){{3}})(?![\d]|\.\d)"
-    r"|(?<![\w:.])(?P<ip6>(?=[0-9A-Fa-f:]{2,39}(?![\w:]))[0-9A-Fa-f]{0,4}:[0-9A-Fa-f:]*:[0-9A-Fa-f]{0,4})"
+    r"|(?<![\w:.])(?P<ip6>(?=[0-9A-Fa-f:]{2,39}(?![\w:]|\.\d))[0-9A-Fa-f]{0,4}:[0-9A-Fa-f:]*:[0-9A-Fa-f]{0,4})"
     r"|(?<![\w-])(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
     r"|(?<![A-Za-z0-9])(?P<number>\d{13,19}|\d{4}(?:[ \-]\d{4}){2,3}(?:[ \-]\d{1,4})?|\d{4}[ \-]\d{6}[ \-]\d{5})(?![A-Za-z0-9])"
     r"|(?<![\w+])(?P<phone>\+[1-9](?:[ .\-/()]{0,2}\d){7,14}|1[ .\-](?:\([2-9]\d{2}\)[ .\-]?|[2-9]\d{2}[ .\-])\d{3}[ .\-]\d{4}|(?:\(\d{2,4}\)[ .\-]?|\d{2,4}[ .\-])\d{3,4}[ .\-]\d{3,4}|0\d{2,4}[ /\-]\d{5,8}|[2-9]\d{2}[2-9]\d{6})(?![\w-])"
@@ -174,15 +178,49 @@ class Permutation:
 
 
 #: Letters that a surrogate's letters come from, by what the original's are: vowels and consonants of each script.
-_CLASSES = ["aeiou", "bcdfghjklmnpqrstvwxyz", "äöüàáâãåæèéêëìíîïòóôõøùúûýÿ", "çñßðþ", "аеиоуыэюяё", "бвгджзклмнпрстфхцчшщ", "0123456789"]
+_CLASSES = ["aeiou", "bcdfghjklmnpqrstvwxyz", "äöüàáâãåæèéêëìíîïòóôõøùúûý", "çñðþ", "аеиоуыэюяё", "бвгджзклмнпрстфхцчшщ", "0123456789"]
 _CLASS = {c: s for s in _CLASSES for c in s}
 
 
+@lru_cache(maxsize=4096)
+def _neighbours(c: str) -> str:
+    """Letters that stand for a letter of another script: those of its kind and case among 256 code points."""
+    first, kind = ord(c) & ~0xFF, unicodedata.category(c)
+    return "".join(x for x in map(chr, range(first, first + 256)) if x.isalpha() and unicodedata.category(x) == kind and x.lower() == x and len(x.upper()) == 1 and x not in _CLASS)
+
+
+def _class_of(c: str, classes: dict[str, str]) -> str | None:
+    if found := classes.get(c):
+        return found
+    if c > "\x7f" and c.isalpha() and c in (near := _neighbours(c)):
+        return near
+    return None
+
+
+_OTHER_DIGIT = re.compile(r"(?![0-9])\d")
+
+
+def _ascii_digits(text: str) -> str:
+    """text with the decimal digits of all scripts as 0-9, character for character."""
+    if text.isascii() or not _OTHER_DIGIT.search(text):
+        return text
+    return _OTHER_DIGIT.sub(lambda m: str(unicodedata.decimal(m[0])), text)
+
+
+def _digits_as_in(new: str, old: str) -> str:
+    """new with the digits of old's script, if that isn't 0-9."""
+    other = _OTHER_DIGIT.search(old)
+    if not other:
+        return new
+    zero = ord(other[0]) - unicodedata.decimal(other[0])
+    return re.sub("[0-9]", lambda m: chr(zero + int(m[0])), new)
+
+
 def _numeral(text: str, classes: dict[str, str] = _CLASS) -> tuple[int, int]:
     """The number that a lower-case text is among the texts of its form, and their number."""
     value, size = 0, 1
     for c in text:
-        if s := classes.get(c):
+        if s := _class_of(c, classes):
             value, size = value * len(s) + s.index(c), size * len(s)
     return value, size
 
@@ -190,7 +228,7 @@ def _numeral(text: str, classes: dict[str, str] = _CLASS) -> tuple[int, int]:
 def _spelled(value: int, form: str, classes: dict[str, str] = _CLASS) -> str:
     out = []
     for c in reversed(form):
-        if s := classes.get(c):
+        if s := _class_of(c, classes):
             value, k = divmod(value, len(s))
             c = s[k]
         out.append(c)
@@ -295,7 +333,24 @@ class Surrogates:
         return "".join((n.upper() if c.isupper() else n) if c.isalnum() and (n := next(it)) else c for c in shape)
 
     def _make(self, kind: str, text: str) -> str:
-        return getattr(self, f"_{kind}")(text)
+        """An entity's surrogate. What can't be brought to a normal form, or fails a check, gets a keyed form: no text ends a job or keeps an entity."""
+        try:
+            new = getattr(self, f"_{kind}")(text)
+        except Exception:  # whatever a text may hold that its kind's rules don't foresee
+            new = text
+        return self._keyed(kind, text) if new == text else new
+
+    def _keyed(self, kind: str, text: str) -> str:
+        """Each letter and digit moved on by a keyed number of places among its like, never by none."""
+        out = []
+        for k, c in enumerate(text):
+            low = c.lower() if len(c.lower()) == 1 else c
+            if (s := _class_of(low, _PLAIN)) and len(s) > 1:
+                step = 1 + int.from_bytes(blake2b(f"{kind}|{k}|{text}".encode("utf-8", "replace"), key=self._permutation.key, digest_size=8).digest(), "big") % (len(s) - 1)
+                new = s[(s.index(low) + step) % len(s)]
+                c = new.upper() if c != low and len(new.upper()) == 1 else new
+            out.append(c)
+        return "".join(out)
 
     def _checked(self, normal, meant, new: str) -> str:
         """new, if it reads as what was meant."""
@@ -432,11 +487,14 @@ class Surrogates:
     def scrub(self, text: str | None) -> tuple[str | None, dict[str, int]]:
         """The text with surrogates and the number of finds of each type; a whole name counts once, by its surname or lone part."""
         counts: dict[str, int] = {}
-        if not text or not (found := self.finds(text)):
+        if not text:
+            return text, counts
+        plain = _ascii_digits(text)
+        if not (found := self.finds(plain)):
             return text, counts
         parts, at, was = [], 0, None
         for lo, hi, kind in found:
-            parts += [text[at:lo], self.of(kind, text[lo:hi])]
+            parts += [text[at:lo], _digits_as_in(self.of(kind, plain[lo:hi]), text[lo:hi])]
             name = kind in ("forename", "initial", "surname")
             if not (name and was is not None and text[at:lo] in (" ", ", ", ". ")):
                 counted = "name" if name else "ip" if kind == "ip6" else kind
