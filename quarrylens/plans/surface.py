@@ -80,9 +80,6 @@ QUERIES: dict[str, tuple[str, str | None]] = {
     "set_minus": ("SELECT n_nationkey AS k FROM nation MINUS SELECT s_nationkey FROM supplier WHERE s_acctbal < 0", "SELECT n_nationkey AS k FROM nation EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal < 0"),
     # CTE, hierarchy, pivot
     "with_clause": ("WITH big AS (SELECT o_custkey, CAST(count(*) AS BIGINT) AS n FROM orders GROUP BY o_custkey), top AS (SELECT * FROM big WHERE n > 12) SELECT c_name, n FROM top JOIN customer ON c_custkey = o_custkey", None),
-    "with_recursive": ("WITH RECURSIVE t(k, depth) AS (SELECT 1, 0 UNION ALL SELECT k * 2, depth + 1 FROM t WHERE depth < 12) SELECT k, depth FROM t", None),
-    "connect_by": ("WITH RECURSIVE h(id, parent, level, path) AS (SELECT n_nationkey, CAST(NULL AS INT), 1, CAST(n_nationkey AS STRING) FROM nation WHERE n_nationkey = 0 UNION ALL SELECT n.n_nationkey, h.id, h.level + 1, concat(h.path, '/', n.n_nationkey) FROM nation n JOIN h ON n.n_nationkey IN (2 * h.id + 1, 2 * h.id + 2)) SELECT id, parent, level, path FROM h", "WITH RECURSIVE h(id, parent, level, path) AS (SELECT n_nationkey, CAST(NULL AS INT), 1, CAST(n_nationkey AS VARCHAR) FROM nation WHERE n_nationkey = 0 UNION ALL SELECT n.n_nationkey, h.id, h.level + 1, concat(h.path, '/', n.n_nationkey) FROM nation n JOIN h ON n.n_nationkey IN (2 * h.id + 1, 2 * h.id + 2)) SELECT id, parent, level, path FROM h"),
-    "cycle_guard": ("WITH RECURSIVE w(a, path) AS (SELECT 0, array(0) UNION ALL SELECT (a * 3 + 1) % 7, array_append(path, (a * 3 + 1) % 7) FROM w WHERE NOT array_contains(path, (a * 3 + 1) % 7)) SELECT a, CAST(size(path) AS BIGINT) AS steps FROM w", "WITH RECURSIVE w(a, path) AS (SELECT 0, [0] UNION ALL SELECT (a * 3 + 1) % 7, list_append(path, (a * 3 + 1) % 7) FROM w WHERE NOT list_contains(path, (a * 3 + 1) % 7)) SELECT a, CAST(len(path) AS BIGINT) AS steps FROM w"),
     "pivot": ("SELECT * FROM (SELECT o_orderpriority, o_orderstatus, 1 AS one FROM orders) PIVOT (CAST(sum(one) AS BIGINT) FOR o_orderstatus IN ('F' AS f, 'O' AS o, 'P' AS p))", "SELECT o_orderpriority, CAST(nullif(count(*) FILTER (o_orderstatus = 'F'), 0) AS BIGINT) AS f, CAST(nullif(count(*) FILTER (o_orderstatus = 'O'), 0) AS BIGINT) AS o, CAST(nullif(count(*) FILTER (o_orderstatus = 'P'), 0) AS BIGINT) AS p FROM orders GROUP BY o_orderpriority"),
     "unpivot": ("SELECT doc_id, kind, v FROM labels UNPIVOT (v FOR kind IN (quality, toxic))", "SELECT doc_id, 'quality' AS kind, quality AS v FROM labels UNION ALL SELECT doc_id, 'toxic', toxic FROM labels"),
     # scalar functions
@@ -103,9 +100,6 @@ QUERIES: dict[str, tuple[str, str | None]] = {
     "xml_elements": ("SELECT r_regionkey, concat('<r>', array_join(transform(sort_array(collect_list(n_name)), x -> concat('<n>', x, '</n>')), ''), '</r>') AS x FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey", "SELECT r_regionkey, '<r>' || string_agg('<n>' || n_name || '</n>', '' ORDER BY n_name) || '</r>' AS x FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey"),
     # outer joins of the old writing, hierarchies, rows computed from rows
     "outer_join_sign": ("SELECT r_name, CAST(count(s_suppkey) AS BIGINT) AS n FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_acctbal > 5000 GROUP BY r_name", "SELECT r_name, CAST(coalesce(sum(n), 0) AS BIGINT) AS n FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN (SELECT s_nationkey, count(*) AS n FROM supplier WHERE s_acctbal > 5000 GROUP BY s_nationkey) ON s_nationkey = n_nationkey GROUP BY r_name"),
-    "connect_by_root": ("WITH RECURSIVE h(id, root, leaf) AS (SELECT n_nationkey, n_name, n_nationkey * 2 + 1 FROM nation WHERE n_nationkey < 3 UNION ALL SELECT n.n_nationkey, h.root, n.n_nationkey * 2 + 1 FROM nation n JOIN h ON n.n_nationkey = h.id * 2 + 3) SELECT id, root, leaf > 24 AS is_leaf FROM h", None),
-    "order_siblings": ("WITH RECURSIVE h(id, path) AS (SELECT n_nationkey, lpad(CAST(n_nationkey AS STRING), 3, '0') FROM nation WHERE n_nationkey = 0 UNION ALL SELECT n.n_nationkey, concat(h.path, '/', lpad(CAST(100 - n.n_nationkey AS STRING), 3, '0')) FROM nation n JOIN h ON n.n_nationkey IN (2 * h.id + 1, 2 * h.id + 2)) SELECT id, row_number() OVER (PARTITION BY substr(path, 1, 3) ORDER BY path) AS place FROM h", "WITH RECURSIVE h(id, path) AS (SELECT n_nationkey, lpad(CAST(n_nationkey AS VARCHAR), 3, '0') FROM nation WHERE n_nationkey = 0 UNION ALL SELECT n.n_nationkey, concat(h.path, '/', lpad(CAST(100 - n.n_nationkey AS VARCHAR), 3, '0')) FROM nation n JOIN h ON n.n_nationkey IN (2 * h.id + 1, 2 * h.id + 2)) SELECT id, CAST(row_number() OVER (PARTITION BY substr(path, 1, 3) ORDER BY path) AS INT) AS place FROM h"),
-    "search_depth_first": ("WITH RECURSIVE h(id, path) AS (SELECT n_nationkey, array(n_nationkey) FROM nation WHERE n_nationkey = 0 UNION ALL SELECT n.n_nationkey, array_append(h.path, n.n_nationkey) FROM nation n JOIN h ON n.n_nationkey IN (2 * h.id + 1, 2 * h.id + 2)) SELECT id, row_number() OVER (PARTITION BY path[0] ORDER BY path) AS seq FROM h", "WITH RECURSIVE h(id, path) AS (SELECT n_nationkey, [n_nationkey] FROM nation WHERE n_nationkey = 0 UNION ALL SELECT n.n_nationkey, list_append(h.path, n.n_nationkey) FROM nation n JOIN h ON n.n_nationkey IN (2 * h.id + 1, 2 * h.id + 2)) SELECT id, CAST(row_number() OVER (PARTITION BY path[1] ORDER BY path) AS INT) AS seq FROM h"),
     "model_clause": ("SELECT n_nationkey, aggregate(sort_array(collect_list(CAST(s_suppkey AS BIGINT))), CAST(1 AS BIGINT), (cell, x) -> (cell * 3 + x) % 1000003) AS cell FROM nation JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_nationkey", "SELECT n_nationkey, CAST(list_reduce(list_prepend(CAST(1 AS BIGINT), list_sort(list(CAST(s_suppkey AS BIGINT)))), lambda cell, x: (cell * 3 + x) % 1000003) AS BIGINT) AS cell FROM nation JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_nationkey"),
     "set_except_all": ("SELECT c_nationkey AS k FROM customer EXCEPT ALL SELECT s_nationkey FROM supplier", None),
     "set_intersect_all": ("SELECT c_nationkey AS k FROM customer INTERSECT ALL SELECT s_nationkey FROM supplier", None),
