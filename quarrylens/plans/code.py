@@ -26,6 +26,8 @@ _SLICE = pa.schema([("file_id", pa.string()), ("object_id", pa.string()), ("vari
 class Code:
     """The facts of a code base, read once; each kind of fact is a DataFrame with its file's id."""
 
+    derives_variables = True  # false where analyses of the logic are not at hand
+
     def __init__(self, files: DataFrame):
         self.files = files.select("file", "text")
         self.facts = read_facts(self.files).withColumn("file_id", inventory.file_id(F.col("file")))

@@ -82,20 +82,35 @@ def _edge(df: DataFrame, kind: str | Column, a_label: str, a: Column, b_label: s
     return df.select((F.lit(kind) if isinstance(kind, str) else kind).alias("type"), F.lit(a_label).alias("source_label"), a.alias("source"), F.lit(b_label).alias("target_label"), b.alias("target"))
 
 
-def build(code: Code) -> Graph:
+@dataclass
+class Parts:
+    """What a graph has besides facts: files (file_id, file), rules with their modality, open matters, complexities and, if known, moves between states."""
+
+    files: DataFrame
+    rules: DataFrame
+    gaps: DataFrame
+    complexity: DataFrame
+    moves: DataFrame | None = None
+
+    @classmethod
+    def of(cls, code: Code) -> Parts:
+        c._nesting(code)
+        shared = (ru.mined, sc.columns, c.calls, sc.column_access, c.control_flow, c.slices)
+        side_by_side(*[lambda f=f: f(code) for f in shared])
+        rules = ru.modality(ru.rules(code))
+        return cls(code.facts.select("file_id", "file"), rules, settled(gaps(code, rules)), c.complexity(code).select("file_id", "object_id", "cyclomatic"))
+
+
+def build(code: Code, parts: Parts | None = None) -> Graph:
     """All nodes and relationships; a relationship without both ends is taken out and counted in `dropped`."""
     col, cat = F.col, F.concat_ws
-    c._nesting(code)
-    shared = (ru.mined, sc.columns, c.calls, sc.column_access, c.control_flow, c.slices)
-    side_by_side(*[lambda f=f: f(code) for f in shared])
-    r = ru.modality(ru.rules(code))
+    parts = parts or Parts.of(code)
+    r, found, metrics = parts.rules, parts.gaps, parts.complexity
     s, objects = code.rows("statements"), code.rows("objects")
     states = sc.columns(code).filter("enum_source = 'check_constraint'").select("table_name", "name", F.explode("enum_values").alias("v"))
-    found = settled(gaps(code, r))
-    metrics = c.complexity(code).select("file_id", "object_id", "cyclomatic")
     column = cat(".", "table_name", "name")
     nodes = [
-        _node(code.facts, "File", col("file_id"), col("file")),
+        _node(parts.files, "File", col("file_id"), col("file")),
         _node(objects.join(metrics, ["file_id", "object_id"], "left"), "Object", col("object_id"), F.coalesce("member", "name"), col("line"), col("cyclomatic")),
         _node(s, "Statement", col("statement_id"), col("type"), col("line"), col("text")),
         _node(code.rows("parameters"), "Parameter", cat(".", "object_id", "name"), col("name"), col("position"), cat(" ", "mode", "type")),
@@ -108,7 +123,7 @@ def build(code: Code) -> Graph:
         _node(code.rows("sequences"), "Sequence", col("sequence_name"), col("sequence_name"), col("line")),
         _node(code.rows("indexes"), "Index", col("index_name"), col("index_name"), col("line")),
         _node(found, "Gap", col("gap_id"), col("type"), col("line"), cat(": ", "severity", "subject", "message")),
-        _node(code.facts.sparkSession.createDataFrame(list(BLIND_SPOTS.items()), "k string, d string"), "BlindSpot", col("k"), col("k"), None, col("d")),
+        _node(s.sparkSession.createDataFrame(list(BLIND_SPOTS.items()), "k string, d string"), "BlindSpot", col("k"), col("k"), None, col("d")),
     ]
     used = sc.column_access(code)
     mode = F.when(col("mode") == "READ", "READS_COLUMN").otherwise("WRITES_COLUMN")
@@ -141,6 +156,8 @@ def build(code: Code) -> Graph:
         _edge(sc.sequence_usages(code), "USES_SEQUENCE", "Statement", col("statement_id"), "Sequence", col("sequence_name")),
         _edge(found.filter("type = 'rule_to_confirm'"), "CONCERNS", "Gap", col("gap_id"), "BusinessRule", col("subject")),
     ]
+    if parts.moves is not None:
+        edges.append(_edge(parts.moves.filter("origin IS NOT NULL AND target IS NOT NULL"), "MOVES_TO", "State", cat("=", column, "origin"), "State", cat("=", column, "target")))
     all_nodes, all_edges = nodes[0], edges[0]
     for n in nodes[1:]:
         all_nodes = all_nodes.unionByName(n)

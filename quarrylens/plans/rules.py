@@ -141,7 +141,7 @@ def _mined(code: Code) -> DataFrame:
     ddl = schema.rule_candidates(code)
     declared = _shape(ddl, kind=F.concat(F.lit("ddl_"), "source_kind"), object_id=F.col("table_name"), condition=F.when(F.col("source_kind").isin("check_constraint", "view_filter"), F.col("expression")), signal_strength=F.col("signal_strength"), confidence=F.col("rule_confidence"), requires_sme_review=F.col("requires_sme_review"), is_enforced=F.col("is_enforced"), subject_hint=F.concat_ws(".", "table_name", F.try_element_at("columns", F.lit(1))), raw_key=F.concat_ws("|", "file_id", "table_name", F.coalesce("constraint_name", "expression")), category_hint=F.when(F.col("source_kind") == "virtual_column", "CALCULATION"))
     out = branch
-    for part in (case, obliged, cursor, handled, derivation, declared):
+    for part in (case, obliged, cursor, handled, *([derivation] if code.derives_variables else []), declared):
         out = out.unionByName(part)
     return _named(out)
 
