@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources import inventory as inv
-from . import code as c, diagrams as dg, document as do, graph as gr, rules as ru, schema as sc
+from ..sources import inventory as inv, runs
+from . import code as c, diagrams as dg, document as do, graph as gr, rules as ru, schema as sc, stages as st
 from .code import Code
 from .code_queries import _ROUTINE, _TABLE, _flows, _routines, _tables
+from .cut import fresh
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -212,6 +213,17 @@ def endpoint_guard(spark, sf_dir):
     return g.edges.filter("type = 'DEFINES'").agg(F.count(F.lit(1)).alias("edges")).join(loose.agg(F.count(F.lit(1)).alias("loose"))).join(twice.agg(F.count(F.lit(1)).alias("repeated")))
 
 
+@_query("""SELECT 'Table' AS label, count(*) AS n FROM supplier UNION ALL SELECT 'Column', 3 * count(*) FROM supplier UNION ALL SELECT 'State', 2 * count(*) FROM supplier UNION ALL SELECT 'BusinessRule', count(*) FROM supplier
+UNION ALL SELECT 'RuleSet', count(*) FROM supplier UNION ALL SELECT 'BlindSpot', 4""")
+def graph_from_runs(spark, sf_dir):
+    """The graph of the tables from written runs of the parser, the data model and the rules; the other four are absent, and so are files and gaps."""
+    root, code = fresh(spark, "runs"), _tables(spark, sf_dir)
+    for stage in ("parser", "data"):
+        runs.write_run(spark, root, stage, st.tables_of(code, stage))
+    runs.write_run(spark, root, "rules", st.tables_of(st.Artefacts(spark, root), "rules"))
+    return st.graph_from_runs(st.Artefacts(spark, root)).nodes.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
 @_query(f"SELECT 'ACCOUNTS.BALANCE' AS column_id, count(*) AS dependents FROM customer UNION ALL SELECT 'ACCOUNTS.ID', count(*) FROM customer UNION ALL SELECT 'AUDIT.ID', count(*) FROM ({_K}) WHERE l + e > 0")
 def graph_hot_columns(spark, sf_dir):
     return gr.hot_columns(_graph(spark, sf_dir))

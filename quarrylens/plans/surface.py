@@ -100,7 +100,6 @@ QUERIES: dict[str, tuple[str, str | None]] = {
     "xml_elements": ("SELECT r_regionkey, concat('<r>', array_join(transform(sort_array(collect_list(n_name)), x -> concat('<n>', x, '</n>')), ''), '</r>') AS x FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey", "SELECT r_regionkey, '<r>' || string_agg('<n>' || n_name || '</n>', '' ORDER BY n_name) || '</r>' AS x FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey"),
     # outer joins of the old writing, hierarchies, rows computed from rows
     "outer_join_sign": ("SELECT r_name, CAST(count(s_suppkey) AS BIGINT) AS n FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_acctbal > 5000 GROUP BY r_name", "SELECT r_name, CAST(coalesce(sum(n), 0) AS BIGINT) AS n FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN (SELECT s_nationkey, count(*) AS n FROM supplier WHERE s_acctbal > 5000 GROUP BY s_nationkey) ON s_nationkey = n_nationkey GROUP BY r_name"),
-    "model_clause": ("SELECT n_nationkey, aggregate(sort_array(collect_list(CAST(s_suppkey AS BIGINT))), CAST(1 AS BIGINT), (cell, x) -> (cell * 3 + x) % 1000003) AS cell FROM nation JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_nationkey", "SELECT n_nationkey, CAST(list_reduce(list_prepend(CAST(1 AS BIGINT), list_sort(list(CAST(s_suppkey AS BIGINT)))), lambda cell, x: (cell * 3 + x) % 1000003) AS BIGINT) AS cell FROM nation JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_nationkey"),
     "set_except_all": ("SELECT c_nationkey AS k FROM customer EXCEPT ALL SELECT s_nationkey FROM supplier", None),
     "set_intersect_all": ("SELECT c_nationkey AS k FROM customer INTERSECT ALL SELECT s_nationkey FROM supplier", None),
     "multiset_member": ("SELECT n_nationkey, array_contains(array(1, 5, 7), n_nationkey) AS member, size(array(n_nationkey, n_nationkey)) > size(array_distinct(array(n_nationkey, n_nationkey))) AS repeats FROM nation", "SELECT n_nationkey, list_contains([1, 5, 7], n_nationkey) AS member, TRUE AS repeats FROM nation"),
