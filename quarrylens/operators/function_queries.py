@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import aggregates, tables
+from ..functions import aggregates, masks, tables
+from ..functions.oracle import money
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -47,6 +48,20 @@ def table_function_hashed(spark, sf_dir):
     return spark.sql("SELECT * FROM extent(TABLE({rows}) PARTITION BY key)", rows=rows)
 
 
+@_query("""SELECT o_orderkey, strftime(d, '%d/%m/%Y %H:%M:%S') AS full_date, upper(strftime(d, '%d-%b-%y')) AS short_date, strftime(d, '%B ') || day(d) || ', ' || year(d) AS words, lpad(CAST(dayofyear(d) AS VARCHAR), 3, '0') || ' ' || quarter(d) AS day_and_quarter,
+format('{:,.2f}', CAST(o_totalprice AS DECIMAL(18,2))) AS price, lpad(CAST(o_orderkey % 1000 AS VARCHAR), 5, '0') || '+' AS signed, d AS back, CAST(o_totalprice AS DECIMAL(18,2)) AS price_back FROM (SELECT *, CAST(o_orderdate AS TIMESTAMP) AS d FROM orders)""")
+def format_masks(spark, sf_dir):
+    """Masks of dates and numbers, shown and read again."""
+    rows = _read(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("d"), money(F.col("o_totalprice")).alias("p"))
+    d, price = F.col("d"), "FM9,999,999,990.00"
+    shown = rows.select(
+        "o_orderkey", masks.to_char(d, "DD/MM/YYYY HH24:MI:SS").alias("full_date"), masks.to_char(d, "DD-MON-RR").alias("short_date"), masks.to_char(d, "FMMonth DD, YYYY").alias("words"), masks.to_char(d, "DDD Q").alias("day_and_quarter"),
+        masks.number_to_char(F.col("p"), price).alias("price"), masks.number_to_char(F.col("o_orderkey") % 1000, "FM00000S").alias("signed"),
+    )
+    back = masks.to_timestamp(F.col("full_date"), "DD/MM/YYYY HH24:MI:SS").cast("timestamp_ntz")
+    return shown.select("*", back.alias("back"), masks.to_number(F.col("price"), price).cast("decimal(18,2)").alias("price_back"))
+
+
 def queries():
     return dict(QUERIES)
 

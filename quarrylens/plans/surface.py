@@ -108,7 +108,6 @@ QUERIES: dict[str, tuple[str, str | None]] = {
     "loop_numeric": ("SELECT p_partkey, i FROM part LATERAL VIEW explode(sequence(1, p_size)) t AS i WHERE i * i <= p_size", "SELECT p_partkey, CAST(i AS INT) AS i FROM part, LATERAL (SELECT unnest(range(1, p_size + 1)) AS i) WHERE i * i <= p_size"),
     "loop_while": ("WITH RECURSIVE w(k, v, turns) AS (SELECT n_nationkey, CAST(n_nationkey * 37 AS BIGINT), 0 FROM nation UNION ALL SELECT k, v DIV 2, turns + 1 FROM w WHERE v > 3) SELECT k, max(turns) AS turns FROM w GROUP BY k", "WITH RECURSIVE w(k, v, turns) AS (SELECT n_nationkey, CAST(n_nationkey * 37 AS BIGINT), 0 FROM nation UNION ALL SELECT k, v // 2, turns + 1 FROM w WHERE v > 3) SELECT k, max(turns) AS turns FROM w GROUP BY k"),
     "listagg_overflow": ("SELECT n_regionkey, CASE WHEN length(s) > 24 THEN concat(substr(s, 1, 21), '...') ELSE s END AS names FROM (SELECT n_regionkey, listagg(n_name, ',') WITHIN GROUP (ORDER BY n_name) AS s FROM nation GROUP BY n_regionkey) q", "SELECT n_regionkey, CASE WHEN length(s) > 24 THEN concat(substr(s, 1, 21), '...') ELSE s END AS names FROM (SELECT n_regionkey, string_agg(n_name, ',' ORDER BY n_name) AS s FROM nation GROUP BY n_regionkey) q"),
-    "format_masks": ("SELECT o_orderkey, date_format(o_orderdate, 'dd/MM/yyyy') AS shown, to_date(date_format(o_orderdate, 'yyyyMMdd'), 'yyyyMMdd') AS back, CAST(to_number(lpad(CAST(o_orderkey % 1000 AS STRING), 3, '0'), '999') AS BIGINT) AS n FROM orders", "SELECT o_orderkey, strftime(o_orderdate, '%d/%m/%Y') AS shown, CAST(o_orderdate AS DATE) AS back, CAST(o_orderkey % 1000 AS BIGINT) AS n FROM orders"),
     "predicate_is_more": ("SELECT event_id, value IS NOT NULL AS there, isnan(value) AS nan, from_json(props, 'map<string,string>') IS NOT NULL AS json FROM events", "SELECT event_id, value IS NOT NULL AS there, coalesce(isnan(value), FALSE) AS nan, props IS NOT NULL AND json_valid(props) AS json FROM events"),
     "collate_compare": ("SELECT c_custkey FROM customer WHERE c_mktsegment COLLATE UTF8_LCASE = 'building'", "SELECT c_custkey FROM customer WHERE lower(c_mktsegment) = 'building'"),
     "bulk_collect": ("SELECT o_custkey, size(collect_list(o_orderkey)) AS fetched, array_join(slice(sort_array(collect_list(o_orderkey)), 1, 3), ',') AS first_batch FROM orders GROUP BY o_custkey", "SELECT o_custkey, CAST(count(*) AS INT) AS fetched, array_to_string(list_sort(list(o_orderkey))[1:3], ',') AS first_batch FROM orders GROUP BY o_custkey"),
