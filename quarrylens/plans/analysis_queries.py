@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources import inventory as inv, runs
-from . import code as c, diagrams as dg, document as do, graph as gr, rules as ru, schema as sc, stages as st
+from . import code as c, diagrams as dg, document as do, figure_check, graph as gr, rules as ru, schema as sc, stages as st
 from .code import Code
 from .code_queries import _ROUTINE, _TABLE, _flows, _routines, _tables
 from .cut import fresh
@@ -161,6 +161,17 @@ def figure_warnings(spark, sf_dir):
     return dg.warnings(_flows(spark, sf_dir, 12), _routines(spark, sf_dir)).filter("kind = 'DETAIL_COLLAPSED'").select(F.col("subject").alias("object_id"), "kind", "message")
 
 
+@_query("""SELECT 'PROC-APP.P_' || c_custkey AS object_id, CASE c_custkey % 6 WHEN 1 THEN 'edge without an end' WHEN 2 THEN 'quote inside a label' WHEN 3 THEN 'internal name in a label' WHEN 4 THEN 'line not understood' ELSE 'name used twice' END AS fault
+FROM customer WHERE c_custkey % 6 <> 0""")
+def figure_faults(spark, sf_dir):
+    """The written figures of all routines, five of six of them with a line that is wrong in one way; figures left alone have no fault."""
+    # Rules have their keys for numbers here; the stage gives them numbers of their own.
+    texts = dg.flow_text(_flows(spark, sf_dir, dg.NODE_BUDGET)).withColumn("mermaid", F.regexp_replace("mermaid", 'BR-[^"]*', "BR-001"))
+    k = F.regexp_extract("object_id", r"(\d+)$", 1).cast("long") % 6
+    more = F.when(k == 1, "\n    nobody --> nowhere").when(k == 2, '\n    x1["says "no" twice"]').when(k == 3, '\n    x1["after STMT_0004"]').when(k == 4, "\n  then nothing [").when(k == 5, '\n    x1["a"]\n    x1["b"]').otherwise("")
+    return figure_check.faults(texts.withColumn("mermaid", F.concat("mermaid", more)), ["file_id", "object_id"]).select("object_id", "fault")
+
+
 @_query(f"SELECT object_id, '| P ' || k || ' | ACCOUNTS: RU' || CASE WHEN l + e > 0 THEN ', AUDIT: ' || CASE WHEN l = 1 THEN 'C' ELSE '' END || CASE WHEN e = 1 THEN 'D' ELSE '' END ELSE '' END || ' |' AS line FROM ({_K})")
 def crud_markdown(spark, sf_dir):
     return dg.crud_markdown(_routines(spark, sf_dir))

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import language as la
-from . import code as c, schema as sc
+from . import code as c, figure_check, schema as sc
 from .code import DML, Code
 from .cut import settled
 
@@ -222,7 +222,12 @@ def write_diagrams(f: Flows, code: Code, root: str) -> None:
     bad = problems(f).limit(5).collect()
     if bad:
         raise ValueError("unfit figures: " + "; ".join(f"{r.object_id}: {r.problem}" for r in bad))
-    flow_text(f).write.mode("overwrite").json(f"{root}/flows")
-    state_text(code).write.mode("overwrite").json(f"{root}/states")
+    flow, state = settled(flow_text(f)), settled(state_text(code))
+    written = figure_check.faults(flow, _KEY).select("object_id", "fault").unionByName(figure_check.faults(state, ["table_name", "name"]).select(F.concat_ws(".", "table_name", "name").alias("object_id"), "fault"))
+    bad = written.limit(5).collect()
+    if bad:
+        raise ValueError("unfit figures: " + "; ".join(f"{r.object_id}: {r.fault}" for r in bad))
+    flow.write.mode("overwrite").json(f"{root}/flows")
+    state.write.mode("overwrite").json(f"{root}/states")
     write_lines(dataflow_text(code), f"{root}/system_dataflow")
     write_lines(sc.erd(code), f"{root}/entities")
