@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import aggregates, masks, tables
+from ..functions import aggregates, masks, tables, xml
 from ..functions.oracle import money
 
 QUERIES: dict = {}
@@ -62,6 +62,21 @@ def format_masks(spark, sf_dir):
     return shown.select("*", back.alias("back"), masks.to_number(F.col("price"), price).cast("decimal(18,2)").alias("price_back"))
 
 
+@_query("""SELECT CAST(c_custkey AS BIGINT) AS customer, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS INT) AS n, CAST(o_orderkey AS BIGINT) AS order_key, CAST(o_totalprice AS DECIMAL(18,2)) AS total,
+CASE WHEN o_orderkey % 3 = 0 THEN 'none' ELSE o_orderpriority END AS priority, CASE WHEN o_orderkey % 2 = 0 THEN 'a & b' END AS first_note, c_name AS name FROM orders JOIN customer ON o_custkey = c_custkey""")
+def xml_table(spark, sf_dir):
+    """A text for each customer with its orders, with a namespace, elements that are missing and some that repeat."""
+    order = F.concat(
+        F.lit('<o:order key="'), F.col("o_orderkey").cast("string"), F.lit('"><o:total>'), money(F.col("o_totalprice")).cast("string"), F.lit("</o:total>"), F.when(F.col("o_orderkey") % 3 == 0, "").otherwise(F.concat(F.lit("<o:priority>"), "o_orderpriority", F.lit("</o:priority>"))),
+        F.when(F.col("o_orderkey") % 2 == 0, "<o:note>a &amp; b</o:note><o:note>c</o:note>").otherwise(""), F.lit("</o:order>"),
+    )
+    orders = _read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), F.struct("o_orderkey", order.alias("text")).alias("o")).groupBy("c_custkey").agg(F.array_sort(F.collect_list("o")).alias("os"))
+    whole = F.concat(F.lit('<?xml version="1.0"?><!-- orders --><o:customer xmlns:o="urn:orders">'), F.array_join(F.transform("os", lambda o: o["text"]), ""), F.lit("</o:customer>"))
+    texts = _read(spark, sf_dir, "customer").join(orders, "c_custkey").select(F.col("c_custkey").cast("bigint").alias("customer"), F.col("c_name").alias("name"), whole.alias("text"))
+    columns = [xml.XmlColumn("n", ordinality=True), xml.XmlColumn("order_key", "bigint", "@key"), xml.XmlColumn("total", "decimal(18,2)", "total"), xml.XmlColumn("priority", path="priority", default="none"), xml.XmlColumn("first_note", path="note")]
+    return xml.xml_table(texts, "text", "/customer/order", columns).select("customer", "n", "order_key", "total", "priority", "first_note", "name")
+
+
 def queries():
     return dict(QUERIES)
 

@@ -96,7 +96,6 @@ QUERIES: dict[str, tuple[str, str | None]] = {
     "json_arrayagg": ("SELECT n_regionkey, to_json(transform(sort_array(collect_list(struct(n_nationkey, n_name))), x -> x.n_name)) AS names FROM nation GROUP BY n_regionkey", "SELECT n_regionkey, '[' || string_agg('\"' || n_name || '\"', ',' ORDER BY n_nationkey) || ']' AS names FROM nation GROUP BY n_regionkey"),
     "json_objectagg": ("SELECT n_regionkey, to_json(map_from_entries(sort_array(collect_list(struct(n_name, n_nationkey))))) AS keys FROM nation GROUP BY n_regionkey", "SELECT n_regionkey, '{' || string_agg('\"' || n_name || '\":' || n_nationkey, ',' ORDER BY n_name) || '}' AS keys FROM nation GROUP BY n_regionkey"),
     "json_transform": ("SELECT doc_id, to_json(map_concat(map_filter(from_json(to_json(named_struct('lang', lang, 'source', source)), 'map<string,string>'), (k, v) -> k <> 'source'), map('kind', 'doc'))) AS j FROM documents", "SELECT doc_id, '{' || CASE WHEN lang IS NULL THEN '' ELSE '\"lang\":\"' || lang || '\",' END || '\"kind\":\"doc\"}' AS j FROM documents"),
-    "xml_table": ("SELECT n_nationkey, xpath_string(x, '/n/name/text()') AS name, CAST(i AS INT) AS i FROM (SELECT n_nationkey, concat('<n><name>', n_name, '</name><i>', n_regionkey, '</i><i>', n_nationkey, '</i></n>') AS x FROM nation) LATERAL VIEW explode(xpath(x, '/n/i/text()')) t AS i", "SELECT n_nationkey, n_name AS name, CAST(unnest([n_regionkey, n_nationkey]) AS INT) AS i FROM nation"),
     "xml_elements": ("SELECT r_regionkey, concat('<r>', array_join(transform(sort_array(collect_list(n_name)), x -> concat('<n>', x, '</n>')), ''), '</r>') AS x FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey", "SELECT r_regionkey, '<r>' || string_agg('<n>' || n_name || '</n>', '' ORDER BY n_name) || '</r>' AS x FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey"),
     # outer joins of the old writing, hierarchies, rows computed from rows
     "outer_join_sign": ("SELECT r_name, CAST(count(s_suppkey) AS BIGINT) AS n FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN supplier ON s_nationkey = n_nationkey AND s_acctbal > 5000 GROUP BY r_name", "SELECT r_name, CAST(coalesce(sum(n), 0) AS BIGINT) AS n FROM region JOIN nation ON n_regionkey = r_regionkey LEFT JOIN (SELECT s_nationkey, count(*) AS n FROM supplier WHERE s_acctbal > 5000 GROUP BY s_nationkey) ON s_nationkey = n_nationkey GROUP BY r_name"),
