@@ -131,18 +131,6 @@ def rate_in_force(rows: DataFrame, keys: list[str], at: str, rates: DataFrame, e
     return both.filter("_side = 1").drop("_side", "_rate", "_at")
 
 
-def amortization(loans: DataFrame, key: str, principal: str, yearly_rate: str, months: str) -> DataFrame:
-    """A row for each instalment: closed form of a level instalment, in doubles rounded to money at the end."""
-    r = F.col(yearly_rate).cast("double") / 1200
-    n, p = F.col(months).cast("double"), F.col(principal).cast("double")
-    emi = F.when(r == 0, p / n).otherwise(p * r * F.pow(1 + r, n) / (F.pow(1 + r, n) - 1))
-    rows = loans.select(key, r.alias("_r"), p.alias("_p"), emi.alias("_emi"), F.explode(F.sequence(F.lit(1), F.col(months).cast("int"))).alias("installment_no"))
-    after = lambda k: F.when(F.col("_r") == 0, F.col("_p") - F.col("_emi") * k).otherwise(F.col("_p") * F.pow(1 + F.col("_r"), k) - F.col("_emi") * (F.pow(1 + F.col("_r"), k) - 1) / F.col("_r"))
-    opening, closing = after(F.col("installment_no") - 1), after(F.col("installment_no"))
-    interest = opening * F.col("_r")
-    return rows.select(key, "installment_no", *[dec_round(x).alias(c) for c, x in (("opening_balance", opening), ("emi_amount", F.col("_emi")), ("interest_component", interest), ("principal_component", F.col("_emi") - interest), ("closing_balance", closing))])
-
-
 def amortization_with_resets(loans: DataFrame, key: str, principal: str, yearly_rate: str, months: str, resets: DataFrame) -> DataFrame:
     """A row for each instalment of floating loans; resets: (key, effective_installment_no, revised_annual_rate).
 

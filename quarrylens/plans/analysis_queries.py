@@ -240,9 +240,19 @@ def graph_hot_columns(spark, sf_dir):
     return gr.hot_columns(_graph(spark, sf_dir))
 
 
-@_query("SELECT 'none' AS violation LIMIT 0")
+@_query("""SELECT 'column_without_table' AS violation, 3 * count(*) AS n FROM supplier WHERE s_suppkey % 4 = 0 UNION ALL SELECT 'rule_without_source', count(*) FROM supplier WHERE s_suppkey % 5 = 0
+UNION ALL SELECT 'unenforced_rule_not_shown', count(*) FROM supplier WHERE s_suppkey % 21 = 0""")
 def graph_violations(spark, sf_dir):
-    return gr.violations(_graph(spark, sf_dir)).select("violation")
+    """A graph with faults of each kind: tables that have lost their columns' edges, rules that have lost their sources, unenforced rules no longer marked for review."""
+    g = _graph(spark, sf_dir)
+    number = lambda name: F.regexp_extract(name, r"^T_(\d+)$", 1).try_cast("long")
+    of = lambda name, n: F.coalesce(number(name) % n == 0, F.lit(False))
+    unsourced = g.rules.filter(of(F.col("object_id"), 5)).select(F.col("rule_id").alias("source"))
+    edges = g.edges.filter(~((F.col("type") == "HAS_COLUMN") & of(F.col("source"), 4)))
+    traced = edges.filter("type IN ('IMPLEMENTED_AT', 'ENFORCED_IN')").join(unsourced, "source", "left_anti")
+    edges = edges.filter("type NOT IN ('IMPLEMENTED_AT', 'ENFORCED_IN')").unionByName(traced)
+    rules = g.rules.withColumn("requires_sme_review", F.col("requires_sme_review") & ~of(F.col("object_id"), 7))
+    return gr.violations(gr.Graph(g.nodes, edges, g.dropped, rules)).groupBy("violation").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _asked(question: str):
@@ -290,9 +300,11 @@ def ask_untouched_tables(spark, sf_dir):
     return _asked("Which tables are never touched by any program unit?")(spark, sf_dir).select("key")
 
 
-@_query("SELECT count(*) AS n FROM (VALUES (1), (2), (3), (4)) t(x)")
+@_query("""SELECT 'DYNAMIC_SQL' AS key, CAST(0 AS BIGINT) AS places UNION ALL SELECT 'TRIGGER_SIDE_EFFECTS', 0 UNION ALL SELECT 'UNRESOLVED_CALLS', count(*) FROM customer WHERE c_custkey + 1 NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT 'EXTERNAL_CALLERS', count(*) FROM customer WHERE c_custkey - 1 NOT IN (SELECT c_custkey FROM customer)""")
 def ask_blind_spots(spark, sf_dir):
-    return _asked("What can this graph NOT see?")(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
+    """What no reading shows, with the places in the facts where it may matter."""
+    return _asked("What can this graph NOT see?")(spark, sf_dir).select("key", F.regexp_extract("detail", r"(\d+)$", 1).cast("long").alias("places"))
 
 
 # -- inventory --------------------------------------------------------------------------------------------------------------------

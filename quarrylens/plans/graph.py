@@ -82,6 +82,16 @@ def _edge(df: DataFrame, kind: str | Column, a_label: str, a: Column, b_label: s
     return df.select((F.lit(kind) if isinstance(kind, str) else kind).alias("type"), F.lit(a_label).alias("source_label"), a.alias("source"), F.lit(b_label).alias("target_label"), b.alias("target"))
 
 
+def blind_spots(code: Code) -> DataFrame:
+    """(k, d, n): what no reading shows, with the number of places in the facts where it may matter."""
+    places = {
+        "DYNAMIC_SQL": code.rows("statements").filter("requires_manual_review"), "EXTERNAL_CALLERS": c.no_internal_callers(code),
+        "UNRESOLVED_CALLS": c.calls(code).filter("status = 'unresolved_reference'"), "TRIGGER_SIDE_EFFECTS": code.rows("objects").filter("type = 'TRIGGER'"),
+    }
+    counts = [places[k].agg(F.lit(k).alias("k"), F.lit(d).alias("d"), F.count(F.lit(1)).alias("n")) for k, d in BLIND_SPOTS.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
+
+
 @dataclass
 class Parts:
     """What a graph has besides facts: files (file_id, file), rules with their modality, open matters, complexities and, if known, moves between states."""
@@ -123,7 +133,7 @@ def build(code: Code, parts: Parts | None = None) -> Graph:
         _node(code.rows("sequences"), "Sequence", col("sequence_name"), col("sequence_name"), col("line")),
         _node(code.rows("indexes"), "Index", col("index_name"), col("index_name"), col("line")),
         _node(found, "Gap", col("gap_id"), col("type"), col("line"), cat(": ", "severity", "subject", "message")),
-        _node(s.sparkSession.createDataFrame(list(BLIND_SPOTS.items()), "k string, d string"), "BlindSpot", col("k"), col("k"), None, col("d")),
+        _node(blind_spots(code), "BlindSpot", col("k"), col("k"), None, cat(": ", "d", "n")),
     ]
     used = sc.column_access(code)
     mode = F.when(col("mode") == "READ", "READS_COLUMN").otherwise("WRITES_COLUMN")

@@ -191,6 +191,7 @@ def evaluate(truth: DataFrame, found: DataFrame, tolerance: int = LINE_TOLERANCE
     """
 
     def match(t: pd.DataFrame, f: pd.DataFrame) -> pd.DataFrame:
+        f = f.sort_values("rule_id")
         free, out = dict(zip(f["rule_id"], f["line"], strict=True)), []
         names = dict(zip(f["rule_id"], f["name"], strict=True))
         for row in t.sort_values("ordinal").itertuples():
@@ -202,8 +203,8 @@ def evaluate(truth: DataFrame, found: DataFrame, tolerance: int = LINE_TOLERANCE
                 out.append((row.object_id, row.truth_id, rule, agrees))
         return pd.DataFrame(out, columns=["object_id", "truth_id", "rule_id", "subject_agrees"])
 
-    ordered = found.select("object_id", "rule_id", "name", "line").orderBy("rule_id")
-    pairs = truth.groupBy("object_id").cogroup(ordered.groupBy("object_id")).applyInPandas(match, "object_id string, truth_id string, rule_id string, subject_agrees boolean")
+    rules_ = found.select("object_id", "rule_id", "name", "line")
+    pairs = truth.groupBy("object_id").cogroup(rules_.groupBy("object_id")).applyInPandas(match, "object_id string, truth_id string, rule_id string, subject_agrees boolean")
     n = truth.groupBy("object_id").agg(F.count(F.lit(1)).alias("truth")).join(found.groupBy("object_id").agg(F.count(F.lit(1)).alias("extracted")), "object_id", "left").join(pairs.groupBy("object_id").agg(F.count(F.lit(1)).alias("matched")), "object_id", "left").fillna(0)
     return scores(n)
 
