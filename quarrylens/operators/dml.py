@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ..plans.cut import settled
+from ..plans.cut import row_numbers, settled
 from ..sources import runs
 
 DELETE, INSERT, UPDATE = "DELETE", "INSERT", "UPDATE"
@@ -365,6 +365,18 @@ def select_into(rows: DataFrame, key: str, value: str, asked: DataFrame | None =
     return one.select(key, F.when(F.col("n") == 1, F.col("v")).alias(value), F.when(F.col("n") == 1, "FOUND").otherwise("TOO_MANY_ROWS").alias("outcome"))
 
 
+def fetch_batches(rows: DataFrame, order: list[Column], limit: int) -> DataFrame:
+    """rows with `batch`, from 1: what each FETCH ... BULK COLLECT LIMIT along an order would get. Ranges are numbered apart, so no task holds all rows."""
+    numbered = row_numbers(rows, order, "_place")
+    return numbered.withColumn("batch", (F.floor((F.col("_place") - 1) / limit) + 1).cast("bigint")).drop("_place")
+
+
+def put_lines(rows: DataFrame, where: Column, line: Column, order: list[Column]) -> DataFrame:
+    """DBMS_OUTPUT.PUT_LINE in a set-based job: (number, line) for the rows of where, in order; a null is an empty line."""
+    said = row_numbers(rows.filter(F.coalesce(where, F.lit(False))), order, "number")
+    return said.select(F.col("number").cast("bigint").alias("number"), F.coalesce(line.cast("string"), F.lit("")).alias("line"))
+
+
 def linked_table(spark: SparkSession, url: str, table: str, split_on: str | None = None, lower: int = 0, upper: int = 0, parts: int = 8, **options: str) -> DataFrame:
     """A table of another database over JDBC; with split_on it is read in `parts` ranges of that column, each in a task."""
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import user
 from ..functions.oracle import money
 from ..plans.cut import fresh, row_numbers
-from . import dml
+from . import banking, dml
 
 _M = "DECIMAL(18,2)"
 QUERIES: dict = {}
@@ -208,6 +208,28 @@ def seed_load(spark, sf_dir):
     return children.read().join(parents.read(), "r_regionkey").select("n_name", "r_name", "id")
 
 
+@_query("SELECT CAST(o_orderkey AS BIGINT) AS k, CAST((row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) - 1) // 100 + 1 AS BIGINT) AS batch FROM orders")
+def fetch_limit(spark, sf_dir):
+    """FETCH ... BULK COLLECT INTO ... LIMIT 100, along a cursor's order."""
+    rows = _read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("long").alias("k"), "o_totalprice")
+    return dml.fetch_batches(rows, [F.desc("o_totalprice"), F.asc("k")], 100).select("k", "batch")
+
+
+@_query("SELECT CAST(row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS number, 'Error in account ' || c_custkey || ': principal ' || CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS line FROM customer WHERE c_acctbal < 0")
+def put_line_log(spark, sf_dir):
+    """What a routine's error handler prints, as a table of lines."""
+    rows = _read(spark, sf_dir, "customer")
+    line = F.concat(F.lit("Error in account "), F.col("c_custkey").cast("string"), F.lit(": principal "), money(F.col("c_acctbal")).cast("string"))
+    return dml.put_lines(rows, banking.simple_interest(F.col("c_acctbal"), F.lit(5), F.lit(30), F.lit("365"))[1] == -20001, line, [F.asc("c_custkey")])
+
+
+@_query("SELECT c_custkey AS account_id, c_name AS account_name, CAST(c_acctbal AS DECIMAL(18,2)) AS balance FROM customer WHERE c_acctbal > 0")
+def view_active_accounts(spark, sf_dir):
+    _read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("account_id"), F.col("c_name").alias("account_name"), money(F.col("c_acctbal")).alias("balance")).createOrReplaceTempView("quarrylens_accounts")
+    spark.sql("CREATE OR REPLACE TEMPORARY VIEW quarrylens_active_accounts AS SELECT account_id, account_name, balance FROM quarrylens_accounts WHERE balance > 0")
+    return spark.table("quarrylens_active_accounts")
+
+
 def queries():
     return dict(QUERIES)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import aggregates, masks, tables, xml
+from ..functions import aggregates, collections as co, masks, tables, xml
 from ..functions.oracle import money
 
 QUERIES: dict = {}
@@ -77,6 +77,29 @@ def xml_table(spark, sf_dir):
     return xml.xml_table(texts, "text", "/customer/order", columns).select("customer", "n", "order_key", "total", "priority", "first_note", "name")
 
 
+_LINES = "SELECT CAST(l_orderkey AS BIGINT) AS o, list(CAST(l_linenumber AS INT) ORDER BY l_linenumber) AS ks, list(CAST(l_quantity AS INT) % 5 ORDER BY l_linenumber) AS qs FROM lineitem GROUP BY l_orderkey"
+
+
+@_query(f"""SELECT o, list_min(list_filter(ks, lambda k: k <> 2)) AS first_key, list_max(list_filter(ks, lambda k: k <> 2)) AS last_key, list_max(list_filter(ks, lambda k: k <> 2 AND k < 4)) AS before_4, list_min(list_filter(ks, lambda k: k <> 2 AND k > 1)) AS after_1,
+list_contains(ks, 3) AS has_3, CAST(len(list_filter(list_distinct(ks), lambda k: k < 2 OR k > 5)) AS INT) AS left_over FROM ({_LINES})""")
+def associative_tables(spark, sf_dir):
+    """A table of each order's lines by number: FIRST, LAST, PRIOR, NEXT, EXISTS after a DELETE, and a DELETE of a range."""
+    lines = _read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("bigint").alias("o"), F.col("l_linenumber").cast("int").alias("k")).agg(F.sum(F.col("l_quantity").cast("int")).alias("q"))
+    table = lines.groupBy("o").agg(F.map_from_entries(F.collect_list(F.struct("k", "q"))).alias("t")).withColumn("d", co.delete(F.col("t"), F.lit(2)))
+    d = F.col("d")
+    return table.select("o", co.first(d).alias("first_key"), co.last(d).alias("last_key"), co.prior(d, F.lit(4)).alias("before_4"), co.following(d, F.lit(1)).alias("after_1"), co.exists(d, F.lit(3)).alias("has_3"), F.size(co.delete(F.col("t"), F.lit(2), F.lit(5))).alias("left_over"))
+
+
+@_query(f"""SELECT o, list_sort(list_concat(qs, [1, 1, 3])) AS u, list_sort(flatten(list_transform(list_distinct(qs), lambda x: list_transform(range(0, least(len(list_filter(qs, lambda y: y = x)), len(list_filter([1, 1, 3], lambda y: y = x)))), lambda i: x)))) AS i,
+list_sort(flatten(list_transform(list_distinct(qs), lambda x: list_transform(range(0, greatest(len(list_filter(qs, lambda y: y = x)) - len(list_filter([1, 1, 3], lambda y: y = x)), 0)), lambda i: x)))) AS e,
+len(list_filter(qs, lambda y: y = 1)) >= 2 AND list_contains(qs, 3) AS within FROM ({_LINES})""")
+def multiset_all(spark, sf_dir):
+    """MULTISET UNION, INTERSECT and EXCEPT ALL, and SUBMULTISET: repeats count."""
+    rows = _read(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").cast("bigint").alias("o")).agg(F.collect_list(F.col("l_quantity").cast("int") % 5).alias("q"))
+    other, q = F.lit([1, 1, 3]), F.col("q")
+    return rows.select("o", F.sort_array(co.union_all(q, other)).alias("u"), F.sort_array(co.intersect_all(q, other)).alias("i"), F.sort_array(co.except_all(q, other)).alias("e"), co.submultiset(other, q).alias("within"))
+
+
 def queries():
     return dict(QUERIES)
 

@@ -255,6 +255,12 @@ def graph_violations(spark, sf_dir):
     return gr.violations(gr.Graph(g.nodes, edges, g.dropped, rules)).groupBy("violation").agg(F.count(F.lit(1)).alias("n"))
 
 
+@_query(f"""SELECT object_id, 'AUDIT.ID' AS column_id, CAST((3 - k % 3) % 3 AS INT) AS hops FROM ({_K}) WHERE k + (3 - k % 3) % 3 IN (SELECT c_custkey FROM customer)""")
+def graph_write_paths(spark, sf_dir):
+    """Routines that write AUDIT.ID themselves (every third), or through one or two that they call."""
+    return gr.write_paths(_graph(spark, sf_dir)).filter("column_id = 'AUDIT.ID'")
+
+
 def _asked(question: str):
     def run(spark, sf_dir: str) -> DataFrame:
         found = gr.ask(_graph(spark, sf_dir), question)

@@ -191,16 +191,17 @@ def rule_statements(g: Graph) -> DataFrame:
 
 
 def write_paths(g: Graph, hops: int = 10) -> DataFrame:
-    """(object, column): columns an object writes itself or through calls, with the fewest calls; one join for each hop, pairs kept once."""
-    calls = g.edges.filter("type = 'CALLS'").select(F.col("source").alias("object_id"), F.col("target").alias("next")).filter("object_id <> next").distinct()
-    reach = g.edges.filter("type = 'WRITES_COLUMN' AND source_label = 'Object'").select(F.col("source").alias("object_id"), F.col("target").alias("column_id"), F.lit(0).alias("hops")).distinct()
-    done = 1
-    while done <= hops:
-        further = calls.join(reach.withColumnRenamed("object_id", "next"), "next").select("object_id", "column_id", (F.col("hops") + done).alias("hops"))
-        reach = reach.unionByName(further).groupBy("object_id", "column_id").agg(F.min("hops").alias("hops"))
-        calls = calls.unionByName(calls.alias("a").join(calls.alias("b"), F.expr("a.next = b.object_id")).select("a.object_id", "b.next")).filter("object_id <> next").distinct() if done * 2 <= hops else calls
-        done *= 2
-    return reach.filter(F.col("hops") <= hops)
+    """(object_id, column_id, hops): columns an object writes itself or through calls, with the fewest calls. Each step goes on from the pairs that the step before found, and a pair is kept at its first."""
+    calls = g.edges.filter("type = 'CALLS' AND source <> target").select(F.col("source").alias("object_id"), F.col("target").alias("next"))
+    fresh_ = settled(g.edges.filter("type = 'WRITES_COLUMN' AND source_label = 'Object'").select(F.col("source").alias("object_id"), F.col("target").alias("column_id"), F.lit(0).alias("hops")).distinct())
+    reach = fresh_
+    for hop in range(1, hops + 1):
+        further = calls.join(fresh_.select(F.col("object_id").alias("next"), "column_id"), "next").select("object_id", "column_id").distinct()
+        fresh_ = settled(further.join(reach.select("object_id", "column_id"), ["object_id", "column_id"], "left_anti").withColumn("hops", F.lit(hop)))
+        if fresh_.isEmpty():
+            break
+        reach = reach.unionByName(fresh_)
+    return reach
 
 
 def violations(g: Graph) -> DataFrame:
