@@ -1,13 +1,13 @@
 """Quality rules with risk-controlled thresholds, in DataFrame operations only.
 
-Each rule is a share computed from a text; higher is worse. For each stratum (language) and rule a fixed grid of cutoffs
-is tried from mild to strict on the labelled rows of good quality: a cutoff holds if the exact binomial probability of so
-few rejections, were the true false-rejection rate the rule's share of `risk`, is at most the level. The shares add up to
-`risk`, so that is the bound for all rules of a stratum together. The levels are Bonferroni's over rules and strata; along a
-grid the tests stop at the first that fails (fixed sequence), so none needs a further correction. A rule without a cutoff
-that holds rejects nothing in that stratum. Strata with fewer good rows than any test needs are left
-out before counts reach the driver, so at most (labelled rows / that number) strata do; all of those are tested, and where
-they are more than `strata` the levels are divided by their number, which depends on no rejection.
+Each rule is a share computed from a text; higher is worse. A fixed path tightens the rules one step at a time, so that what a
+step rejects holds all that the steps before it reject. Symbols come first, over their whole grid, as prose has next to none; the other
+rules then take turns from mild to strict. For each stratum (language) the labelled rows of good quality are the holdout: a step
+holds if the exact binomial probability of so few of them rejected, were the true rate of false rejection by all rules
+together `risk`, is at most the level. The tests stop at the first step that fails (fixed sequence), so a path needs no further correction;
+Bonferroni divides the level by the number of strata. The stratum takes the cutoffs of its last step that holds; if none does, only the base
+rules reject. The strata that count are those with the good rows that a single stratum would need; the others are left out before
+counts reach the driver, so at most (labelled rows / that number) do. Their number depends on no rejection.
 
 Cases: a null text has no words and fails the base rules; a null language is a stratum of its own; a document is good if
 the least of its labels is 1; null labels and labels without a document don't count; without labels only the base rules
@@ -27,15 +27,20 @@ from .common import SPACE, Scratch, let, space_words
 RULES = {"symbols": ("n_symbols", "word_chars"), "dup_lines": ("n_dup_lines", "n_lines"), "repeats": ("n_repeat_words", "n_words"), "capitals": ("n_capitals", "word_chars")}
 #: Cutoffs in thousandths, from mild to strict.
 GRID = (600, 500, 400, 300, 250, 200, 150, 100, 80, 60, 50, 40, 30, 20)
+#: The steps in the order of their tests: a rule and its new cutoff.
+PATH = tuple([("symbols", c) for c in GRID] + [(rule, c) for c in GRID for rule in ("dup_lines", "repeats", "capitals")])
 
 
 @dataclass(frozen=True)
 class QualityParams:
     """risk: the share of good texts (of those that pass the base rules) that all rules of a stratum together may reject; the bounds of all strata hold at once with probability 1 - level."""
 
-    risk: float = 0.04
+    risk: float = 0.02
     level: float = 0.05
-    strata: int = 20  # Bonferroni's least number of strata; with more that have enough good rows it is their number
+
+    def rows_needed(self, strata: int) -> int:
+        """Good rows with which a step that rejects none of them holds."""
+        return math.ceil(math.log(self.level / strata) / math.log1p(-self.risk))
 
 
 def repeat_words(words: Column, size: int = 5) -> Column:
@@ -121,27 +126,34 @@ def _beta(a: float, b: float, x: float) -> float:
     return front * out
 
 
+def first_step(m: Column) -> Column:
+    """The number, from 1, of the path's first step that rejects the text; one more than the last if none does."""
+    of_rule = []
+    for rule in RULES:
+        steps = [(k, c) for k, (r, c) in enumerate(PATH, 1) if r == rule]
+        found = F.when(fails(m, rule, steps[0][1]), steps[0][0])
+        for k, c in steps[1:]:
+            found = found.when(fails(m, rule, c), k)
+        of_rule.append(found.otherwise(len(PATH) + 1))
+    return F.least(*of_rule)
+
+
 def cutoffs(measured: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> dict[str | None, dict[str, int]]:
-    """For each stratum the strictest cutoff of each rule that holds."""
-    p = params
-    alpha, share = p.level / (p.strata * len(RULES)), p.risk / len(RULES)
-    # Rows that any test needs; it grows with the strata, and those that then have too few fail their tests below.
-    needed = math.ceil(math.log(alpha) / math.log1p(-share))
+    """For each stratum in which a step holds, the cutoffs of the last that does."""
     good = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).filter("doc_id is not null and quality is not null")
     good = good.groupBy("doc_id").agg(F.min("quality").alias("quality")).filter("quality = 1").select("doc_id")
-    m = F.col("m")
-    rows = measured.join(good, "doc_id", "left_semi")
-    hits = [F.count_if(~base_failed(m) & fails(m, rule, c)).alias(f"{rule}_{c}") for rule in RULES for c in GRID]
-    found = rows.groupBy("lang").agg(F.count_if(~base_failed(m)).alias("n"), *hits).filter(F.col("n") >= needed)
-    found = found.collect()
-    alpha = p.level / (max(p.strata, len(found)) * len(RULES))
+    rows = measured.join(good, "doc_id", "left_semi").filter(~base_failed(F.col("m")))
+    counted = rows.groupBy("lang", first_step(F.col("m")).alias("step")).agg(F.count("*").alias("x"))
+    strata = counted.groupBy("lang").agg(F.sum("x").alias("n"), F.map_from_entries(F.collect_list(F.struct("step", "x"))).alias("x"))
+    found = strata.filter(F.col("n") >= params.rows_needed(1)).collect()
     out: dict[str | None, dict[str, int]] = {}
     for r in found:
-        for rule in RULES:
-            for c in GRID:
-                if binomial_tail(r[f"{rule}_{c}"], r["n"], share) > alpha:
-                    break
-                out.setdefault(r["lang"], {})[rule] = c
+        rejected = 0
+        for k, (rule, c) in enumerate(PATH, 1):
+            rejected += r["x"].get(k, 0)
+            if binomial_tail(rejected, r["n"], params.risk) > params.level / len(found):
+                break
+            out.setdefault(r["lang"], {})[rule] = c
     return out
 
 

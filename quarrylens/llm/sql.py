@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 
 from . import quality
 from .mixing import MixParams
@@ -29,12 +28,8 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 
 def _quality() -> str:
     p = quality.QualityParams()
-    share = p.risk / len(quality.RULES)
-    needed = math.ceil(math.log(p.level / (p.strata * len(quality.RULES))) / math.log1p(-share))
-    tests = " UNION ALL ".join(
-        f"SELECT lang, '{rule}' AS rule, {i} AS step, count(*) FILTER (NOT base_failed) AS n, count(*) FILTER (NOT base_failed AND 1000 * {a} > {c} * {b}) AS x FROM good GROUP BY lang" for rule, (a, b) in quality.RULES.items() for i, c in enumerate(quality.GRID)
-    )
-    bad = " OR ".join(f"(rule = '{rule}' AND 1000 * {a} > cutoff * {b})" for rule, (a, b) in quality.RULES.items())
+    path = ", ".join(f"({k}, '{rule}', {c})" for k, (rule, c) in enumerate(quality.PATH, 1))
+    bad = lambda cutoff: " OR ".join(f"(rule = '{rule}' AND 1000 * {a} > {cutoff} * {b})" for rule, (a, b) in quality.RULES.items())
     ws = r"[^\x20\x09-\x0D]"
     return rf"""
 WITH t AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text FROM documents),
@@ -47,13 +42,16 @@ m AS (SELECT w.rid, doc_id, lang, CAST(len(w) AS BIGINT) AS n_words, CAST(length
       FROM w LEFT JOIN r ON w.rid = r.rid),
 f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
 good AS (SELECT * FROM f WHERE doc_id IN (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1)),
-tests AS ({tests}),
-level AS (SELECT {p.level!r} / (greatest({p.strata}, count(DISTINCT coalesce(lang, '') || CASE WHEN lang IS NULL THEN 'n' ELSE 'v' END)) * {len(quality.RULES)}) AS alpha FROM tests WHERE n >= {needed}),
-passed AS (SELECT lang, rule, step, list_sum(list_transform(range(0, x + 1), lambda i: exp(lgamma(n + 1) - (CASE WHEN i = 0 THEN 0 ELSE lgamma(i + 1) END) - (CASE WHEN i = n THEN 0 ELSE lgamma(n - i + 1) END) + i * ln({share}) + (n - i) * ln(1 - {share})))) <= alpha AS ok
-           FROM tests, level WHERE n >= {needed} AND x < n),
-firstbad AS (SELECT s.lang, s.rule, min(CASE WHEN coalesce(p.ok, FALSE) THEN {len(quality.GRID)} ELSE s.step END) AS step FROM tests s LEFT JOIN passed p ON s.lang IS NOT DISTINCT FROM p.lang AND s.rule = p.rule AND s.step = p.step GROUP BY s.lang, s.rule),
-cut AS (SELECT lang, rule, ({list(quality.GRID)})[step] AS cutoff FROM firstbad WHERE step > 0),
-bad AS (SELECT DISTINCT f.rid FROM f JOIN cut ON f.lang IS NOT DISTINCT FROM cut.lang WHERE {bad})
+path(step, rule, cutoff) AS (VALUES {path}),
+firsts AS (SELECT good.rid, any_value(good.lang) AS lang, min(step) AS step FROM good LEFT JOIN path ON {bad("cutoff")} WHERE NOT base_failed GROUP BY good.rid),
+strata AS (SELECT lang, count(*) AS n FROM firsts GROUP BY lang HAVING count(*) >= {p.rows_needed(1)}),
+tests AS (SELECT s.lang, s.n, p.step, (SELECT count(*) FROM firsts f WHERE f.lang IS NOT DISTINCT FROM s.lang AND f.step <= p.step) AS x FROM strata s, path p),
+level AS (SELECT {p.level!r} / count(*) AS alpha FROM strata),
+passed AS (SELECT lang, step, x < n AND list_sum(list_transform(range(0, x + 1), lambda i: exp(lgamma(n + 1) - (CASE WHEN i = 0 THEN 0 ELSE lgamma(i + 1) END) - (CASE WHEN i = n THEN 0 ELSE lgamma(n - i + 1) END) + i * ln({p.risk}) + (n - i) * ln(1 - {p.risk})))) <= alpha AS ok
+           FROM tests, level),
+held AS (SELECT lang, coalesce(min(step) FILTER (NOT ok), {len(quality.PATH) + 1}) - 1 AS step FROM passed GROUP BY lang),
+cut AS (SELECT lang, rule, min(cutoff) AS cutoff FROM held JOIN path ON path.step <= held.step GROUP BY lang, rule),
+bad AS (SELECT DISTINCT f.rid FROM f JOIN cut ON f.lang IS NOT DISTINCT FROM cut.lang WHERE {bad("cutoff")})
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rid NOT IN (SELECT rid FROM bad) AS kept FROM f
 """
 
