@@ -47,13 +47,14 @@ class SecretParams:
 
 
 class Finding(NamedTuple):
-    """A candidate with its neighbouring words, and 1 if it is a secret."""
+    """A candidate with its neighbouring words, two before and two after it, and 1 if it is a secret."""
 
     before2: str
     before: str
     token: str
     after: str
     secret: int
+    after2: str | None = None
 
 
 def _word_set(words: list[str]) -> str:
@@ -70,7 +71,7 @@ def features(token: Column, before: Column, before2: Column, after: Column, afte
     near = F.lower(F.concat_ws(" ", before2, before, F.regexp_extract(token, r"^([A-Za-z_]+)[=:]", 1), after, after2))
     n = F.char_length(token).cast("double")
     share = lambda x: x / n
-    has = lambda words: near.rlike(rf"(^|[^a-z0-9_])({_word_set(words)})([^a-z0-9_]|$)").cast("double")
+    has = lambda words: near.rlike(rf"(^|[^a-z0-9])({_word_set(words)})([^a-z0-9]|$)").cast("double")
     values = {
         "length": n,
         "transitions": share(count("(?<=[a-z])[^a-z]|(?<=[A-Z])[^A-Z]|(?<=[0-9])[^0-9]|(?<=[^A-Za-z0-9])[A-Za-z0-9]")),
@@ -108,7 +109,7 @@ def candidates(docs: DataFrame, p: SecretParams = SecretParams()) -> DataFrame:
         sign = lambda i: F.get(words, i).rlike(r"^[=:.\-!@#$%^&*~+/]+$")
         last = lambda i: F.when(sign(i - 1), F.get(words, i - 2)).otherwise(F.get(words, i - 1))
         last2 = lambda i: F.when(sign(i - 1), F.get(words, i - 3)).otherwise(F.get(words, i - 2))
-        told = lambda i: F.coalesce(F.lower(last(i)).rlike(rf"(^|[^a-z0-9_])({_word_set(TELLING)})([^a-z0-9_]|$)"), F.lit(False))
+        told = lambda i: F.coalesce(F.lower(last(i)).rlike(rf"(^|[^a-z0-9])({_word_set(TELLING)})([^a-z0-9]|$)"), F.lit(False))
         token = lambda i: F.when(told(i), F.regexp_replace(F.get(words, i), r"^[.\-]+|[.,]+$", "")).otherwise(bare(F.get(words, i)))
         return F.transform(F.filter(numbered, lambda i: i >= 0), lambda i: F.struct(i.alias("position"), token(i).alias("token"), last(i).alias("before"), last2(i).alias("before2"), F.get(words, i + 1).alias("after"), F.get(words, i + 2).alias("after2")))
 
@@ -127,8 +128,8 @@ def made_findings(n: int = 4000, seed: int = 5) -> list[Finding]:
     out = []
     for k in range(n):
         tell, dull = r.choice(TELLING), r.choice(plain)
-        kind, secret = k % 16, 1
-        before2, before, after = r.choice(plain), dull, r.choice(plain)
+        kind, secret = k % 18, 1
+        before2, before, after, after2 = r.choice(plain), dull, r.choice(plain), r.choice(plain)
         if kind == 0:
             before, token = tell, some(hexa, 24, 64)
         elif kind == 1:
@@ -136,7 +137,7 @@ def made_findings(n: int = 4000, seed: int = 5) -> list[Finding]:
         elif kind == 2:
             before2, token = tell, some(alnum, 20, 48)
         elif kind == 3:
-            before, token = r.choice([tell, dull]), r.choice([p for p in PREFIXES if not p.startswith("A")]) + some(alnum, 20, 40)
+            before, token = r.choice([tell, dull]), r.choice([p for p in PREFIXES if not p.startswith("A")]) + some(r.choice([alnum, alnum, hexa, "a0"]), 20, 40)
         elif kind == 4:
             token = f"{r.choice(['password', 'secret', 'token', 'key', 'pwd'])}={some(hexa if r.random() < 0.6 else alnum, 14, 40)}"
         elif kind == 5:
@@ -144,7 +145,8 @@ def made_findings(n: int = 4000, seed: int = 5) -> list[Finding]:
         elif kind == 6:
             before, token = tell, "".join(r.choice([r.choice(WORDS).capitalize(), some(string.digits, 1, 4), r.choice("!@#$%^&*~")]) for _ in range(9))[:24] + r.choice("!@#$%&") + some(alnum, 4, 6)
         elif kind == 7:
-            after, token = tell, some(alnum, 20, 48)
+            token = some(alnum, 20, 48)
+            after, after2 = r.choice([(tell, after2), (after, tell)])
         elif kind == 8:
             before, token, secret = r.choice(INNOCENT), some(hexa, 32, 64), 0
         elif kind == 9:
@@ -160,9 +162,14 @@ def made_findings(n: int = 4000, seed: int = 5) -> list[Finding]:
             token, secret = ".".join([some(string.ascii_lowercase, 3, 9), r.choice(WORDS), f"v{r.randint(1, 9)}", str(r.randint(10, 999))]) + "-" + r.choice(WORDS), 0
         elif kind == 14:
             before, token, secret = r.choice([tell, dull]), f"{some(string.ascii_lowercase, 4, 9)}.{some(string.ascii_lowercase, 3, 8)}{r.randint(1, 99)}@{r.choice(WORDS)}.example.{r.choice(['com', 'org'])}", 0
+        elif kind == 15:  # a random name of something in plain prose
+            token, secret = some(alnum if r.random() < 0.7 else hexa, 16, 40), 0
+        elif kind == 16:  # the same, called a checksum or the like on either side
+            token, secret = some(alnum, 16, 48), 0
+            before, after, after2 = r.choice([(r.choice(INNOCENT), after, after2), (before, r.choice(INNOCENT), after2), (before, after, r.choice(INNOCENT))])
         else:
             token, secret = "&".join(f"{r.choice(WORDS)}={r.randint(1, 99)}" for _ in range(r.randint(3, 5))), 0
-        out.append(Finding(before2, before, token, after, secret))
+        out.append(Finding(before2, before, token, after, secret, after2))
     return out
 
 
@@ -230,25 +237,22 @@ class Forest:
 def train(spark: SparkSession, findings: DataFrame | list[Finding] | None = None, p: SecretParams = SecretParams()) -> Forest:
     """A forest of labelled findings; their features are the scan's own expressions.
 
-    Of a table (before2, before, token, after, secret) the fit takes the `most_findings` rows with the least hashes. The forest of the
-    findings made by rule is kept for the process.
+    Of a table (before2, before, token, after, secret and, if it has one, after2) or a list the fit takes the `most_findings` rows with the
+    least hashes. The forest of the findings made by rule is kept for the process.
     """
     if findings is None:
         if p not in _MADE:
             _MADE[p] = train(spark, made_findings(), p)
         return _MADE[p]
     if not isinstance(findings, DataFrame):
-        found = findings[: p.most_findings]
-        if not found:
+        if not findings:
             return Forest([0.0])
-        text = json.dumps([dict(i=i, **r._asdict()) for i, r in enumerate(found)])
-        listed = F.from_json(F.lit(text), "array<struct<i: int, before2: string, before: string, token: string, after: string, secret: int>>")
+        listed = F.from_json(F.lit(json.dumps([r._asdict() for r in findings])), "array<struct<before2: string, before: string, token: string, after: string, secret: int, after2: string>>")
         findings = spark.range(1).select(F.explode(listed).alias("x")).select("x.*")
-    else:
-        known = findings.filter("token is not null and secret is not null")
-        findings = known.withColumn("i", F.xxhash64("before2", "before", "token", "after", "secret")).orderBy("i").limit(p.most_findings)
-    nothing = F.lit(None).cast("string")
-    rows = findings.select("i", F.col("secret").cast("int").alias("secret"), features(F.col("token"), F.col("before"), F.col("before2"), F.col("after"), nothing).alias("f")).orderBy("i").collect()  # at most most_findings
+    after2 = F.col("after2") if "after2" in findings.columns else F.lit(None).cast("string")
+    known = findings.filter("token is not null and secret is not null").select("before2", "before", "token", "after", after2.alias("after2"), F.col("secret").cast("int").alias("secret"))
+    chosen = known.withColumn("i", F.xxhash64(*known.columns)).orderBy("i").limit(p.most_findings)
+    rows = chosen.select("i", "secret", features(*[F.col(c) for c in ("token", "before", "before2", "after", "after2")]).alias("f")).orderBy("i").collect()  # at most most_findings
     return Forest.fit([[r.f[k] for k in FEATURES] for r in rows], [r.secret for r in rows], p)
 
 

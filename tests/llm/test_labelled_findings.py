@@ -61,6 +61,28 @@ def test_cases_of_rows(spark):
     found = secrets.scan_secrets(docs, forest).collect()
     assert Counter(r.doc_id for r in found) == {1: 4, None: 1} and all(r.secret for r in found)
     assert secrets.scan_secrets(docs.limit(0), forest).count() == 0
-    table = spark.createDataFrame(secrets.made_findings(400), "before2 string, before string, token string, after string, secret int")
+    table = spark.createDataFrame(secrets.made_findings(400), "before2 string, before string, token string, after string, secret int, after2 string")
     a, b = (secrets.train(spark, t) for t in (table, table.repartition(3)))
     assert a.trees == b.trees
+
+
+def test_the_fit_sees_what_the_scan_sees(spark):
+    """Labels that only the second word after the token tells apart are learnt, from a list, from a table, and not without the column."""
+    found = [secrets.Finding("of", "the", f"Zk{i:04d}qWmX7vB2nR8tYw5C", "and", i % 2, "password" if i % 2 else "value") for i in range(400)]
+    docs = spark.createDataFrame([(1, "of the Zk9999qWmX7vB2nR8tYw5C and password"), (2, "of the Zk9999qWmX7vB2nR8tYw5C and value")], "doc_id long, text string")
+    table = spark.createDataFrame(found, "before2 string, before string, token string, after string, secret int, after2 string")
+    for given in (found, table):
+        got = {r.doc_id: r.score for r in secrets.scan_secrets(docs, secrets.train(spark, given)).collect()}
+        assert got[1] > 0.6 and got[1] > got[2] + 0.2, got
+    got = {r.doc_id: r.score for r in secrets.scan_secrets(docs, secrets.train(spark, table.drop("after2"))).collect()}
+    assert got[1] == got[2]
+
+
+def test_random_names_in_prose(spark):
+    """Random names that nothing announces, or that are called a checksum, aren't secrets; announced ones are."""
+    names = ["q7Zt3mXw9Kp2Ls8vBn4R", "Hy6Tr2Wq9Zx4Cv7Bn1Mk3", "a81Kd02LsmQ93nvX5t7Yp"]
+    texts = [(f"we found {n} in the old garden", False) for n in names] + [(f"compare {n} with the checksum again", False) for n in names] + [(f"here {n} is password now", True) for n in names] + [(f"the token {n} was sent", True) for n in names]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.secret for r in secrets.scan_secrets(docs, secrets.train(spark)).collect()}
+    wrong = [(t, got.get(i)) for i, (t, secret) in enumerate(texts) if got.get(i) != secret]
+    assert len(wrong) <= 1, wrong
