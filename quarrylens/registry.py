@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: tuple[str, ...] = ("operators.banking_queries", "operators.dml_queries", "operators.change_queries", "operators.hierarchy_queries", "operators.model_queries", "operators.function_queries", "plans.code_queries", "plans.analysis_queries", "plans.surface", "sources.inventory_queries", "streaming.velocity")
+MODULES: tuple[str, ...] = ("operators.banking_queries", "operators.dml_queries", "operators.change_queries", "operators.hierarchy_queries", "operators.model_queries", "operators.function_queries", "plans.code_queries", "plans.analysis_queries", "plans.miner_queries", "plans.surface", "sources.inventory_queries", "streaming.velocity")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
