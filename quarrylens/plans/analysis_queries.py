@@ -313,6 +313,33 @@ def ask_blind_spots(spark, sf_dir):
     return _asked("What can this graph NOT see?")(spark, sf_dir).select("key", F.regexp_extract("detail", r"(\d+)$", 1).cast("long").alias("places"))
 
 
+@_query(f"SELECT 'PROC-APP.P_2' AS object_id, 'ENFORCED_IN' AS type, CAST(4 + e AS BIGINT) AS rules FROM ({_K}) WHERE k = 2")
+def ask_rules_for(spark, sf_dir):
+    """The rules of one routine: two branches and one more, a handler and a formula."""
+    return _asked("Which business rules apply to p_2?")(spark, sf_dir).groupBy(F.lit("PROC-APP.P_2").alias("object_id"), "type").agg(F.countDistinct("key").alias("rules"))
+
+
+@_query(f"""SELECT 'IMPLEMENTED_AT' AS type, 'Statement' AS place, CAST(sum(4 + e) AS BIGINT) AS rules FROM ({_K}) UNION ALL SELECT 'IMPLEMENTED_AT', 'File', count(*) FROM supplier
+UNION ALL SELECT 'ENFORCED_IN', 'Object', CAST(sum(4 + e) AS BIGINT) FROM ({_K}) UNION ALL SELECT 'ENFORCED_IN', 'Table', count(*) FROM supplier""")
+def graph_rule_places(spark, sf_dir):
+    """Where all rules live, by the edges that answer that question of one."""
+    places = _graph(spark, sf_dir).edges.filter("source_label = 'BusinessRule' AND type IN ('IMPLEMENTED_AT', 'ENFORCED_IN')")
+    return places.groupBy("type", F.col("target_label").alias("place")).agg(F.countDistinct("source").alias("rules"))
+
+
+@_query(f"SELECT 'ACCOUNTS.BALANCE' AS target, count(*) AS users FROM customer UNION ALL SELECT 'ACCOUNTS.ID', count(*) FROM customer UNION ALL SELECT 'AUDIT.ID', count(*) FROM ({_K}) WHERE l + e > 0")
+def ask_widest_columns(spark, sf_dir):
+    return _asked("Which columns are used most widely?")(spark, sf_dir).select("target", "users")
+
+
+@_query(f"""SELECT 'constraint_not_enforced' AS type, count(*) AS n FROM supplier WHERE s_suppkey % 3 = 0 UNION ALL SELECT 'constraint_not_validated', count(*) FROM supplier WHERE s_suppkey % 3 = 1
+UNION ALL SELECT 'relationship_not_declared', count(*) FROM supplier WHERE s_suppkey + 1 IN (SELECT s_suppkey FROM supplier) UNION ALL SELECT 'unresolved_reference', count(*) FROM customer WHERE c_custkey + 1 NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT 'generic_handler', CAST(sum(o) AS BIGINT) FROM ({_K}) UNION ALL SELECT 'rule_to_confirm', count(*) FROM supplier WHERE s_suppkey % 3 <> 2 UNION ALL SELECT 'transaction_hazard', CAST(sum(lc) AS BIGINT) FROM ({_K})""")
+def ask_open_questions(spark, sf_dir):
+    """Open matters by type."""
+    return _asked("What open questions remain for the business?")(spark, sf_dir).groupBy(F.col("name").alias("type")).agg(F.count(F.lit(1)).alias("n"))
+
+
 # -- inventory --------------------------------------------------------------------------------------------------------------------
 @_query("SELECT CAST(l_orderkey AS BIGINT) AS k, CASE WHEN r = 1 THEN 'A__00000000' ELSE 'A__00000000_' || r END AS file_id FROM (SELECT l_orderkey * 10 + l_linenumber AS l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) AS r FROM lineitem)")
 def id_collisions(spark, sf_dir):
