@@ -32,6 +32,11 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tasks_of(spark: SparkSession) -> int:
+    """Tasks for work that costs far more than the size of its rows tells."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def side_by_side(*works: Callable[[], DataFrame]) -> list[DataFrame]:
     """Results of works that don't wait for each other; their jobs share the session's executors."""
     with ThreadPoolExecutor(len(works)) as pool:
