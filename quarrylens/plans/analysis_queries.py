@@ -11,7 +11,7 @@ from ..sources import inventory as inv, runs
 from . import code as c, diagrams as dg, document as do, figure_check, graph as gr, rules as ru, schema as sc, stages as st
 from .code import Code
 from .code_queries import _ROUTINE, _TABLE, _flows, _routines, _tables
-from .cut import fresh
+from .cut import big, fresh
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -219,7 +219,7 @@ def endpoint_guard(spark, sf_dir):
     """Every edge has both its ends and none is there twice; counted against the routines by the edges that define them."""
     g = _graph(spark, sf_dir)
     ends = g.nodes.select("label", "key")
-    loose = g.edges.join(ends.toDF("source_label", "source"), ["source_label", "source"], "left_anti").unionByName(g.edges.join(ends.toDF("target_label", "target"), ["target_label", "target"], "left_anti"))
+    loose = g.edges.join(big(ends.toDF("source_label", "source")), ["source_label", "source"], "left_anti").unionByName(g.edges.join(big(ends.toDF("target_label", "target")), ["target_label", "target"], "left_anti"))
     twice = g.edges.groupBy(*g.edges.columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     return g.edges.filter("type = 'DEFINES'").agg(F.count(F.lit(1)).alias("edges")).join(loose.agg(F.count(F.lit(1)).alias("loose"))).join(twice.agg(F.count(F.lit(1)).alias("repeated")))
 
@@ -249,7 +249,7 @@ def graph_violations(spark, sf_dir):
     of = lambda name, n: F.coalesce(number(name) % n == 0, F.lit(False))
     unsourced = g.rules.filter(of(F.col("object_id"), 5)).select(F.col("rule_id").alias("source"))
     edges = g.edges.filter(~((F.col("type") == "HAS_COLUMN") & of(F.col("source"), 4)))
-    traced = edges.filter("type IN ('IMPLEMENTED_AT', 'ENFORCED_IN')").join(unsourced, "source", "left_anti")
+    traced = edges.filter("type IN ('IMPLEMENTED_AT', 'ENFORCED_IN')").join(big(unsourced), "source", "left_anti")
     edges = edges.filter("type NOT IN ('IMPLEMENTED_AT', 'ENFORCED_IN')").unionByName(traced)
     rules = g.rules.withColumn("requires_sme_review", F.col("requires_sme_review") & ~of(F.col("object_id"), 7))
     return gr.violations(gr.Graph(g.nodes, edges, g.dropped, rules)).groupBy("violation").agg(F.count(F.lit(1)).alias("n"))

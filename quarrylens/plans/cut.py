@@ -32,6 +32,15 @@ def settled(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def big(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the input: it is sorted and merged, never sent through the driver.
+
+    Spark guesses a side from the size of its files. Those of written facts are small (texts repeat themselves) and hold arrays
+    that burst into many rows, so the guess may be a hundredth of what would be sent.
+    """
+    return df.hint("merge")
+
+
 def tasks_of(spark: SparkSession) -> int:
     """Tasks for work that costs far more than the size of its rows tells."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)

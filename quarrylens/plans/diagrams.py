@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import language as la
 from . import code as c, figure_check, schema as sc
 from .code import DML, Code
-from .cut import settled
+from .cut import big, settled
 
 #: Fixed value: the nodes a process flow may have before straight runs are merged.
 NODE_BUDGET = 40
@@ -37,7 +37,7 @@ def kind_of(statement_type: Column) -> Column:
 def rules_in_span(spans: DataFrame, rules: DataFrame) -> DataFrame:
     """The rule of each span (key columns, `id`, `first`, `last`) that stands at its first line, else the earliest inside it."""
     r = rules.filter("line IS NOT NULL AND NOT kind LIKE 'ddl%'").select(*_KEY, "rule_id", "condition", F.col("line").alias("at"), "signal_strength")
-    near = spans.join(r, _KEY).filter("at BETWEEN first AND last")
+    near = spans.join(big(r), _KEY).filter("at BETWEEN first AND last")
     return near.groupBy("id").agg(F.min(F.struct((F.col("at") != F.col("first")).alias("later"), "at", (-F.col("signal_strength")).alias("weak"), "rule_id", "condition")).alias("r")).select("id", "r.rule_id", "r.condition")
 
 
@@ -46,7 +46,7 @@ def labelled(code: Code, rules: DataFrame) -> DataFrame:
     s = code.rows("statements").withColumn("node_kind", kind_of(F.col("type")))
     spans = s.filter("node_kind = 'DECISION'").select(*_KEY, F.col("statement_id").alias("id"), F.col("line").alias("first"), F.col("end_line").alias("last"))
     found = rules_in_span(spans, rules).select(F.col("id").alias("statement_id"), "rule_id", F.col("condition").alias("rule_condition"))
-    s = s.join(found, "statement_id", "left")
+    s = s.join(big(found), "statement_id", "left")
     ask = lambda x: F.concat(la.short_condition(x), F.lit("?"))
     table = F.upper(F.coalesce(F.try_element_at(F.filter("access", lambda a: a["crud"] != "R"), F.lit(1))["table_name"], F.try_element_at("access", F.lit(1))["table_name"]))
     verb = F.when(F.col("type") == "SELECT_INTO", "Read").otherwise(F.initcap("type"))
@@ -100,22 +100,22 @@ def flows(code: Code, rules: DataFrame, budget: int = NODE_BUDGET) -> Flows:
     objects = marked.select(*_KEY).distinct()
     extra = objects.select(*_KEY, F.lit("START").alias("statement_id"), F.lit("TERMINAL").alias("kind"), F.lit("Start").alias("label"), F.lit(None).cast("string").alias("rule_id"), F.lit(2).alias("tier"), F.lit(0).alias("line"), F.lit(1).alias("members"), F.lit(-1).alias("seq"))
     caught = marked.filter("kind = 'ERROR'").select(*_KEY).distinct()
-    extra = extra.unionByName(extra.drop("statement_id", "label", "kind", "seq").join(caught, _KEY, "left_semi").select("*", F.lit("*").alias("statement_id"), F.lit("Any error").alias("label"), F.lit("ERROR").alias("kind"), F.lit(0).alias("seq")))
+    extra = extra.unionByName(extra.drop("statement_id", "label", "kind", "seq").join(big(caught), _KEY, "left_semi").select("*", F.lit("*").alias("statement_id"), F.lit("Any error").alias("label"), F.lit("ERROR").alias("kind"), F.lit(0).alias("seq")))
     ordered = Window.partitionBy(*_KEY).orderBy("line", "seq", "statement_id")
     nodes = settled(own.unionByName(extra).withColumn("node", F.concat(F.lit("N"), F.row_number().over(ordered).cast("string"))).drop("seq"))
 
     place = marked.select("statement_id", "head", "kind", "scope", "seq", "parent")
-    flow = c.control_flow(code).join(place.select(F.col("statement_id").alias("source"), F.col("head").alias("a"), F.col("kind").alias("a_kind")), "source", "left").join(place.select(F.col("statement_id").alias("target"), F.col("head").alias("b"), F.regexp_extract("scope", r"\.(.*)$", 1).alias("arm"), F.col("parent").alias("seq")), "target")
+    flow = c.control_flow(code).join(big(place.select(F.col("statement_id").alias("source"), F.col("head").alias("a"), F.col("kind").alias("a_kind"))), "source", "left").join(big(place.select(F.col("statement_id").alias("target"), F.col("head").alias("b"), F.regexp_extract("scope", r"\.(.*)$", 1).alias("arm"), F.col("parent").alias("seq"))), "target")
     by_arm = code.rows("arms").filter("kind IN ('IF', 'CASE')").select(*_KEY, "seq", "arm", F.col("line").alias("at"))
     at_line = rules.filter("NOT kind LIKE 'ddl%'").groupBy(*_KEY, F.col("line").alias("at")).agg(F.min_by("rule_id", F.struct((~F.col("kind").isin("conditional_branch", "named_exception", "case_branch")).alias("o"), (-F.col("signal_strength")).alias("w"), "rule_id")).alias("rule_id"))
     branch = F.when(F.col("type") == "BRANCH_ENTRY", F.when(F.col("a_kind") == "DECISION", "BRANCH").when(F.col("a_kind") == "ERROR", "EXCEPTION").when(F.col("a_kind") == "LOOP", "LOOP_ENTRY").otherwise("FLOW"))
     typed = flow.withColumn("edge_type", F.coalesce(branch, F.when(F.col("type") == "EXCEPTION_EDGE", "EXCEPTION").when(F.col("type") == "LOOP_BACK_EDGE", "LOOP_BACK").otherwise("FLOW")))
-    typed = typed.join(by_arm, [*_KEY, "seq", "arm"], "left").join(at_line, [*_KEY, "at"], "left")
+    typed = typed.join(big(by_arm), [*_KEY, "seq", "arm"], "left").join(big(at_line), [*_KEY, "at"], "left")
     typed = typed.select(*_KEY, F.coalesce("a", "source").alias("a"), "b", F.col("edge_type").alias("type"), branch_label(F.col("branch")).alias("label"), F.when(F.col("edge_type") == "BRANCH", F.col("rule_id")).alias("rule_id"))
     opening = marked.filter("parent IS NULL AND kind <> 'ERROR'").groupBy(*_KEY).agg(F.min_by("head", "seq").alias("b")).select(*_KEY, F.lit("START").alias("a"), "b", F.lit("FLOW").alias("type"), F.lit("").alias("label"), F.lit(None).cast("string").alias("rule_id"))
     typed = typed.unionByName(opening).filter("a <> b OR type = 'LOOP_BACK'").groupBy(*_KEY, "a", "b", "type", "label").agg(F.min("rule_id").alias("rule_id"))
     ids = nodes.select(*_KEY, "statement_id", "node")
-    edges = typed.join(ids.select(*_KEY, F.col("statement_id").alias("a"), F.col("node").alias("source")), [*_KEY, "a"]).join(ids.select(*_KEY, F.col("statement_id").alias("b"), F.col("node").alias("target")), [*_KEY, "b"])
+    edges = typed.join(big(ids.select(*_KEY, F.col("statement_id").alias("a"), F.col("node").alias("source"))), [*_KEY, "a"]).join(big(ids.select(*_KEY, F.col("statement_id").alias("b"), F.col("node").alias("target"))), [*_KEY, "b"])
     report = nodes.groupBy(*_KEY).agg(F.count(F.lit(1)).cast("int").alias("nodes"), F.sum(F.when(F.col("statement_id").isin("START", "*"), 0).otherwise(F.col("members"))).cast("int").alias("statements"), F.max(F.col("members") > 1).alias("collapsed"))
     return Flows(nodes, settled(edges.select(*_KEY, "source", "target", "type", "label", "rule_id")), report.withColumn("oversize", F.col("nodes") > budget), budget)
 
@@ -143,13 +143,13 @@ def transitions(code: Code) -> DataFrame:
     s = code.rows("statements").filter("type = 'UPDATE'").select("statement_id", *_KEY, "scope_path", "text")
     known = states(code)
     written = sc.column_access(code).filter("mode = 'WRITE'").select("statement_id", "table_name", "name").join(known.select("table_name", "name").distinct(), ["table_name", "name"])
-    w = written.join(s, "statement_id")
+    w = written.join(big(s), "statement_id")
     literal = lambda text: F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"(?i)([\w.]+\s*=\s*'[^']*')"), 1), lambda x: F.struct(F.upper(F.regexp_extract(x, r"(\w+)\s*=", 1)).alias("c"), F.regexp_extract(x, "'([^']*)'", 1).alias("v"))), lambda x: F.regexp_replace(x["c"], "^[PVLG]_", "") == F.col("name"))
     w = w.withColumn("to", F.try_element_at(literal(F.regexp_extract("text", r"(?is)\bSET\b(.*?)(?:\bWHERE\b|$)", 1)), F.lit(1))["v"]).withColumn("from", F.try_element_at(literal(F.regexp_extract("text", r"(?is)\bWHERE\b(.*)", 1)), F.lit(1))["v"])
     above = w.select("statement_id", *_KEY, "name", F.explode("scope_path").alias("p")).select("statement_id", *_KEY, "name", F.regexp_extract("p", r"IF#(\d+)", 1).try_cast("int").alias("seq"), F.regexp_extract("p", r"\.(.*)$", 1).alias("arm"))
-    guards = above.join(code.rows("arms").filter("kind = 'IF' AND condition IS NOT NULL AND NOT upper(condition) RLIKE '\\\\bOR\\\\b'").select(*_KEY, "seq", "arm", "condition"), [*_KEY, "seq", "arm"])
+    guards = above.join(big(code.rows("arms").filter("kind = 'IF' AND condition IS NOT NULL AND NOT upper(condition) RLIKE '\\\\bOR\\\\b'").select(*_KEY, "seq", "arm", "condition")), [*_KEY, "seq", "arm"])
     guards = guards.withColumn("g", F.try_element_at(literal(F.col("condition")), F.lit(1))["v"]).groupBy("statement_id", "name").agg(F.max("g").alias("guard"))
-    w = w.filter("to IS NOT NULL").join(guards, ["statement_id", "name"], "left").withColumn("from", F.coalesce("from", "guard"))
+    w = w.filter("to IS NOT NULL").join(big(guards), ["statement_id", "name"], "left").withColumn("from", F.coalesce("from", "guard"))
     w = w.join(known.withColumnRenamed("state", "to"), ["table_name", "name", "to"], "left_semi").join(known.select("table_name", "name", F.col("state").alias("from"), F.lit(True).alias("real")), ["table_name", "name", "from"], "left")
     return w.select("table_name", "name", F.when(F.col("real"), F.col("from")).alias("origin"), F.col("to").alias("target"), F.col("real").isNull().alias("inferred"), "statement_id")
 
@@ -161,8 +161,8 @@ def state_text(code: Code) -> DataFrame:
     lines = known.select("table_name", "name", F.lit(0).alias("rank"), F.concat(F.lit("    "), word(F.col("state"))).alias("l"))
     arrows = moves.select("table_name", "name", F.lit(1).alias("rank"), F.concat(F.lit("    "), F.coalesce(word(F.col("origin")), F.lit("[*]")), F.lit(" --> "), word(F.col("target")), F.when(F.col("inferred"), " : inferred").otherwise("")).alias("l")).distinct()
     text = lines.unionByName(arrows).groupBy("table_name", "name").agg(F.concat(F.lit("stateDiagram-v2\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "l"))), lambda x: x["l"]), "\n")).alias("mermaid"))
-    idle = known.join(moves.select("table_name", "name", F.col("target").alias("state")), ["table_name", "name", "state"], "left_anti").groupBy("table_name", "name").agg(F.array_sort(F.collect_list("state")).alias("unreached"))
-    return text.join(idle, ["table_name", "name"], "left").withColumn("unreached", F.coalesce("unreached", F.array().cast("array<string>")))
+    idle = known.join(big(moves.select("table_name", "name", F.col("target").alias("state"))), ["table_name", "name", "state"], "left_anti").groupBy("table_name", "name").agg(F.array_sort(F.collect_list("state")).alias("unreached"))
+    return text.join(big(idle), ["table_name", "name"], "left").withColumn("unreached", F.coalesce("unreached", F.array().cast("array<string>")))
 
 
 # -- data flow, matrix, quality ------------------------------------------------------------------------------------------------
@@ -212,7 +212,7 @@ def problems(f: Flows) -> DataFrame:
     ends = f.nodes.select(*_KEY, "node")
     blank = f.nodes.filter("trim(label) = ''").select("object_id", F.lit("node without a label").alias("problem"))
     leak = f.nodes.filter(F.col("label").rlike(la.INTERNAL)).select("object_id", F.lit("internal name in a label").alias("problem"))
-    loose = f.edges.join(ends.withColumnRenamed("node", "target"), [*_KEY, "target"], "left_anti").select("object_id", F.lit("edge without an end").alias("problem"))
+    loose = f.edges.join(big(ends.withColumnRenamed("node", "target")), [*_KEY, "target"], "left_anti").select("object_id", F.lit("edge without an end").alias("problem"))
     quiet = f.report.filter(f"nodes > {f.budget} AND NOT oversize").select("object_id", F.lit("over the budget, not declared").alias("problem"))
     return blank.unionByName(leak).unionByName(loose).unionByName(quiet)
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions import language as la
 from . import code as c, diagrams as dg, graph as gr, rules as ru, schema as sc
 from .code import Code
-from .cut import settled
+from .cut import big, settled
 
 # Blanks for what only a person knows, how loops and objects are named for a reader, severities by weight.
 BLANK = "_to be assigned_"
@@ -90,7 +90,7 @@ def capabilities(code: Code, rules: DataFrame) -> DataFrame:
     tx = c.transactions(code).select(*key, F.when(F.col("commits") == 0, "left to the caller").when(F.col("commit_inside_loop") > 0, "each turn of the loop is made lasting on its own").when(F.col("is_atomic"), "all or nothing").otherwise("in several lasting steps").alias("transaction"), F.transform("hazards", lambda h: h["hazard"]).alias("hazards"))
     loops = c.loops(code).groupBy(*key).agg(F.array_sort(F.collect_set(_words(LOOP_WORDS, F.col("termination_pattern"), "without an end that the source states"))).alias("loops"))
     count = rules.groupBy(*key).agg(F.count(F.lit(1)).alias("rules"))
-    rows = c.complexity(code).select(*key, "cyclomatic", "cognitive").join(c.shapes(code).select(*key, "shape", "rationale"), key, "left").join(tx, key, "left").join(loops, key, "left").join(count, key, "left")
+    rows = c.complexity(code).select(*key, "cyclomatic", "cognitive").join(big(c.shapes(code).select(*key, "shape", "rationale")), key, "left").join(big(tx), key, "left").join(big(loops), key, "left").join(big(count), key, "left")
     empty = F.array().cast("array<string>")
     return rows.select(*key, la.object_title(F.col("object_id")).alias("title"), _words(SHAPE_WORDS, F.col("shape"), "Calculation without stored data").alias("shape"), F.coalesce("transaction", F.lit("left to the caller")).alias("transaction"), F.coalesce("hazards", empty).alias("hazards"), F.coalesce("loops", empty).alias("loops"), F.coalesce("rules", F.lit(0)).alias("rules"), "cyclomatic", "cognitive")
 
@@ -164,7 +164,7 @@ def blocks(code: Code, flows: dg.Flows, index: Index, title: str = "System") ->
     turns = F.when(F.size("loops") > 0, F.concat(F.lit("Repeats "), F.array_join("loops", "; "), F.lit(".")))
     figure = dg.flow_text(flows)
     pseudo = c.pseudocode(code).select("file_id", "object_id", F.array_join("pseudocode", "\n").alias("code"))
-    process = cap.join(figure, ["file_id", "object_id"], "left").join(pseudo, ["file_id", "object_id"], "left")
+    process = cap.join(big(figure), ["file_id", "object_id"], "left").join(big(pseudo), ["file_id", "object_id"], "left")
     process_text = F.concat_ws("\n", F.concat(F.lit("#### "), "title", F.lit(" - process")), F.concat(F.lit("Transaction boundary: "), "transaction", F.lit(".")), turns, hazard, F.when(col("mermaid").isNotNull(), fence("mermaid", col("mermaid"))), F.when(col("code").isNotNull(), fence("text", col("code"))))
     columns = sc.columns(code).select("table_name", "position", "name", "type", "pyspark_type", "nullable").withColumn("text", _row(la.humanise(col("name")), la.plain_type(col("type")), _tick(col("pyspark_type")), F.when(col("nullable"), "optional").otherwise("required")))
     heads = code.rows("tables").select("table_name", F.lit(0).alias("position"), F.concat(F.lit("#### "), la.humanise(col("table_name")), F.lit("\n"), F.lit(_head("Field", "Meaning", "Rebuild as", "Presence"))).alias("text"))

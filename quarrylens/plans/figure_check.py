@@ -10,6 +10,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import language as la
+from .cut import big
 
 HEADS = ("flowchart TD", "stateDiagram-v2")
 #: A flow's node: a name and a quoted label in one of the shapes.
@@ -47,7 +48,7 @@ def faults(texts: DataFrame, keys: list[str], text: str = "mermaid") -> DataFram
     first = named.groupBy(*keys, "symbol").agg(F.min("number").alias("first"), F.count(F.lit(1)).alias("n"))
     again = first.filter("n > 1").select(*keys, F.col("first").alias("number"), F.lit("name used twice").alias("fault"))
     ends = rows.filter("kind = 'edge'").select(*keys, "number", F.explode(F.array("source", "target")).alias("symbol")).filter("symbol <> '[*]'")
-    loose = ends.join(first.select(*keys, "symbol"), [*keys, "symbol"], "left_anti").select(*keys, "number").distinct().withColumn("fault", F.lit("edge without an end"))
+    loose = ends.join(big(first.select(*keys, "symbol")), [*keys, "symbol"], "left_anti").select(*keys, "number").distinct().withColumn("fault", F.lit("edge without an end"))
     parts = [
         at(rows.filter("kind = 'none' AND number = 0"), "no head"), at(rows.filter("kind = 'none' AND number > 0"), "line not understood"), at(rows.filter("kind = 'node' AND trim(label) = ''"), "node without a label"),
         at(rows.filter(F.col("label").contains('"')), "quote inside a label"), at(rows.filter(F.col("label").rlike(la.INTERNAL)), "internal name in a label"), again, loose,

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions import language as la
 from . import code as c, rules as ru, schema as sc
 from .code import Code
-from .cut import settled, side_by_side
+from .cut import big, settled, side_by_side
 
 # The graph's names of control-flow edges, and what no reading of source text can show.
 FLOW = {"SEQUENCE": "FOLLOWS", "BRANCH_ENTRY": "BRANCHES_TO", "EXCEPTION_EDGE": "ON_ERROR_REACHES", "LOOP_BACK_EDGE": "LOOPS_BACK_TO"}
@@ -104,7 +104,7 @@ class Parts:
 
     @classmethod
     def of(cls, code: Code) -> Parts:
-        c._nesting(code)
+        code.rows("statements")
         shared = (ru.mined, sc.columns, c.calls, sc.column_access, c.control_flow, c.slices)
         side_by_side(*[lambda f=f: f(code) for f in shared])
         rules = ru.modality(ru.rules(code))
@@ -121,7 +121,7 @@ def build(code: Code, parts: Parts | None = None) -> Graph:
     column = cat(".", "table_name", "name")
     nodes = [
         _node(parts.files, "File", col("file_id"), col("file")),
-        _node(objects.join(metrics, ["file_id", "object_id"], "left"), "Object", col("object_id"), F.coalesce("member", "name"), col("line"), col("cyclomatic")),
+        _node(objects.join(big(metrics), ["file_id", "object_id"], "left"), "Object", col("object_id"), F.coalesce("member", "name"), col("line"), col("cyclomatic")),
         _node(s, "Statement", col("statement_id"), col("type"), col("line"), col("text")),
         _node(code.rows("parameters"), "Parameter", cat(".", "object_id", "name"), col("name"), col("position"), cat(" ", "mode", "type")),
         _node(code.rows("variables"), "Variable", cat(".", "object_id", "name"), col("name")),
@@ -141,7 +141,7 @@ def build(code: Code, parts: Parts | None = None) -> Graph:
     names = F.create_map(*[F.lit(x) for kv in FLOW.items() for x in kv])
     cut = c.slices(code).select("file_id", "object_id", "variable", F.explode("determined_by").alias("seq")).withColumn("statement_id", c.statement_id(col("seq")))
     parameters = code.rows("parameters").select("file_id", "object_id", col("name").alias("variable"), F.lit(True).alias("p")).distinct()
-    cut = cut.join(parameters, ["file_id", "object_id", "variable"], "left").withColumn("of_parameter", F.coalesce("p", F.lit(False)))
+    cut = cut.join(big(parameters), ["file_id", "object_id", "variable"], "left").withColumn("of_parameter", F.coalesce("p", F.lit(False)))
     edges = [
         _edge(objects, "DEFINES", "File", col("file_id"), "Object", col("object_id")),
         _edge(s, "CONTAINS_STATEMENT", "Object", col("object_id"), "Statement", col("statement_id")),
@@ -175,7 +175,7 @@ def build(code: Code, parts: Parts | None = None) -> Graph:
         all_edges = all_edges.unionByName(e)
     all_nodes, all_edges = side_by_side(lambda: settled(all_nodes.dropDuplicates(["label", "key"])), lambda: settled(all_edges.dropDuplicates()))
     ends = all_nodes.select("label", "key")
-    kept = all_edges.join(ends.toDF("source_label", "source"), ["source_label", "source"], "left_semi").join(ends.toDF("target_label", "target"), ["target_label", "target"], "left_semi")
+    kept = all_edges.join(big(ends.toDF("source_label", "source")), ["source_label", "source"], "left_semi").join(big(ends.toDF("target_label", "target")), ["target_label", "target"], "left_semi")
     kept = settled(kept.select("type", "source_label", "source", "target_label", "target"))
     dropped = all_edges.groupBy("type").agg(F.count(F.lit(1)).alias("n")).join(kept.groupBy("type").agg(F.count(F.lit(1)).alias("k")), "type", "left").select("type", (F.col("n") - F.coalesce("k", F.lit(0))).alias("dropped"))
     return Graph(all_nodes, kept, dropped, r)
@@ -196,8 +196,8 @@ def write_paths(g: Graph, hops: int = 10) -> DataFrame:
     fresh_ = settled(g.edges.filter("type = 'WRITES_COLUMN' AND source_label = 'Object'").select(F.col("source").alias("object_id"), F.col("target").alias("column_id"), F.lit(0).alias("hops")).distinct())
     reach = fresh_
     for hop in range(1, hops + 1):
-        further = calls.join(fresh_.select(F.col("object_id").alias("next"), "column_id"), "next").select("object_id", "column_id").distinct()
-        fresh_ = settled(further.join(reach.select("object_id", "column_id"), ["object_id", "column_id"], "left_anti").withColumn("hops", F.lit(hop)))
+        further = calls.join(big(fresh_.select(F.col("object_id").alias("next"), "column_id")), "next").select("object_id", "column_id").distinct()
+        fresh_ = settled(further.join(big(reach.select("object_id", "column_id")), ["object_id", "column_id"], "left_anti").withColumn("hops", F.lit(hop)))
         if fresh_.isEmpty():
             break
         reach = reach.unionByName(fresh_)
@@ -209,8 +209,8 @@ def violations(g: Graph) -> DataFrame:
     rules_ = g.nodes.filter("label = 'BusinessRule'")
     traced = g.edges.filter("type IN ('IMPLEMENTED_AT', 'ENFORCED_IN')").select(F.col("source").alias("key"))
     owned = g.edges.filter("type = 'HAS_COLUMN'").select(F.col("target").alias("key"))
-    lost = rules_.join(traced, "key", "left_anti").select("key", F.lit("rule_without_source").alias("violation"))
-    orphan = g.nodes.filter("label = 'Column'").join(owned, "key", "left_anti").select("key", F.lit("column_without_table").alias("violation"))
+    lost = rules_.join(big(traced), "key", "left_anti").select("key", F.lit("rule_without_source").alias("violation"))
+    orphan = g.nodes.filter("label = 'Column'").join(big(owned), "key", "left_anti").select("key", F.lit("column_without_table").alias("violation"))
     hidden = g.rules.filter("is_enforced = false AND NOT requires_sme_review").select(F.col("rule_id").alias("key"), F.lit("unenforced_rule_not_shown").alias("violation"))
     return lost.unionByName(orphan).unionByName(hidden)
 
@@ -218,7 +218,7 @@ def violations(g: Graph) -> DataFrame:
 # -- questions ---------------------------------------------------------------------------------------------------------------
 def _at(g: Graph, edges: DataFrame, side: str) -> DataFrame:
     other = g.nodes.select(F.col("label").alias(f"{side}_label"), F.col("key").alias(side), "name", "line", "detail")
-    return edges.join(other, [f"{side}_label", side]).select("type", F.col(side).alias("key"), "name", F.concat(F.lit("line "), F.col("line").cast("string")).alias("at"), "detail")
+    return edges.join(big(other), [f"{side}_label", side]).select("type", F.col(side).alias("key"), "name", F.concat(F.lit("line "), F.col("line").cast("string")).alias("at"), "detail")
 
 
 def _listed(g: Graph, label: str, where: str = "true") -> DataFrame:
@@ -251,7 +251,7 @@ INTENTS = (
     ("rules_not_enforced", "Which rules are recorded but not enforced by the database?", r"not enforced|unenforced|disabled", None, lambda g, _: g.rules.filter("is_enforced = false").select("rule_id", "name", "line"), "MATCH (r:BusinessRule {is_enforced: false}) RETURN r"),
     ("most_complex", "Which program units are most complex?", r"complex", None, lambda g, _: _ranked_objects(g), "MATCH (o:Object) RETURN o ORDER BY o.cyclomatic DESC LIMIT 10"),
     ("widest_columns", "Which columns are used most widely?", r"columns?\b.*\b(widely|most used|used most)|widely", None, lambda g, _: g.edges.filter("type IN ('READS_COLUMN', 'WRITES_COLUMN') AND source_label = 'Object'").groupBy("target").agg(F.countDistinct("source").alias("users")).orderBy(F.desc("users"), "target").limit(10), "MATCH (o:Object)-[:READS_COLUMN|WRITES_COLUMN]->(c) RETURN c, count(DISTINCT o) AS n ORDER BY n DESC LIMIT 10"),
-    ("untouched_tables", "Which tables are never touched by any program unit?", r"tables?\b.*\b(never|unused|not used)", None, lambda g, _: _listed(g, "Table").join(_touched(g), "key", "left_anti"), "MATCH (t:Table) WHERE NOT (t)-[:HAS_COLUMN]->()<--(:Object) RETURN t"),
+    ("untouched_tables", "Which tables are never touched by any program unit?", r"tables?\b.*\b(never|unused|not used)", None, lambda g, _: _listed(g, "Table").join(big(_touched(g)), "key", "left_anti"), "MATCH (t:Table) WHERE NOT (t)-[:HAS_COLUMN]->()<--(:Object) RETURN t"),
     ("open_questions", "What open questions remain for the business?", r"open (questions?|matters?)|gaps?\b", None, lambda g, _: _listed(g, "Gap"), "MATCH (g:Gap) RETURN g"),
     ("blind_spots", "What can this graph NOT see?", r"\bnot see|blind|cannot see", None, lambda g, _: _listed(g, "BlindSpot"), "MATCH (b:BlindSpot) RETURN b"),
 )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import oracle
 from .code import Code
+from .cut import big
 
 _NUMBERS = ("NUMBER", "DECIMAL", "DEC", "NUMERIC")
 #: Fixed value: the form of a listed value in a comment.
@@ -60,7 +61,7 @@ def _columns(code: Code) -> DataFrame:
     notes = code.rows("comments").groupBy("table_name", F.col("column_name").alias("name")).agg(F.max("comment").alias("comment")).filter("name IS NOT NULL")
     said = F.filter(F.transform(F.split("remark", ","), lambda x: F.trim(x)), lambda x: x.rlike(_ENUM_TOKEN))
     all_said = (F.size(said) >= 2) & F.col("remark").isNotNull()
-    rows = code.rows("columns").join(listed, ["table_name", "name"], "left").join(notes, ["table_name", "name"], "left")
+    rows = code.rows("columns").join(big(listed), ["table_name", "name"], "left").join(big(notes), ["table_name", "name"], "left")
     return rows.select(
         "file_id", "table_name", "name", "position", "type", type_family(F.col("type")).alias("normalized_type"), spark_type(F.col("type")).alias("pyspark_type"), "nullable", "default", "is_virtual", "generation_expression", "is_identity", "identity_generation", "comment",
         F.when(F.col("v").isNotNull(), F.col("v")).when(all_said, said).alias("enum_values"), F.when(F.col("v").isNotNull(), "check_constraint").when(all_said, "comment_only").alias("enum_source"),
@@ -72,10 +73,10 @@ def inferred_relationships(code: Code) -> DataFrame:
     """Undeclared references: a column named and typed like another table's single-column key, outside its own key."""
     cols = code.rows("columns").select("table_name", "name", type_family(F.col("type")).alias("family"))
     keys = primary_keys(code)
-    single = keys.filter(F.size("primary_key") == 1).select(F.col("table_name").alias("to_table"), F.col("primary_key")[0].alias("name")).join(cols.select(F.col("table_name").alias("to_table"), "name", F.col("family").alias("to_family")), ["to_table", "name"])
+    single = keys.filter(F.size("primary_key") == 1).select(F.col("table_name").alias("to_table"), F.col("primary_key")[0].alias("name")).join(big(cols.select(F.col("table_name").alias("to_table"), "name", F.col("family").alias("to_family"))), ["to_table", "name"])
     own = keys.select("table_name", F.explode("primary_key").alias("name"))
     declared = code.rows("constraints").filter("kind = 'FOREIGN KEY'").select("table_name", F.explode("columns").alias("name"))
-    found = cols.join(own, ["table_name", "name"], "left_anti").join(declared, ["table_name", "name"], "left_anti").join(single, "name").filter("table_name <> to_table AND family = to_family")
+    found = cols.join(big(own), ["table_name", "name"], "left_anti").join(big(declared), ["table_name", "name"], "left_anti").join(big(single), "name").filter("table_name <> to_table AND family = to_family")
     return found.select(F.col("table_name").alias("from_table"), F.col("name").alias("from_column"), "to_table", F.lit("inferred").alias("relationship_type"), F.lit("medium").alias("confidence"), F.lit("name_match+type_compatible").alias("basis"))
 
 
@@ -86,7 +87,7 @@ def type_references(code: Code) -> DataFrame:
     whole = F.col("type").contains("%ROWTYPE")
     used = used.withColumn("table_name", F.when(whole, F.element_at("parts", -1)).otherwise(F.try_element_at("parts", F.lit(-2)))).withColumn("name", F.when(~whole, F.element_at("parts", -1)))
     known = code.rows("columns").select("table_name", "name").unionByName(code.rows("tables").select("table_name", F.lit(None).cast("string").alias("name"))).distinct().withColumn("resolved", F.lit(True))
-    found = used.alias("u").join(known.alias("k"), F.expr("u.table_name = k.table_name AND u.name <=> k.name"), "left")
+    found = used.alias("u").join(big(known.alias("k")), F.expr("u.table_name = k.table_name AND u.name <=> k.name"), "left")
     return found.select("u.file_id", "u.object_id", F.col("u.type").alias("reference"), F.coalesce("k.resolved", F.lit(False)).alias("resolved"))
 
 
@@ -118,13 +119,13 @@ def _column_access(code: Code) -> DataFrame:
     parts = [s.select("statement_id", F.explode(F.transform(c, F.upper)).alias("name"), F.lit(m).alias("mode")) for c, m in (("reads", "READ"), ("writes", "WRITE"))]
     named = parts[0].unionByName(parts[1]).distinct()
     tables = table_access(code).select("statement_id", "file_id", "object_id", "line", "table_name", (F.col("crud") != "R").alias("changes")).groupBy("statement_id", "file_id", "object_id", "line", "table_name").agg(F.max("changes").alias("changes"))
-    found = named.join(tables, "statement_id").filter("mode = 'READ' OR changes")
+    found = named.join(big(tables), "statement_id").filter("mode = 'READ' OR changes")
     return found.join(code.rows("columns").select("table_name", "name"), ["table_name", "name"])
 
 
 def column_catalogue(code: Code) -> DataFrame:
     used = column_access(code).groupBy("table_name", "name").agg(F.count(F.lit(1)).alias("usage_count"), F.sort_array(F.collect_set("object_id")).alias("used_by_objects"))
-    rows = columns(code).join(used, ["table_name", "name"], "left").fillna({"usage_count": 0})
+    rows = columns(code).join(big(used), ["table_name", "name"], "left").fillna({"usage_count": 0})
     return rows.select(F.concat_ws(".", "table_name", "name").alias("column_id"), "table_name", "name", "pyspark_type", F.col("comment").alias("description"), "usage_count", F.coalesce("used_by_objects", F.array().cast("array<string>")).alias("used_by_objects"))
 
 
