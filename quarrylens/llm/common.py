@@ -83,8 +83,8 @@ def hot_keys(counts: DataFrame, keys: list[str], n: str, total: int) -> DataFram
     spark = counts.sparkSession
     most = max(100, total // (4 * tasks_of(spark)))
     found = counts.filter(F.col(n) > most).select(*keys, F.ceil(F.col(n) / most).cast("int").alias("slices"))
-    rows = found.collect()
-    return spark.createDataFrame(rows, found.schema) if rows else None
+    rows = found.toArrow()  # read back as a local table, without a job of Python tasks
+    return spark.createDataFrame(rows) if rows.num_rows else None
 
 
 def hot_in(df: DataFrame, keys: list[str]) -> DataFrame | None:

@@ -12,8 +12,8 @@ Bands of the signature give buckets. Texts of one bucket are not paired with eac
 bucket's most central text, the similarity is computed on the exact multisets, and the classes are the connected
 components. What shares a bucket with the centre and isn't yet in its class is then held against the other classes of
 the bucket inside the join's condition, so that only true links leave the join and none is lost. One minus the similarity is a
-metric, so two texts whose similarities to the centre differ by more than one minus the threshold can't be linked: only what
-is left is compared exactly. These comparisons go in blocks of `block` by `block` texts.
+metric, so two texts whose similarities to the centre differ by more than one minus the threshold can't be linked, nor can two
+whose masks of 1,024 bits differ in more bits than their multisets may in shingles: only what is left is compared exactly. These comparisons go in blocks of `block` by `block` texts.
 
 Exact copies are one row (a text's print) before anything is joined. A bucket, centre, print or class that holds many rows
 is cut into slices (`split_join`), so no key has to fit in a task.
@@ -149,8 +149,19 @@ def _signer(p: NearDupParams):
     return run
 
 
+MASK = 16  # 64-bit words of a mask
+
+
+def masks(row: np.ndarray, code: np.ndarray, rows: int) -> pa.ListArray:
+    """For each row MASK words of 64 bits: a bit says whether an odd number of the row's codes falls on it."""
+    bit = (row.astype(np.int64) * MASK * 64) + (code % np.uint64(MASK * 64)).astype(np.int64)
+    odd = (np.bincount(bit, minlength=rows * MASK * 64) & 1).astype(np.uint8)
+    words = np.packbits(odd, bitorder="little").view("<i8")
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, (rows + 1) * MASK, MASK, dtype=np.int32)), pa.array(words))
+
+
 def _shingler(p: NearDupParams):
-    """The exact multiset of each text: sorted 64-bit codes, the k-th repeat of a shingle coded apart from the first."""
+    """The exact multiset of each text: sorted 64-bit codes, the k-th repeat of a shingle coded apart from the first; and its mask."""
 
     def run(batches):
         for batch in batches:
@@ -166,7 +177,7 @@ def _shingler(p: NearDupParams):
                 again = np.arange(len(row)) - np.repeat(first, np.diff(np.append(first, len(row))))
                 code = np.where(again > 0, mix64(code + again.astype(np.uint64) * _GOLD), code)
                 ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=hi - lo)))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array([x and x.hex() for x in _prints(words, part)], pa.string()), pa.ListArray.from_arrays(pa.array(ends), pa.array(code.view(np.int64)))], names=["fp", "bag"])
+                yield pa.RecordBatch.from_arrays([pa.array([x and x.hex() for x in _prints(words, part)], pa.string()), pa.ListArray.from_arrays(pa.array(ends), pa.array(code.view(np.int64))), masks(row, code, hi - lo)], names=["fp", "bag", "mask"])
 
     return run
 
@@ -177,6 +188,18 @@ def similarity(a, b):
     return both / (F.size(a) + F.size(b) - both)
 
 
+def may_reach(a: list, b: list, n_a, n_b, threshold: float):
+    """Whether multisets of n_a and n_b codes with masks a and b can be alike to the threshold.
+
+    A code that only one of them has turns one bit of its mask, so masks differ in at most as many bits as the multisets
+    differ in codes: what this leaves out is below the threshold.
+    """
+    apart = F.bit_count(a[0].bitwiseXOR(b[0]))
+    for x, y in zip(a[1:], b[1:], strict=True):
+        apart = apart + F.bit_count(x.bitwiseXOR(y))
+    return apart <= (n_a + n_b) * F.lit((1 - threshold) / (1 + threshold)) + 1e-6
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, label): the least node of each connected component of edges (a, b), for nodes that have an edge.
 
@@ -230,9 +253,9 @@ def _classes(docs: DataFrame, scratch: Scratch, p: NearDupParams) -> tuple[DataF
     again = texts.withColumn("key_id", _id("doc_id"))
     repeats = signed.filter("fp is not null").select(_id("doc_id").alias("key_id"), "tkey")
     again = split_join(again, ones, ["key_id", "tkey"], "left_semi", hot_in(repeats, ["key_id", "tkey"]), F.monotonically_increasing_id())
-    bags = scratch.table(again.select("text").mapInArrow(_shingler(p), "fp string, bag array<long>").dropDuplicates(["fp"]), "bags")
+    bags = scratch.table(again.select("text").mapInArrow(_shingler(p), "fp string, bag array<long>, mask array<long>").dropDuplicates(["fp"]), "bags")
 
-    ends = split_join(edges.join(bags, "fp"), bags.select(F.col("fp").alias("pivot"), F.col("bag").alias("pivot_bag")), ["pivot"], "inner", hot_in(edges, ["pivot"]), F.col("fp"))
+    ends = split_join(edges.join(bags.drop("mask"), "fp"), bags.select(F.col("fp").alias("pivot"), F.col("bag").alias("pivot_bag")), ["pivot"], "inner", hot_in(edges, ["pivot"]), F.col("fp"))
     near = scratch.table(ends.select("fp", "pivot", similarity(F.col("bag"), F.col("pivot_bag")).alias("s")), "near")
     scratch.drop("edges")
     first = components(near.filter(F.col("s") >= p.threshold).select(F.col("fp").alias("a"), F.col("pivot").alias("b")), scratch, "first")
@@ -251,11 +274,14 @@ def _classes(docs: DataFrame, scratch: Scratch, p: NearDupParams) -> tuple[DataF
         rest = scratch.table(rest, "rest")
         block = lambda n: F.pmod(F.xxhash64("fp"), F.col(n))
         each = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n).cast("bigint") - 1))
-        y = rest.filter("label <> top").join(bags, "fp").select("bucket", block("down").alias("i"), each("across").alias("j"), *[F.col(c).alias(f"a_{c}") for c in ("fp", "n", "label", "s", "bag")])
-        x = rest.join(bags, "fp").select("bucket", each("down").alias("i"), block("across").alias("j"), *[F.col(c).alias(f"b_{c}") for c in ("fp", "n", "label", "top", "s", "bag")])
-        fit = (F.col("a_label") != F.col("b_label")) & ((F.col("b_label") == F.col("b_top")) | (F.col("a_fp") < F.col("b_fp")))
-        fit &= F.abs(F.col("a_s") - F.col("b_s")) <= 1 - p.threshold + 1e-9
+        mask = lambda side: [F.col("mask")[k].alias(f"{side}_mask{k}") for k in range(MASK)]
+        y = rest.filter("label <> top").join(bags, "fp").select("bucket", block("down").alias("i"), each("across").alias("j"), *[F.col(c).alias(f"a_{c}") for c in ("fp", "n", "label", "s", "bag")], *mask("a"))
+        x = rest.join(bags, "fp").select("bucket", each("down").alias("i"), block("across").alias("j"), *[F.col(c).alias(f"b_{c}") for c in ("fp", "n", "label", "top", "s", "bag")], *mask("b"))
+        # In this order: what costs least and leaves out most comes first.
+        fit = F.abs(F.col("a_s") - F.col("b_s")) <= 1 - p.threshold + 1e-9
         fit &= F.least("a_n", "b_n") >= F.lit(p.threshold) * F.greatest("a_n", "b_n")
+        fit &= may_reach(*[[F.col(f"{side}_mask{k}") for k in range(MASK)] for side in "ab"], F.col("a_n"), F.col("b_n"), p.threshold)
+        fit &= (F.col("a_label") != F.col("b_label")) & ((F.col("b_label") == F.col("b_top")) | (F.col("a_fp") < F.col("b_fp")))
         fit &= similarity(F.col("a_bag"), F.col("b_bag")) >= p.threshold
         more = y.join(x, (y["bucket"] == x["bucket"]) & (y["i"] == x["i"]) & (y["j"] == x["j"]) & fit)
         more = scratch.table(more.select(F.col("a_label").alias("a"), F.col("b_label").alias("b")).distinct(), "more")
