@@ -17,16 +17,18 @@ INTERNAL = r"STMT_\d+|NESTED_BLOCK#\d+|__[0-9A-F]{8}|(?:IF|LOOP|CASE)#\d+"
 _TOKEN = r"(?is)'[^']*'|\bIS\s+NOT\s+NULL\b|\bIS\s+NULL\b|\bNOT\s+IN\b|[a-z_][\w$#]*(?:\.[a-z_][\w$#]*)*|:=|<=|>=|<>|!=|\^=|[<>=]|\s+|."
 
 
-def _written_out(words: Column) -> Column:
+def written_out(words: Column) -> Column:
+    """Abbreviations as whole words; words without any are looked at once only."""
+    out = words
     for short, long in ABBREVIATIONS.items():
-        words = F.regexp_replace(words, rf"\b{short}\b", long)
-    return words
+        out = F.regexp_replace(out, rf"\b{short}\b", long)
+    return F.when(words.rlike(rf"\b(?:{'|'.join(ABBREVIATIONS)})\b"), out).otherwise(words)
 
 
 def humanise(identifier: Column) -> Column:
     """`p_from_account` -> From Account; qualifiers and the prefixes of parameters, variables and exceptions go."""
     last = F.regexp_replace(F.lower(F.element_at(F.split(identifier, r"\."), -1)), "^(p|v|l|g|e|c|in|out)_(?=[a-z])", "")
-    return _written_out(F.initcap(F.trim(F.regexp_replace(last, "[_$#]+", " "))))
+    return written_out(F.initcap(F.trim(F.regexp_replace(last, "[_$#]+", " "))))
 
 
 def object_title(object_id: Column) -> Column:
