@@ -142,7 +142,7 @@ def transitions(code: Code) -> DataFrame:
     """(table_name, name, origin, target, inferred, statement_id): states that an UPDATE writes as a literal. Without such a target there is no transition; an origin is taken from the statement's WHERE or a controlling condition on that very column, else it is open."""
     s = code.rows("statements").filter("type = 'UPDATE'").select("statement_id", *_KEY, "scope_path", "text")
     known = states(code)
-    written = sc.column_access(code).filter("mode = 'WRITE'").select("statement_id", "table_name", "name").join(known.select("table_name", "name").distinct(), ["table_name", "name"])
+    written = sc.column_access(code).filter("mode = 'WRITE'").select("statement_id", "table_name", "name").join(big(known.select("table_name", "name").distinct()), ["table_name", "name"])
     w = written.join(big(s), "statement_id")
     literal = lambda text: F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"(?i)([\w.]+\s*=\s*'[^']*')"), 1), lambda x: F.struct(F.upper(F.regexp_extract(x, r"(\w+)\s*=", 1)).alias("c"), F.regexp_extract(x, "'([^']*)'", 1).alias("v"))), lambda x: F.regexp_replace(x["c"], "^[PVLG]_", "") == F.col("name"))
     w = w.withColumn("to", F.try_element_at(literal(F.regexp_extract("text", r"(?is)\bSET\b(.*?)(?:\bWHERE\b|$)", 1)), F.lit(1))["v"]).withColumn("from", F.try_element_at(literal(F.regexp_extract("text", r"(?is)\bWHERE\b(.*)", 1)), F.lit(1))["v"])
@@ -150,7 +150,7 @@ def transitions(code: Code) -> DataFrame:
     guards = above.join(big(code.rows("arms").filter("kind = 'IF' AND condition IS NOT NULL AND NOT upper(condition) RLIKE '\\\\bOR\\\\b'").select(*_KEY, "seq", "arm", "condition")), [*_KEY, "seq", "arm"])
     guards = guards.withColumn("g", F.try_element_at(literal(F.col("condition")), F.lit(1))["v"]).groupBy("statement_id", "name").agg(F.max("g").alias("guard"))
     w = w.filter("to IS NOT NULL").join(big(guards), ["statement_id", "name"], "left").withColumn("from", F.coalesce("from", "guard"))
-    w = w.join(known.withColumnRenamed("state", "to"), ["table_name", "name", "to"], "left_semi").join(known.select("table_name", "name", F.col("state").alias("from"), F.lit(True).alias("real")), ["table_name", "name", "from"], "left")
+    w = w.join(big(known.withColumnRenamed("state", "to")), ["table_name", "name", "to"], "left_semi").join(big(known.select("table_name", "name", F.col("state").alias("from"), F.lit(True).alias("real"))), ["table_name", "name", "from"], "left")
     return w.select("table_name", "name", F.when(F.col("real"), F.col("from")).alias("origin"), F.col("to").alias("target"), F.col("real").isNull().alias("inferred"), "statement_id")
 
 

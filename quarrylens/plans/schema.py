@@ -93,7 +93,7 @@ def type_references(code: Code) -> DataFrame:
 
 def sequence_usages(code: Code) -> DataFrame:
     used = code.rows("statements").select("statement_id", "file_id", "object_id", "line", F.explode(F.expr(r"regexp_extract_all(upper(text), '(\\w+)\\s*\\.\\s*NEXTVAL', 1)")).alias("sequence_name"))
-    return used.join(code.rows("sequences").select("sequence_name", F.lit(True).alias("declared")).distinct(), "sequence_name", "left").fillna({"declared": False})
+    return used.join(big(code.rows("sequences").select("sequence_name", F.lit(True).alias("declared")).distinct()), "sequence_name", "left").fillna({"declared": False})
 
 
 def table_access(code: Code) -> DataFrame:
@@ -101,12 +101,12 @@ def table_access(code: Code) -> DataFrame:
     used = code.rows("statements").select("statement_id", "file_id", "object_id", "line", F.explode("access").alias("a")).select("statement_id", "file_id", "object_id", "line", F.upper("a.table_name").alias("t"), F.col("a.crud").alias("crud"))
     syn = code.rows("synonyms").groupBy(F.col("synonym_name").alias("t")).agg(F.max("target_object").alias("target"))
     views = code.rows("views").groupBy(F.col("view_name").alias("v")).agg(F.max("references_tables").alias("below"))
-    named = used.join(syn, "t", "left").withColumn("v", F.coalesce("target", "t")).join(views, "v", "left")
+    named = used.join(big(syn), "t", "left").withColumn("v", F.coalesce("target", "t")).join(big(views), "v", "left")
     return named.select("statement_id", "file_id", "object_id", "line", F.explode(F.coalesce("below", F.array("v"))).alias("table_name"), "crud")
 
 
 def unknown_tables(code: Code) -> DataFrame:
-    return table_access(code).join(code.rows("tables").select("table_name"), "table_name", "left_anti")
+    return table_access(code).join(big(code.rows("tables").select("table_name")), "table_name", "left_anti")
 
 
 def column_access(code: Code) -> DataFrame:
@@ -120,7 +120,7 @@ def _column_access(code: Code) -> DataFrame:
     named = parts[0].unionByName(parts[1]).distinct()
     tables = table_access(code).select("statement_id", "file_id", "object_id", "line", "table_name", (F.col("crud") != "R").alias("changes")).groupBy("statement_id", "file_id", "object_id", "line", "table_name").agg(F.max("changes").alias("changes"))
     found = named.join(big(tables), "statement_id").filter("mode = 'READ' OR changes")
-    return found.join(code.rows("columns").select("table_name", "name"), ["table_name", "name"])
+    return found.join(big(code.rows("columns").select("table_name", "name")), ["table_name", "name"])
 
 
 def column_catalogue(code: Code) -> DataFrame:

@@ -1,6 +1,6 @@
 """What grows with the input isn't sent through the driver, however small its files make Spark think it is."""
 
-from quarrylens.plans import code as c, graph as gr, rules as ru
+from quarrylens.plans import code as c, diagrams as dg, graph as gr, rules as ru, schema as sc
 from quarrylens.plans.code import Code
 
 ROUTINE = """CREATE PROCEDURE app.p IS
@@ -43,3 +43,10 @@ def test_nesting_needs_no_join(spark):
     for r in s.values():
         above = [s[r.object_id, a].type for a in r.ancestors]
         assert (r.nesting, r.in_loop, r.in_handler) == (sum(t in c.NESTING for t in above), "LOOP" in above, "EXCEPTION_HANDLER" in above)
+
+
+def test_no_side_found_by_name_is_broadcast(spark):
+    code = Code(spark.createDataFrame([("a.sql", ROUTINE), ("b.sql", "CREATE TABLE t (a NUMBER(9));")], "file string, text string"))
+    found = {"access": sc.table_access(code), "columns": sc._column_access(code), "unknown": sc.unknown_tables(code), "sequences": sc.sequence_usages(code), "moves": dg.transitions(code)}
+    assert [name for name, df in found.items() if "BroadcastHashJoin" in plan_of(df)] == []
+    assert {r.name for r in found["columns"].collect()} == {"A"} and found["unknown"].count() == 0
