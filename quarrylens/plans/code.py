@@ -38,10 +38,10 @@ class Code:
     def of(cls, spark: SparkSession, root: str, exclude: tuple[str, ...] = inventory.EXCLUDED) -> Code:
         return cls(inventory.discover(spark, root, exclude))
 
-    def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        """A derived table that several analyses use: written at its first use."""
+    def once(self, name: str, make: Callable[[], DataFrame], write: bool = True) -> DataFrame:
+        """A derived table that several analyses use: written at its first use, unless it costs no more than reading it again."""
         if name not in self._rows:
-            self._rows[name] = settled(make())
+            self._rows[name] = settled(make()) if write else make()
         return self._rows[name]
 
     def rows(self, name: str) -> DataFrame:
@@ -92,21 +92,36 @@ def _calls(code: Code) -> DataFrame:
 
 
 def control_flow(code: Code) -> DataFrame:
-    return code.once("control_flow*", lambda: _control_flow(code))
+    return code.once("control_flow*", lambda: _control_flow(code), write=False)
+
+
+def entry_label(scope: Column) -> Column:
+    """What the way into a scope is called; a plain block has no condition."""
+    arm = F.regexp_extract(scope, r"\.([A-Z]+)", 1)
+    return (
+        F.when(arm == "THEN", "true").when(arm == "ELSIF", "elsif").when(arm == "ELSE", "false").when(scope.startswith("LOOP"), "loop body").when(scope.startswith("EXCEPTION"), F.concat(F.lit("WHEN("), F.regexp_extract(scope, r"\.(.*)", 1), F.lit(")")))
+        .when(arm == "WHEN", F.concat(F.lit("WHEN("), F.regexp_extract(scope, r"WHEN(\d+)", 1), F.lit(")"))).otherwise("block")
+    )
+
+
+def handler_label(names: Column) -> Column:
+    return F.concat(F.lit("WHEN("), F.array_join(names, " OR "), F.lit(")"))
 
 
 def _control_flow(code: Code) -> DataFrame:
-    """Edges (file_id, object_id, source, target, type, branch); `*` as a source stands for the whole block of a handler."""
-    s = code.rows("statements").select("file_id", "object_id", "seq", "parent", "scope", "type")
-    inside = Window.partitionBy("file_id", "object_id", "parent", "scope").orderBy("seq")
-    main = s.filter("type <> 'EXCEPTION_HANDLER'").withColumn("next", F.lead("seq").over(inside)).withColumn("place", F.row_number().over(inside))
-    step = main.filter("next IS NOT NULL").select("file_id", "object_id", statement_id(F.col("seq")).alias("source"), statement_id(F.col("next")).alias("target"), F.lit("SEQUENCE").alias("type"), F.lit(None).cast("string").alias("branch"))
-    arm = F.regexp_extract("scope", r"\.([A-Z]+)", 1)
-    label = F.when(arm == "THEN", "true").when(arm == "ELSIF", "elsif").when(arm == "ELSE", "false").when(F.col("scope").startswith("LOOP"), "loop body").when(F.col("scope").startswith("EXCEPTION"), F.concat(F.lit("WHEN("), F.regexp_extract("scope", r"\.(.*)", 1), F.lit(")"))).when(arm == "WHEN", F.concat(F.lit("WHEN("), F.regexp_extract("scope", r"WHEN(\d+)", 1), F.lit(")"))).otherwise("block")
-    entry = main.filter("place = 1 AND parent IS NOT NULL").select("file_id", "object_id", statement_id(F.col("parent")).alias("source"), statement_id(F.col("seq")).alias("target"), F.lit("BRANCH_ENTRY").alias("type"), label.alias("branch"))
-    back = main.filter("next IS NULL AND scope LIKE 'LOOP%'").select("file_id", "object_id", statement_id(F.col("seq")).alias("source"), statement_id(F.col("parent")).alias("target"), F.lit("LOOP_BACK_EDGE").alias("type"), F.lit(None).cast("string").alias("branch"))
-    caught = code.rows("statements").filter("type = 'EXCEPTION_HANDLER'").select("file_id", "object_id", F.lit("*").alias("source"), F.col("statement_id").alias("target"), F.lit("EXCEPTION_EDGE").alias("type"), F.concat(F.lit("WHEN("), F.array_join("handler_for", " OR "), F.lit(")")).alias("branch"))
-    return step.unionByName(entry).unionByName(back).unionByName(caught)
+    """Edges (file_id, object_id, source, target, type, branch); `*` as a source stands for the whole block of a handler.
+
+    A statement's row names the sibling after it and tells whether it opens its scope, so each row gives its own edges.
+    """
+    s = code.rows("statements")
+    handler, at = F.col("type") == "EXCEPTION_HANDLER", statement_id
+    edge = lambda when, source, target, kind, branch=None: F.when(when, F.struct(source.alias("source"), target.alias("target"), F.lit(kind).alias("type"), (F.lit(None).cast("string") if branch is None else branch).alias("branch")))
+    own, above = F.col("statement_id"), at(F.col("parent"))
+    edges = F.array(
+        edge(F.col("next").isNotNull(), own, at(F.col("next")), "SEQUENCE"), edge(F.col("opens") & F.col("parent").isNotNull(), above, own, "BRANCH_ENTRY", entry_label(F.col("scope"))),
+        edge(F.col("next").isNull() & ~handler & F.col("scope").startswith("LOOP"), own, above, "LOOP_BACK_EDGE"), edge(handler, F.lit("*"), own, "EXCEPTION_EDGE", handler_label(F.col("handler_for"))),
+    )
+    return s.select("file_id", "object_id", F.explode(F.array_compact(edges)).alias("e")).select("file_id", "object_id", "e.*")
 
 
 # -- metrics ---------------------------------------------------------------------------------------------------------------

@@ -74,10 +74,10 @@ class Artefacts(Code):
             self._rows[name] = self._of(stage, _table(name), lambda: self.none.rows(name))
         return self._rows[name]
 
-    def once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    def once(self, name: str, make: Callable[[], DataFrame], write: bool = True) -> DataFrame:
         stage = next((s for s, kinds in SHARED.items() if name in kinds), None)
         if stage is None or (stage == "rules" and "rules" not in self.versions):
-            return super().once(name, make)
+            return super().once(name, make, write)
         if name not in self._rows:
             self._rows[name] = self._of(stage, _table(name), lambda: SHARED[stage][name](self.none))
         return self._rows[name]
