@@ -14,6 +14,8 @@ OPERATORS = {"<=": "is at most", ">=": "is at least", "<>": "is not", "!=": "is
 PROVENANCE = (r"\s*\b(?:Implemented|Defined|Declared)\s+in\s+\S+,\s*line\s+\d+\.?", r"\s*\([A-Z]{3,6}-[^()]*,\s*line\s+\d+\)")
 #: What must not reach a reader: statement numbers, nested scopes, file prints.
 INTERNAL = r"STMT_\d+|NESTED_BLOCK#\d+|__[0-9A-F]{8}|(?:IF|LOOP|CASE)#\d+"
+#: Quoted literals and names as they stand (1), or a name after its prefix (2).
+_PREFIXED = r"(?is)('[^']*'|(?![pvlge]_)[a-z_][\w$#]*(?:\.[a-z_][\w$#]*)*)|[pvlge]_([\w$#]*(?:\.[a-z_][\w$#]*)*)"
 _TOKEN = r"(?is)'[^']*'|\bIS\s+NOT\s+NULL\b|\bIS\s+NULL\b|\bNOT\s+IN\b|[a-z_][\w$#]*(?:\.[a-z_][\w$#]*)*|:=|<=|>=|<>|!=|\^=|[<>=]|\s+|."
 
 
@@ -33,7 +35,11 @@ def humanise(identifier: Column) -> Column:
 
 def object_title(object_id: Column) -> Column:
     """`PROC-.SP_TRANSFER_FUNDS` -> Transfer Funds."""
-    return humanise(F.regexp_replace(F.regexp_extract(object_id, r"([^.:]+)$", 1), "(?i)^(sp|fn|pkg|prc|trg|vw)_", ""))
+    return humanise(title_part(object_id))
+
+
+def title_part(object_id: Column) -> Column:
+    return F.regexp_replace(F.regexp_extract(object_id, r"([^.:]+)$", 1), "(?i)^(sp|fn|pkg|prc|trg|vw)_", "")
 
 
 def _tokens(text: Column, word) -> Column:
@@ -67,13 +73,14 @@ def unwrapped(text: Column) -> Column:
     inner = F.filter(F.split(F.substring(bare, F.lit(2), F.length(bare) - 2), ""), lambda c: c.isin("(", ")"))
     depth = F.aggregate(inner, F.struct(F.lit(0).alias("d"), F.lit(0).alias("low")), lambda a, c: F.struct((a["d"] + F.when(c == "(", 1).otherwise(-1)).alias("d"), F.least(a["low"], a["d"] + F.when(c == "(", 1).otherwise(-1)).alias("low")))
     whole = bare.startswith("(") & bare.endswith(")") & (depth["d"] == 0) & (depth["low"] == 0)
-    return F.when(whole, F.trim(F.substring(text, F.lit(2), F.length(text) - 2))).otherwise(text)
+    # Most texts have no such pair, and for these nothing is counted.
+    return F.when(text.startswith("(") & text.endswith(")") & whole, F.trim(F.substring(text, F.lit(2), F.length(text) - 2))).otherwise(text)
 
 
 def short_condition(condition: Column) -> Column:
     """A condition for a figure: one line, without the enclosing pair and the variables' prefixes."""
     flat = unwrapped(F.trim(F.regexp_replace(condition, r"\s+", " ")))
-    return _tokens(flat, lambda t: F.when(_is_name(t), F.regexp_replace(t, r"(?i)^(p|v|l|g|e)_", "")).otherwise(t))
+    return F.regexp_replace(flat, _PREFIXED, "$1$2")
 
 
 def humanise_description(text: Column) -> Column:

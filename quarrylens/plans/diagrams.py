@@ -6,7 +6,7 @@ for each object and table pair.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -41,27 +41,48 @@ def rules_in_span(spans: DataFrame, rules: DataFrame) -> DataFrame:
     return near.groupBy("id").agg(F.min(F.struct((F.col("at") != F.col("first")).alias("later"), "at", (-F.col("signal_strength")).alias("weak"), "rule_id", "condition")).alias("r")).select("id", "r.rule_id", "r.condition")
 
 
+def _rules_of_objects(rules: DataFrame) -> DataFrame:
+    """A row for each object with its rules, which its source text bounds."""
+    usual = F.col("kind").isin("conditional_branch", "named_exception", "case_branch")
+    r = rules.filter("line IS NOT NULL AND NOT kind LIKE 'ddl%'").select(*_KEY, F.struct(F.col("line").alias("at"), (~usual).alias("odd"), (-F.col("signal_strength")).alias("weak"), "rule_id", "condition").alias("r"))
+    return r.groupBy(*_KEY).agg(F.collect_list("r").alias("rules"))
+
+
+def _plain(code: Code) -> DataFrame:
+    """Statements as nodes without words."""
+    return code.rows("statements").select(*_KEY, "statement_id", "seq", "parent", "scope", "line", "end_line", kind_of(F.col("type")).alias("kind"))
+
+
 def labelled(code: Code, rules: DataFrame) -> DataFrame:
-    """Each statement as a node: kind, label, rule and tier (1 a rule's condition, 2 what the statement says, 3 its line). Only decisions take a rule's words."""
-    s = code.rows("statements").withColumn("node_kind", kind_of(F.col("type")))
-    spans = s.filter("node_kind = 'DECISION'").select(*_KEY, F.col("statement_id").alias("id"), F.col("line").alias("first"), F.col("end_line").alias("last"))
-    found = rules_in_span(spans, rules).select(F.col("id").alias("statement_id"), "rule_id", F.col("condition").alias("rule_condition"))
-    s = s.join(big(found), "statement_id", "left")
-    ask = lambda x: F.concat(la.short_condition(x), F.lit("?"))
+    """Each statement as a node: kind, label, rule and tier (1 a rule's condition, 2 what the statement says, 3 its line), the name of the way into its scope and the rule at the head of its arm. Only decisions take a rule's words.
+
+    Each step's columns are named before the next step uses them, so that no text is worked out twice.
+    """
+    s = code.rows("statements").withColumn("node_kind", kind_of(F.col("type"))).withColumn("branch", F.when(F.col("type") == "EXCEPTION_HANDLER", c.handler_label(F.col("handler_for"))).otherwise(c.entry_label(F.col("scope"))))
+    ask = lambda x: F.concat(x, F.lit("?"))
     table = F.upper(F.coalesce(F.try_element_at(F.filter("access", lambda a: a["crud"] != "R"), F.lit(1))["table_name"], F.try_element_at("access", F.lit(1))["table_name"]))
     verb = F.when(F.col("type") == "SELECT_INTO", "Read").otherwise(F.initcap("type"))
-    target = la.humanise(F.try_element_at("targets", F.lit(1)))
+    # One expression for each way of wording, over what it words: a condition, or an identifier.
+    turn = F.when(F.col("node_kind") == "DECISION", F.col("condition")).when(F.col("type") == "LOOP", F.regexp_extract("text", r"(?is)^\s*(?:FOR|WHILE)\s+(.*?)\s+LOOP\b", 1))
+    name = F.when(F.col("type") == "CALL", la.title_part(F.col("call_target"))).when(F.col("type") == "ASSIGNMENT", F.try_element_at("targets", F.lit(1))).when(F.col("type") == "RAISE", F.regexp_extract("text", r"(?i)^RAISE\s+([\w.]+)", 1))
+    s = s.withColumns({"turn": turn, "thing": name}).withColumn("turn", la.short_condition(F.col("turn"))).withColumn("thing", la.humanise(F.col("thing")))
     said = (
-        F.when(F.col("node_kind") == "DECISION", ask(F.col("condition"))).when(F.col("type") == "EXCEPTION_HANDLER", F.concat(F.lit("On error: "), F.array_join("handler_for", " or "))).when(F.col("node_kind") == "DATA", F.concat_ws(" ", verb, table))
-        .when(F.col("type") == "CALL", F.concat(F.lit("Call "), la.object_title(F.col("call_target")))).when(F.col("type") == "ASSIGNMENT", F.concat(F.lit("Set "), target)).when(F.col("type") == "LOOP", F.concat(F.lit("Repeat: "), la.short_condition(F.regexp_extract("text", r"(?is)^\s*(?:FOR|WHILE)\s+(.*?)\s+LOOP\b", 1))))
-        .when(F.col("type") == "RAISE", F.trim(F.concat(F.lit("Raise "), la.humanise(F.regexp_extract("text", r"(?i)^RAISE\s+([\w.]+)", 1))))).when(F.col("type").isin("COMMIT", "ROLLBACK", "SAVEPOINT", "RETURN", "EXIT"), F.initcap("type"))
+        F.when(F.col("node_kind") == "DECISION", ask(F.col("turn"))).when(F.col("type") == "EXCEPTION_HANDLER", F.concat(F.lit("On error: "), F.array_join("handler_for", " or "))).when(F.col("node_kind") == "DATA", F.concat_ws(" ", verb, table))
+        .when(F.col("type") == "CALL", F.concat(F.lit("Call "), "thing")).when(F.col("type") == "ASSIGNMENT", F.concat(F.lit("Set "), "thing")).when(F.col("type") == "LOOP", F.concat(F.lit("Repeat: "), "turn"))
+        .when(F.col("type") == "RAISE", F.trim(F.concat(F.lit("Raise "), "thing"))).when(F.col("type").isin("COMMIT", "ROLLBACK", "SAVEPOINT", "RETURN", "EXIT"), F.initcap("type"))
     )
-    said = F.when(F.length(F.trim(F.regexp_replace(said, "^Repeat: $", ""))) > 0, said)
-    ruled = F.when(F.col("node_kind") == "DECISION", ask(F.col("rule_condition")))
-    fallback = F.concat(F.when(F.col("node_kind") == "DECISION", "Decision").otherwise("Step"), F.lit(" (line "), F.col("line").cast("string"), F.lit(")"))
-    label = F.regexp_replace(F.coalesce(ruled, said, fallback), la.INTERNAL, "")
-    tier = F.when(ruled.isNotNull(), 1).when(said.isNotNull(), 2).otherwise(3)
-    return s.select(*_KEY, "statement_id", "seq", "parent", "scope", "line", "end_line", F.col("node_kind").alias("kind"), label.alias("label"), "rule_id", tier.alias("tier"))
+    s = s.select(*_KEY, "statement_id", "seq", "parent", "scope", "line", "end_line", F.col("node_kind").alias("kind"), "branch", "arm_line", said.alias("said"))
+    s = s.withColumn("said", F.when((F.trim("said") != "") & (F.col("said") != "Repeat: "), F.col("said"))).join(big(_rules_of_objects(rules)), _KEY, "left")
+    decision = F.col("kind") == "DECISION"
+    inside = F.filter("rules", lambda r: r["at"].between(F.col("line"), F.col("end_line")))
+    first = F.array_min(F.transform(inside, lambda r: F.struct((r["at"] != F.col("line")).alias("later"), r["at"], r["weak"], r["rule_id"].alias("rule_id"), r["condition"].alias("condition"))))
+    of_arm = F.array_min(F.transform(F.filter("rules", lambda r: r["at"] == F.col("arm_line")), lambda r: F.struct(r["odd"], r["weak"], r["rule_id"].alias("rule_id"))))["rule_id"]
+    s = s.withColumns({"r": F.when(decision, first), "arm_rule": F.when(F.col("arm_line").isNotNull(), of_arm)}).drop("rules")
+    s = s.withColumn("ruled", ask(la.short_condition(F.col("r.condition"))))
+    fallback = F.concat(F.when(decision, "Decision").otherwise("Step"), F.lit(" (line "), F.col("line").cast("string"), F.lit(")"))
+    label = F.regexp_replace(F.coalesce("ruled", "said", fallback), la.INTERNAL, "")
+    tier = F.when(F.col("ruled").isNotNull(), 1).when(F.col("said").isNotNull(), 2).otherwise(3)
+    return s.select(*_KEY, "statement_id", "seq", "parent", "scope", "line", "end_line", "kind", label.alias("label"), F.col("r.rule_id").alias("rule_id"), tier.alias("tier"), "branch", "arm_rule")
 
 
 def collapse_runs(nodes: DataFrame, budget: int = NODE_BUDGET) -> DataFrame:
@@ -81,43 +102,63 @@ def branch_label(branch: Column) -> Column:
     return F.when(branch.isNull() | (branch == "block") | branch.rlike(la.INTERNAL), "").otherwise(bare)
 
 
-@dataclass
 class Flows:
-    """nodes(file_id, object_id, node, kind, label, rule_id, tier, line, members), edges(file_id, object_id, source, target, type, label, rule_id), report(file_id, object_id, nodes, statements, collapsed, oversize)."""
-
-    nodes: DataFrame
-    edges: DataFrame
-    report: DataFrame
-    budget: int
+    """The process flow of every object, each table made when it is asked for: nodes(file_id, object_id, node, kind, label, rule_id, tier, line, members), edges(file_id, object_id, source, target, type, label, rule_id), report(file_id, object_id, nodes, statements, collapsed, oversize)."""
+
+    def __init__(self, code: Code, rules: DataFrame, budget: int):
+        self.code, self.rules, self.budget = code, rules, budget
+
+    @cached_property
+    def made(self) -> DataFrame:
+        """A row for each node that stands for statements, with its number, those of its parent and of the node before it. One shuffle by object serves all steps."""
+        marked = collapse_runs(labelled(self.code, self.rules), self.budget)
+        own = marked.groupBy(*_KEY, F.col("head").alias("statement_id")).agg(F.min(F.struct("seq", "kind", "label", "rule_id", "tier", "line", "parent", "scope", "branch", "arm_rule")).alias("n"), F.max("end_line").alias("end_line"), F.count(F.lit(1)).cast("int").alias("members"))
+        merged = F.col("members") > 1
+        run = F.concat(F.col("members").cast("string"), F.lit(" steps (lines "), F.col("n.line").cast("string"), F.lit(" to "), F.col("end_line").cast("string"), F.lit(")"))
+        own = own.select(*_KEY, "statement_id", "members", F.when(merged, run).otherwise(F.col("n.label")).alias("label"), F.when(merged, 2).otherwise(F.col("n.tier")).alias("tier"), *[F.col(f"n.{x}").alias(x) for x in ("seq", "kind", "rule_id", "line", "parent", "scope", "branch", "arm_rule")])
+        error = F.col("kind") == "ERROR"
+        place = F.row_number().over(Window.partitionBy(*_KEY).orderBy("line", "seq", "statement_id"))
+        own = own.withColumn("caught", F.max(error).over(Window.partitionBy(*_KEY))).withColumn("place", place).withColumn("number", F.col("place") + 1 + F.col("caught").cast("int"))
+        beside = Window.partitionBy(*_KEY, "parent", "scope", error).orderBy("seq")
+        own = own.withColumn("before", F.lag("number").over(beside)).withColumn("closes", F.lead("number").over(beside).isNull())
+        # A node that holds others is a member of its own family too, where they learn its number.
+        family = F.when(F.col("kind").isin("DECISION", "LOOP", "ERROR", "GROUP"), F.array(F.struct(F.col("parent").alias("of"), F.lit(False).alias("head")), F.struct(F.col("seq").alias("of"), F.lit(True).alias("head")))).otherwise(F.array(F.struct(F.col("parent").alias("of"), F.lit(False).alias("head"))))
+        own = own.withColumn("family", F.explode(family)).withColumn("above", F.max(F.when(F.col("family.head"), F.col("number"))).over(Window.partitionBy(*_KEY, "family.of")))
+        return settled(own.filter("NOT family.head").drop("family"))
+
+    @cached_property
+    def nodes(self) -> DataFrame:
+        cols = (*_KEY, "statement_id", "kind", "label", "rule_id", "tier", "line", "members", "node")
+        node = lambda n: F.concat(F.lit("N"), n.cast("string")).alias("node")
+        own = self.made.withColumn("node", node(F.col("number"))).select(*cols)
+        extra = lambda rows, sid, kind, label, n: rows.select(*_KEY, F.lit(sid).alias("statement_id"), F.lit(kind).alias("kind"), F.lit(label).alias("label"), F.lit(None).cast("string").alias("rule_id"), F.lit(2).alias("tier"), F.lit(0).alias("line"), F.lit(1).alias("members"), node(F.lit(n)))
+        one = self.made.filter("place = 1")
+        return own.unionByName(extra(one, "START", "TERMINAL", "Start", 1)).unionByName(extra(one.filter("caught"), "*", "ERROR", "Any error", 2))
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        edge = lambda when, source, target, kind, label=None, rule=None: F.when(when, F.struct(source.alias("source"), target.alias("target"), kind.alias("type"), (F.lit("") if label is None else label).alias("label"), (F.lit(None).cast("string") if rule is None else rule).alias("rule_id")))
+        error, own, above, scope = F.col("kind") == "ERROR", F.col("number"), F.col("above"), F.col("scope")
+        way = F.when(scope.rlike("^(IF|CASE)#"), "BRANCH").when(scope.startswith("EXCEPTION#"), "EXCEPTION").when(scope.startswith("LOOP#"), "LOOP_ENTRY").otherwise("FLOW")
+        opens, inner = ~error & F.col("before").isNull(), F.col("parent").isNotNull()
+        edges = F.array(
+            edge(~error & F.col("before").isNotNull(), F.col("before"), own, F.lit("FLOW")), edge(opens & inner & above.isNotNull(), above, own, way, branch_label(F.col("branch")), F.when(way == "BRANCH", F.col("arm_rule"))),
+            edge(~error & F.col("closes") & scope.startswith("LOOP") & above.isNotNull(), own, above, F.lit("LOOP_BACK")), edge(error, F.lit(2), own, F.lit("EXCEPTION"), branch_label(F.col("branch"))), edge(opens & ~inner, F.lit(1), own, F.lit("FLOW")),
+        )
+        node = lambda n: F.concat(F.lit("N"), F.col(n).cast("string")).alias(n.split(".")[1])
+        return self.made.select(*_KEY, F.explode(F.array_compact(edges)).alias("e")).select(*_KEY, node("e.source"), node("e.target"), "e.type", "e.label", "e.rule_id")
+
+    @cached_property
+    def report(self) -> DataFrame:
+        """Counts need no words, no rules and no edges."""
+        marked, head = collapse_runs(_plain(self.code), self.budget), F.col("head") == F.col("statement_id")
+        per = marked.groupBy(*_KEY).agg((F.count_if(head) + 1 + F.max((F.col("kind") == "ERROR").cast("int"))).cast("int").alias("nodes"), F.count(F.lit(1)).cast("int").alias("statements"), F.max(~head).alias("collapsed"))
+        return per.withColumn("oversize", F.col("nodes") > self.budget)
 
 
 def flows(code: Code, rules: DataFrame, budget: int = NODE_BUDGET) -> Flows:
     """The process flow of every object. An object over the budget after merging is declared oversize, never cut."""
-    marked = settled(collapse_runs(labelled(code, rules), budget))
-    own = marked.groupBy(*_KEY, "head").agg(F.min(F.struct("seq", "kind", "label", "rule_id", "tier", "line")).alias("n"), F.max("end_line").alias("end_line"), F.count(F.lit(1)).cast("int").alias("members"))
-    run = F.concat(F.col("members").cast("string"), F.lit(" steps (lines "), F.col("n.line").cast("string"), F.lit(" to "), F.col("end_line").cast("string"), F.lit(")"))
-    own = own.select(*_KEY, F.col("head").alias("statement_id"), F.col("n.kind").alias("kind"), F.when(F.col("members") > 1, run).otherwise(F.col("n.label")).alias("label"), F.col("n.rule_id").alias("rule_id"), F.when(F.col("members") > 1, 2).otherwise(F.col("n.tier")).alias("tier"), F.col("n.line").alias("line"), "members", F.col("n.seq").alias("seq"))
-    objects = marked.select(*_KEY).distinct()
-    extra = objects.select(*_KEY, F.lit("START").alias("statement_id"), F.lit("TERMINAL").alias("kind"), F.lit("Start").alias("label"), F.lit(None).cast("string").alias("rule_id"), F.lit(2).alias("tier"), F.lit(0).alias("line"), F.lit(1).alias("members"), F.lit(-1).alias("seq"))
-    caught = marked.filter("kind = 'ERROR'").select(*_KEY).distinct()
-    extra = extra.unionByName(extra.drop("statement_id", "label", "kind", "seq").join(big(caught), _KEY, "left_semi").select("*", F.lit("*").alias("statement_id"), F.lit("Any error").alias("label"), F.lit("ERROR").alias("kind"), F.lit(0).alias("seq")))
-    ordered = Window.partitionBy(*_KEY).orderBy("line", "seq", "statement_id")
-    nodes = settled(own.unionByName(extra).withColumn("node", F.concat(F.lit("N"), F.row_number().over(ordered).cast("string"))).drop("seq"))
-
-    place = marked.select("statement_id", "head", "kind", "scope", "seq", "parent")
-    flow = c.control_flow(code).join(big(place.select(F.col("statement_id").alias("source"), F.col("head").alias("a"), F.col("kind").alias("a_kind"))), "source", "left").join(big(place.select(F.col("statement_id").alias("target"), F.col("head").alias("b"), F.regexp_extract("scope", r"\.(.*)$", 1).alias("arm"), F.col("parent").alias("seq"))), "target")
-    by_arm = code.rows("arms").filter("kind IN ('IF', 'CASE')").select(*_KEY, "seq", "arm", F.col("line").alias("at"))
-    at_line = rules.filter("NOT kind LIKE 'ddl%'").groupBy(*_KEY, F.col("line").alias("at")).agg(F.min_by("rule_id", F.struct((~F.col("kind").isin("conditional_branch", "named_exception", "case_branch")).alias("o"), (-F.col("signal_strength")).alias("w"), "rule_id")).alias("rule_id"))
-    branch = F.when(F.col("type") == "BRANCH_ENTRY", F.when(F.col("a_kind") == "DECISION", "BRANCH").when(F.col("a_kind") == "ERROR", "EXCEPTION").when(F.col("a_kind") == "LOOP", "LOOP_ENTRY").otherwise("FLOW"))
-    typed = flow.withColumn("edge_type", F.coalesce(branch, F.when(F.col("type") == "EXCEPTION_EDGE", "EXCEPTION").when(F.col("type") == "LOOP_BACK_EDGE", "LOOP_BACK").otherwise("FLOW")))
-    typed = typed.join(big(by_arm), [*_KEY, "seq", "arm"], "left").join(big(at_line), [*_KEY, "at"], "left")
-    typed = typed.select(*_KEY, F.coalesce("a", "source").alias("a"), "b", F.col("edge_type").alias("type"), branch_label(F.col("branch")).alias("label"), F.when(F.col("edge_type") == "BRANCH", F.col("rule_id")).alias("rule_id"))
-    opening = marked.filter("parent IS NULL AND kind <> 'ERROR'").groupBy(*_KEY).agg(F.min_by("head", "seq").alias("b")).select(*_KEY, F.lit("START").alias("a"), "b", F.lit("FLOW").alias("type"), F.lit("").alias("label"), F.lit(None).cast("string").alias("rule_id"))
-    typed = typed.unionByName(opening).filter("a <> b OR type = 'LOOP_BACK'").groupBy(*_KEY, "a", "b", "type", "label").agg(F.min("rule_id").alias("rule_id"))
-    ids = nodes.select(*_KEY, "statement_id", "node")
-    edges = typed.join(big(ids.select(*_KEY, F.col("statement_id").alias("a"), F.col("node").alias("source"))), [*_KEY, "a"]).join(big(ids.select(*_KEY, F.col("statement_id").alias("b"), F.col("node").alias("target"))), [*_KEY, "b"])
-    report = nodes.groupBy(*_KEY).agg(F.count(F.lit(1)).cast("int").alias("nodes"), F.sum(F.when(F.col("statement_id").isin("START", "*"), 0).otherwise(F.col("members"))).cast("int").alias("statements"), F.max(F.col("members") > 1).alias("collapsed"))
-    return Flows(nodes, settled(edges.select(*_KEY, "source", "target", "type", "label", "rule_id")), report.withColumn("oversize", F.col("nodes") > budget), budget)
+    return Flows(code, rules, budget)
 
 
 def flow_text(f: Flows) -> DataFrame:

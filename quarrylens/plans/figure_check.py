@@ -1,16 +1,15 @@
 """A check of figures as they are written: every line of a text is read as a head, a node, an edge or a state, and what can't be is a fault.
 
-Lines are rows, so a figure of any size is checked by many tasks; ends of edges are joined with the nodes of the same figure.
+Lines are rows, so a figure of any size is checked by many tasks; ends of edges meet the nodes of the same figure.
 """
 
 from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import language as la
-from .cut import big
 
 HEADS = ("flowchart TD", "stateDiagram-v2")
 #: A flow's node: a name and a quoted label in one of the shapes.
@@ -43,17 +42,16 @@ def read(texts: DataFrame, keys: list[str], text: str = "mermaid") -> DataFrame:
 def faults(texts: DataFrame, keys: list[str], text: str = "mermaid") -> DataFrame:
     """keys, number (of the line, from 0), fault. A figure without any is fit to be written."""
     rows = read(texts, keys, text)
-    at = lambda df, fault: df.select(*keys, "number", F.lit(fault).alias("fault"))
-    named = rows.filter("symbol IS NOT NULL").select(*keys, "number", "symbol")
-    first = named.groupBy(*keys, "symbol").agg(F.min("number").alias("first"), F.count(F.lit(1)).alias("n"))
-    again = first.filter("n > 1").select(*keys, F.col("first").alias("number"), F.lit("name used twice").alias("fault"))
-    ends = rows.filter("kind = 'edge'").select(*keys, "number", F.explode(F.array("source", "target")).alias("symbol")).filter("symbol <> '[*]'")
-    loose = ends.join(big(first.select(*keys, "symbol")), [*keys, "symbol"], "left_anti").select(*keys, "number").distinct().withColumn("fault", F.lit("edge without an end"))
-    parts = [
-        at(rows.filter("kind = 'none' AND number = 0"), "no head"), at(rows.filter("kind = 'none' AND number > 0"), "line not understood"), at(rows.filter("kind = 'node' AND trim(label) = ''"), "node without a label"),
-        at(rows.filter(F.col("label").contains('"')), "quote inside a label"), at(rows.filter(F.col("label").rlike(la.INTERNAL)), "internal name in a label"), again, loose,
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    bad = lambda when, fault: F.when(when, F.struct(F.lit(None).cast("string").alias("symbol"), F.lit(False).alias("names"), F.lit(fault).alias("fault")))
+    use = lambda when, symbol, names: F.when(when, F.struct(symbol.alias("symbol"), F.lit(names).alias("names"), F.lit(None).cast("string").alias("fault")))
+    none, edge, label = F.col("kind") == "none", F.col("kind") == "edge", F.col("label")
+    events = F.array(
+        bad(none & (F.col("number") == 0), "no head"), bad(none & (F.col("number") > 0), "line not understood"), bad((F.col("kind") == "node") & (F.trim("label") == ""), "node without a label"), bad(label.contains('"'), "quote inside a label"), bad(label.rlike(la.INTERNAL), "internal name in a label"),
+        use(F.col("symbol").isNotNull(), F.col("symbol"), True), *[use(edge & (F.col(end) != "[*]"), F.col(end), False) for end in ("source", "target")],
+    )
+    # What a line says and what it names go through the figures once; names and ends of one figure meet in its own windows.
+    at = rows.select(*keys, "number", F.explode(F.array_compact(events)).alias("e")).select(*keys, "number", "e.*")
+    same = Window.partitionBy(*keys, "symbol")
+    at = at.withColumn("n", F.count_if("names").over(same)).withColumn("first", F.min(F.when(F.col("names"), F.col("number"))).over(same))
+    named = F.when(F.col("symbol").isNull(), F.col("fault")).when(~F.col("names") & (F.col("n") == 0), "edge without an end").when(F.col("names") & (F.col("n") > 1) & (F.col("number") == F.col("first")), "name used twice")
+    return at.select(*keys, "number", named.alias("fault")).filter("fault IS NOT NULL").dropDuplicates([*keys, "number", "fault"])
