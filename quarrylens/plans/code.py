@@ -148,7 +148,7 @@ def complexity(code: Code) -> DataFrame:
     arms = code.rows("arms").groupBy(*keys).agg(
         F.count_if(of_if & F.col("arm").startswith("ELSIF")).alias("n_elsif"), F.count_if(F.col("arm").startswith("WHEN")).alias("n_case_when"),
         F.count_if(of_if & ((F.col("arm") == "ELSE") | F.col("arm").startswith("ELSIF"))).alias("hybrid_else_elsif"), F.sum("logical").alias("a_logical"), F.sum("sequences").alias("a_sequences"),
-        F.countDistinct(F.when(F.col("kind") == "CASE_EXPRESSION", F.col("seq"))).alias("case_expressions"),
+        F.count_if((F.col("kind") == "CASE_EXPRESSION") & (F.col("ordinal") == 1)).alias("case_expressions"),  # statements that have some
     )
     both = code.rows("objects").filter("parse_status = 'parsed'").select(*keys).join(big(per), keys, "left").join(big(arms), keys, "left").fillna(0)
     both = both.withColumn("n_logical", F.col("s_logical") + F.col("a_logical")).withColumn("logical_sequences", F.col("s_sequences") + F.col("a_sequences"))
